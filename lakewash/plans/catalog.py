@@ -64,7 +64,9 @@ def write_flat_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the dirty flat records as multi-line CSV (one file per task);
     padding is kept, as it would be in a file someone else produced."""
     path = scratch_path(spark, "flat-csv")
-    (FX.flat_source(spark, sf_dir).write.option("header", "true")
+    # Files arrive as many files; a multi-line CSV file cannot be split.
+    parts = spark.sparkContext.defaultParallelism
+    (FX.flat_source(spark, sf_dir).repartition(parts).write.option("header", "true")
      .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
@@ -75,7 +77,7 @@ def write_nested_json(spark: SparkSession, sf_dir: str) -> str:
     """Write one JSON line per customer, plus one malformed line (a text
     ``logged_at``) for each customer with a negative balance."""
     path = scratch_path(spark, "nested-json")
-    src = FX.nested_source(spark, sf_dir)
+    src = FX.nested_source(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
     src.drop("_bad_balance").write.json(path)
     bad = src.where("_bad_balance").select(
         F.to_json(F.struct("user_id", F.lit("n/a").alias("logged_at"))).alias("value"))
@@ -408,8 +410,10 @@ def _flat_cleaned(spark, sf_dir) -> DataFrame:
 @register("unparsed_rows", "SELECT id, created_at_ori FROM (" + flat_clean_sql() + ") "
                            "WHERE created_at IS NULL AND created_at_ori IS NOT NULL AND created_at_ori <> 'not a date'")
 def unparsed_rows(spark, sf_dir):
-    """L2: values that failed to parse, known non-dates left out."""
-    return quality.unparsed_rows(_flat_cleaned(spark, sf_dir), "created_at_ori", "created_at", "not a date") \
+    """L2: values that failed to parse, known non-dates left out (over the
+    records as the job reads them from CSV)."""
+    cleaned = jobs.clean_flat_records(readers.read_csv(spark, write_flat_csv(spark, sf_dir)), RUN_TS)
+    return quality.unparsed_rows(cleaned, "created_at_ori", "created_at", "not a date") \
         .select("id", "created_at_ori")
 
 

@@ -136,7 +136,13 @@ def staged_refresh(df: DataFrame, target_path: str, fmt: str = "parquet", drop_s
     """
     spark = df.sparkSession
     staging = f"{target_path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    staged_rows = write_observed(df, lambda d: d.write.mode("errorifexists").format(fmt).save(staging), "stage")
+    try:
+        staged_rows = write_observed(df, lambda d: d.write.mode("errorifexists").format(fmt).save(staging),
+                                     "stage")
+    except Exception:
+        fs, hpath = _fs(spark, staging)
+        fs.delete(hpath, True)  # only this call's own, uncommitted staging folder
+        raise
     reread = spark.read.format(fmt).load(staging)
     check_rows = reread.count()
     if check_rows != staged_rows:

@@ -376,7 +376,7 @@ CONFORM_TARGET = T.StructType([
           f"DECIMAL(10,2)) IS NULL THEN 'paid_amount' ELSE '' END AS conform_errors FROM ({FLAT_SRC_SQL})")
 def conform_to_schema(spark, sf_dir):
     """Shaped to a target table's columns and types, errors listed."""
-    df = mapping.conform_to_schema(mapping.normalize_columns(FX.flat_source(spark, sf_dir)), CONFORM_TARGET)
+    df = mapping.conform_to_schema(mapping.normalize_columns(_flat_raw(spark, sf_dir)), CONFORM_TARGET)
     return df.withColumn("conform_errors", F.array_join(mapping.CONFORM_ERRORS, ",")).drop(mapping.CONFORM_ERRORS)
 
 
@@ -403,8 +403,13 @@ def file_lineage(spark, sf_dir):
 # ============================================================ filters, checks
 
 
+def _flat_raw(spark, sf_dir) -> DataFrame:
+    """The dirty flat records as a job sees them: read back from CSV files."""
+    return readers.read_csv(spark, write_flat_csv(spark, sf_dir))
+
+
 def _flat_cleaned(spark, sf_dir) -> DataFrame:
-    return jobs.clean_flat_records(FX.flat_source(spark, sf_dir), RUN_TS)
+    return jobs.clean_flat_records(_flat_raw(spark, sf_dir), RUN_TS)
 
 
 @register("unparsed_rows", "SELECT id, created_at_ori FROM (" + flat_clean_sql() + ") "
@@ -412,8 +417,7 @@ def _flat_cleaned(spark, sf_dir) -> DataFrame:
 def unparsed_rows(spark, sf_dir):
     """L2: values that failed to parse, known non-dates left out (over the
     records as the job reads them from CSV)."""
-    cleaned = jobs.clean_flat_records(readers.read_csv(spark, write_flat_csv(spark, sf_dir)), RUN_TS)
-    return quality.unparsed_rows(cleaned, "created_at_ori", "created_at", "not a date") \
+    return quality.unparsed_rows(_flat_cleaned(spark, sf_dir), "created_at_ori", "created_at", "not a date") \
         .select("id", "created_at_ori")
 
 
@@ -540,7 +544,7 @@ def _contract_sql() -> str:
 @register("contract_rejects", _contract_sql())
 def contract_rejects(spark, sf_dir):
     """Q12: rows breaking the record contract, with the rules they break."""
-    src = mapping.normalize_columns(FX.flat_source(spark, sf_dir))
+    src = mapping.normalize_columns(_flat_raw(spark, sf_dir))
     _, rejected = quality.split_by_contract(src, contract_rules())
     return rejected.select("id", F.array_join(quality.FAILED_RULES, ",").alias("failed_rules"))
 

@@ -670,6 +670,18 @@ def job_nested_jobs(spark, sf_dir):
     return _nested_job(spark, sf_dir, "jobs_history")
 
 
+@register("stream_flat_records", flat_clean_sql())
+def stream_flat_records(spark, sf_dir):
+    """The flat-record mapping run incrementally with Structured Streaming
+    (available-now trigger, checkpointed), read back from its sink."""
+    from lakewash.streaming import run_flat_record_load
+
+    source = write_flat_csv(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    run_flat_record_load(spark, source, out, ckpt, RUN_TS)
+    return spark.read.parquet(out).drop("batch_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in CATALOG.items()}
 

@@ -164,3 +164,18 @@ def test_scan_prunes_and_pushes(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,5)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_stream_processes_only_new_files(spark):
+    from lakewash.streaming import run_flat_record_load
+    src = _write(scratch_path(spark, "t-stream-in"), "a.csv", CSV_TEXT)
+    out, ckpt = scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ckpt")
+    run_flat_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    assert spark.read.parquet(out).count() == 2
+    run_flat_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    assert spark.read.parquet(out).count() == 2
+    _write(src, "b.csv", CSV_TEXT.replace("1,  Ann", "3,  Ann").replace("2,Bob", "4,Bob"))
+    run_flat_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    back = spark.read.parquet(out)
+    assert sorted(r.id for r in back.collect()) == ["1", "2", "3", "4"]
+    assert back.select("batch_id").distinct().count() == 2

@@ -58,12 +58,16 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
     bits), and cut from their lineage with a reliable checkpoint so the tags
     can never be recomputed differently. Per-partition row counts (one row per
     partition, a bound fixed by ``num_partitions``) give each partition its
-    offset. Pass a unique ``order_by`` for a repeatable numbering.
+    offset. Ties in ``order_by`` are broken by a hash of the row, so even a
+    value shared by a third of the rows is spread over several ranges.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [_col(c) for c in order_by]
+    # A hash of the whole row breaks ties, so rows sharing one hot order value
+    # can still be cut into several ranges, and the numbering repeats.
+    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    order_cols = [_col(c) for c in order_by] + [tiebreak]
     tagged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_lw_tag", F.monotonically_increasing_id())

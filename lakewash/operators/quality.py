@@ -104,14 +104,38 @@ def _join_cond(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], p
     return cond
 
 
+SALT = "_lw_salt"
+
+
+def _anti_join(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
+               salt: int) -> DataFrame:
+    """``child`` rows with no key match in ``parent`` (already distinct keys).
+
+    ``salt > 1`` spreads every child key over ``salt`` join partitions: each
+    child row gets a salt from a hash of its own values (deterministic, so a
+    recomputed task after an executor loss lands its rows in the same place)
+    and each parent key is repeated once per salt value. Use it when one key
+    holds a large share of the child and the parent is too big to broadcast.
+    """
+    if salt <= 1:
+        return child.join(parent, _join_cond(child, parent, child_cols, parent_cols), "left_anti")
+    salted_child = child.withColumn(SALT, F.pmod(F.xxhash64(*[_q(c) for c in child.columns]), F.lit(salt)))
+    salted_parent = parent.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    cond = _join_cond(salted_child, salted_parent, child_cols, parent_cols) \
+        & (salted_child[SALT] == salted_parent[SALT])
+    return salted_child.join(salted_parent, cond, "left_anti").drop(SALT)
+
+
 def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
-                        parent_cols: Sequence[str] | None = None) -> DataFrame:
+                        parent_cols: Sequence[str] | None = None, salt: int = 0) -> DataFrame:
     """Child rows whose non-null key has no parent row.
 
     A left-anti join on the key. The parent side is reduced to its distinct
-    keys first; the planner broadcasts it only when its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time), and
-    otherwise shuffles both sides, splitting skewed child keys (AQE skew join).
+    keys first (map-side partial aggregation). The planner broadcasts it only
+    when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``
+    (AQE re-checks the actual size at run time); otherwise both sides shuffle
+    on the key and AQE's skew-join handling splits an oversized child
+    partition. ``salt`` forces an explicit, deterministic split of hot keys.
     Rows with a null key are not orphans, as in SQL's MATCH SIMPLE.
     """
     parent_cols = list(parent_cols or child_cols)
@@ -119,17 +143,16 @@ def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequenc
     for c in child_cols:
         not_null = not_null & _q(c).isNotNull()
     parent_keys = parent.select(*[_q(p) for p in parent_cols]).distinct()
-    return child.where(not_null).join(parent_keys, _join_cond(child, parent_keys, child_cols, parent_cols),
-                                      "left_anti")
+    return _anti_join(child.where(not_null), parent_keys, child_cols, parent_cols, salt)
 
 
 def cascade_delete(child: DataFrame, deleted_parents: DataFrame, child_cols: Sequence[str],
-                   parent_cols: Sequence[str] | None = None) -> DataFrame:
+                   parent_cols: Sequence[str] | None = None, salt: int = 0) -> DataFrame:
     """Child rows that remain after the given parent rows are deleted with
     ``ON DELETE CASCADE``: those whose key matches no deleted parent."""
     parent_cols = list(parent_cols or child_cols)
     deleted = deleted_parents.select(*[_q(p) for p in parent_cols]).distinct()
-    return child.join(deleted, _join_cond(child, deleted, child_cols, parent_cols), "left_anti")
+    return _anti_join(child, deleted, child_cols, parent_cols, salt)
 
 
 def contract_flags(df: DataFrame, rules: Mapping[str, Column], out: str = FAILED_RULES) -> DataFrame:
@@ -196,21 +219,40 @@ class Profile:
     null_counts: dict[str, int]
     key_groups: int | None
 
+    approximate: bool = False
+
     @property
     def has_duplicate_keys(self) -> bool:
-        return self.key_groups is not None and self.key_groups < self.row_count
+        if self.key_groups is None:
+            return False
+        if self.approximate:  # only flag what the sketch's error cannot explain
+            return self.key_groups < 0.97 * self.row_count
+        return self.key_groups < self.row_count
 
 
-def profile(df: DataFrame, key: str | None = None, cols: Iterable[str] | None = None) -> Profile:
+def profile(df: DataFrame, key: str | None = None, cols: Iterable[str] | None = None,
+            unique_check: str = "exact") -> Profile:
     """Row count, null count per column and, when ``key`` is given, the number
-    of distinct key groups (nulls forming one group) - all in one Spark job."""
+    of distinct key groups (nulls forming one group) - all in one aggregate.
+
+    ``unique_check="exact"`` counts distinct keys exactly (the keys are
+    shuffled once, after a map-side de-duplication); ``"approx"`` uses a
+    HyperLogLog sketch (about 1% error, nothing but fixed-size sketches is
+    shuffled), good enough when duplicates only raise a warning; ``"off"``
+    skips it.
+    """
+    if unique_check not in ("exact", "approx", "off"):
+        raise ValueError("unique_check must be 'exact', 'approx' or 'off'")
+    if unique_check == "off":
+        key = None
     cols = list(cols) if cols is not None else df.columns
     aggs = [F.count(F.lit(1)).alias("row_count"), *[F.count_if(_q(c).isNull()).alias(c) for c in cols]]
     if key is not None:
-        aggs.append(F.count_distinct(_q(key)).alias("_lw_distinct"))
+        distinct = F.count_distinct(_q(key)) if unique_check == "exact" else F.approx_count_distinct(_q(key), 0.01)
+        aggs.append(distinct.alias("_lw_distinct"))
         aggs.append(F.max(_q(key).isNull().cast("int")).alias("_lw_has_null"))
     row = df.agg(*aggs).first()
     groups = None
     if key is not None:
         groups = int(row["_lw_distinct"]) + int(row["_lw_has_null"] or 0)
-    return Profile(int(row["row_count"]), {c: int(row[c]) for c in cols}, groups)
+    return Profile(int(row["row_count"]), {c: int(row[c]) for c in cols}, groups, unique_check == "approx")

@@ -165,3 +165,37 @@ def test_latest_per_key_plan_aggregates_map_side(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = quality.latest_per_key(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and ("partial_max" in plan)
+
+
+def test_salted_anti_join_matches_plain(spark):
+    parent = spark.range(0, 50).select(F.col("id").alias("pk"))
+    child = spark.range(0, 3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7))
+                                        .otherwise(F.col("id") % 80).alias("fk"))
+    plain = sorted(r.id for r in quality.foreign_key_orphans(child, parent, ["fk"], ["pk"]).collect())
+    salted = sorted(r.id for r in quality.foreign_key_orphans(child, parent, ["fk"], ["pk"], salt=8).collect())
+    assert plain == salted and len(plain) > 0
+    gone = parent.where("pk = 7")
+    expected = child.where("fk <> 7").count()
+    assert quality.cascade_delete(child, gone, ["fk"], ["pk"], salt=8).count() == \
+        quality.cascade_delete(child, gone, ["fk"], ["pk"]).count() == expected
+
+
+def test_surrogate_key_splits_a_hot_value(spark):
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 3000, F.lit(1)).otherwise(F.col("id")).alias("k"),
+                                     F.col("id").alias("v"))
+    out = ids.with_surrogate_key(df, ["k"], "sk", num_partitions=6)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000
+    rows = out.orderBy("sk").collect()
+    assert [r.sk for r in rows] == list(range(1, 6001))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+
+
+def test_profile_unique_modes(spark):
+    df = spark.range(0, 2000).select(F.col("id").alias("id"))
+    assert not quality.profile(df, key="id", unique_check="approx").has_duplicate_keys
+    dup = df.union(df)
+    assert quality.profile(dup, key="id", unique_check="approx").has_duplicate_keys
+    assert quality.profile(dup, key="id", unique_check="off").key_groups is None
+    with pytest.raises(ValueError):
+        quality.profile(df, key="id", unique_check="maybe")

@@ -132,7 +132,7 @@ def main():
     orders = FX.table(spark, SF_DIR, "orders")
     dirty = FX.derive(orders, [("ts", FX.dirty_timestamp_text("o_orderkey", "o_orderdate")),
                                ("phone", FX.phone_text("o_orderkey", "o_orderkey", "o_custkey")),
-                               ("flag", FX.boolean_text("o_orderkey"))]).cache()
+                               ("flag", FX.boolean_text("o_orderkey"))]).repartition(CPUS).cache()
     dirty.count()
     native = dirty.select(X.clean_timestamp("ts").alias("a"), X.clean_phone("phone").alias("b"),
                           X.clean_boolean("flag").alias("c"))

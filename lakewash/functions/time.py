@@ -96,18 +96,21 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
     """
     col = _col(c)
     no_weekday = F.regexp_replace(F.regexp_replace(col, r"^[A-Za-z]+,\s", ""), r"\s+", " ")
-    day = F.when(col.rlike(TIMESTAMP_SHAPE), col.try_cast("date"))
+    # Arms 5-7 only apply to text shaped like a full date, which arms 2-4 never
+    # match, so the shape is tested once and guards all three.
+    day = col.try_cast("date")
+    shaped = (F.when(day < F.to_date(_ts(lo)), _ts(lo))
+              .when(day > F.to_date(_ts(hi)), _ts(hi))
+              .otherwise(col.try_cast("timestamp")))
     return (
         F.when(col.contains(NOT_A_DATE), F.lit(None).cast("timestamp"))
+        .when(col.rlike(TIMESTAMP_SHAPE), shaped)
         .when(col.rlike(WEEKDAY_LONG_DATE),
               F.try_to_timestamp(strip_ordinals(no_weekday), F.lit(LONG_DATE_FORMAT)))
         .when(col.rlike(LONG_DATE),
               F.try_to_timestamp(strip_ordinals(col), F.lit(LONG_DATE_FORMAT)))
         .when(col.rlike(DATE_TEST_SUFFIX),
               F.try_to_timestamp(F.substring(col, 1, 10), F.lit("yyyy-MM-dd")))
-        .when(day < F.to_date(_ts(lo)), _ts(lo))
-        .when(day > F.to_date(_ts(hi)), _ts(hi))
-        .otherwise(safe_timestamp(col))
     )
 
 

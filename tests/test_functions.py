@@ -118,3 +118,25 @@ def test_no_python_in_plans(spark):
             X.clean_identity_number("v"), X.file_stem("v"), X.decimal_amount("v")]
     plan = df.select(*[c.alias(f"c{i}") for i, c in enumerate(cols)])._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_clean_phone_two_pass_equals_four_step_chain(spark):
+    """The two-pass phone cleaner equals the four rewrites applied in order."""
+    from hypothesis import given, settings, strategies as st
+    from lakewash.functions.text import PHONE_DIGITS, PHONE_REWRITES
+
+    alphabet = st.sampled_from(list("0123456789x+- ().\t\n1"))
+    texts = st.lists(st.text(alphabet=alphabet, min_size=0, max_size=18), min_size=50, max_size=50)
+
+    @settings(max_examples=20, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values] + [(" + 1 555 123 4567",), ("0 01x 9 5551234567",)],
+                                   "v string")
+        from pyspark.sql import functions as F
+        chain = X.regex_chain("v", PHONE_REWRITES)
+        reference = F.when(F.length(chain) == PHONE_DIGITS, chain)
+        rows = df.select(X.clean_phone("v").alias("a"), reference.alias("b")).collect()
+        assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b][:3]
+
+    check()

@@ -59,10 +59,32 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ============================================================ staged inputs
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _write_once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[], str]) -> str:
+    """Input files are written once per application and scale directory and
+    then shared by every query that reads them (they are never modified)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    path = _WRITTEN.get(key)
+    if path is None or not readers.path_exists(spark, path):
+        path = _WRITTEN[key] = write()
+    return path
+
 
 def write_flat_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write the dirty flat records as multi-line CSV (one file per task);
-    padding is kept, as it would be in a file someone else produced."""
+    """The dirty flat records as multi-line CSV files (one per task; padding
+    kept, as in a file someone else produced)."""
+    return _write_once(spark, sf_dir, "flat-csv", lambda: _write_flat_csv(spark, sf_dir))
+
+
+def write_nested_json(spark: SparkSession, sf_dir: str) -> str:
+    """One JSON line per customer, plus one malformed line (a text
+    ``logged_at``) for each customer with a negative balance."""
+    return _write_once(spark, sf_dir, "nested-json", lambda: _write_nested_json(spark, sf_dir))
+
+
+def _write_flat_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "flat-csv")
     # Files arrive as many files; a multi-line CSV file cannot be split.
     parts = spark.sparkContext.defaultParallelism
@@ -73,9 +95,7 @@ def write_flat_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def write_nested_json(spark: SparkSession, sf_dir: str) -> str:
-    """Write one JSON line per customer, plus one malformed line (a text
-    ``logged_at``) for each customer with a negative balance."""
+def _write_nested_json(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "nested-json")
     src = FX.nested_source(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
     src.drop("_bad_balance").write.json(path)

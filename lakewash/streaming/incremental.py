@@ -16,15 +16,15 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewash.operators.mapping import normalize_name
+from lakewash.operators.mapping import apply_mapping, normalize_name
 from lakewash.operators.quality import require_not_null
 from lakewash.plans.jobs import FLAT_REQUIRED, flat_record_mapping
-from lakewash.operators.mapping import apply_mapping
 from lakewash.session import pin_utc
 from lakewash.sources.readers import CSV_DIALECT, read_csv
 
@@ -62,9 +62,14 @@ def start_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str,
     stream = flat_record_stream(spark, input_dir, schema, run_ts, options)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        require_not_null(batch, FLAT_REQUIRED)
-        (batch.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(output_dir))
+        # The check and the write both read the batch: parse its files once.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            require_not_null(batch, FLAT_REQUIRED)
+            (batch.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(output_dir))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

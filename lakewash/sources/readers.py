@@ -8,6 +8,7 @@ from __future__ import annotations
 from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_RECORD = "_corrupt_record"
@@ -46,6 +47,11 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line:
     ``PERMISSIVE`` mode: a line that is not JSON, or whose values do not fit
     the schema, becomes a row with ``corrupt_col`` holding the raw text, so
     rejects can be set aside instead of failing the job.
+
+    Spark parses only the fields a query uses, so a value that does not fit
+    an unused field is not noticed. When rejects must be decided on the whole
+    record, parse once into a staging table first
+    (:func:`lakewash.plans.jobs.stage_nested_records` does this).
     """
     full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)])
     return (spark.read.schema(full)
@@ -87,6 +93,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def oversized_files(spark: SparkSession, path: str, max_bytes: int = 1 << 30) -> DataFrame:
+    """Files under ``path`` larger than ``max_bytes``, with their ``length``.
+
+    Reads file metadata only (the ``binaryFile`` source never loads the
+    content when it is not selected). Meant for multi-line CSV and JSON,
+    which Spark cannot split: each such file is read by a single task.
+    """
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .where(F.col("length") > max_bytes).select("path", "length"))
+
+
 def require_path(spark: SparkSession, path: str) -> None:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Input path {path} does not exist.")

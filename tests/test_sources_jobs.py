@@ -179,3 +179,14 @@ def test_stream_processes_only_new_files(spark):
     back = spark.read.parquet(out)
     assert sorted(r.id for r in back.collect()) == ["1", "2", "3", "4"]
     assert back.select("batch_id").distinct().count() == 2
+
+
+def test_object_store_style_uri_and_oversized_files(spark, caplog):
+    path = _write(scratch_path(spark, "t-uri"), "in.csv", CSV_TEXT)
+    assert readers.read_csv(spark, "file://" + path).count() == 2
+    big = readers.oversized_files(spark, path, max_bytes=10).collect()
+    assert len(big) == 1 and big[0].length == len(CSV_TEXT.encode())
+    assert readers.oversized_files(spark, path).count() == 0
+    with caplog.at_level(logging.WARNING):
+        jobs.flat_record_job(spark, path, catalog.RUN_TS, warn_file_bytes=10)
+    assert any("one task" in r.getMessage() for r in caplog.records)

@@ -8,6 +8,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewash.functions.text import ColumnOrName, _col, file_stem
 from lakewash.session import checkpoint_root
@@ -49,26 +50,61 @@ def source_file_stem() -> Column:
     return file_stem(F.col("_metadata.file_name"))
 
 
+def _copy_ordinals(batches):
+    """Per partition, rows arrive sorted by ``_lw_h``: number each run of
+    equal hashes 0, 1, 2, ... (runs may continue across Arrow batches)."""
+    import numpy as np
+
+    last_h, carry = None, 0
+    for pdf in batches:
+        h = pdf["_lw_h"].to_numpy()
+        n = len(h)
+        if n == 0:
+            yield pdf.assign(_lw_ord=np.zeros(0, dtype="int64"))
+            continue
+        idx = np.arange(n, dtype="int64")
+        new_run = np.empty(n, dtype=bool)
+        new_run[0] = last_h is None or h[0] != last_h
+        new_run[1:] = h[1:] != h[:-1]
+        run_start = np.maximum.accumulate(np.where(new_run, idx, -1))
+        ordinal = np.where(run_start < 0, carry + idx, idx - run_start)
+        last_h, carry = h[-1], int(ordinal[-1]) + 1
+        yield pdf.assign(_lw_ord=ordinal)
+
+
 def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "id",
                        start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Dense serial key ``start, start+1, ...`` in ``order_by`` order.
 
-    No global window: rows are range-partitioned and sorted within each range,
-    tagged with ``monotonically_increasing_id`` (partition index in the upper
-    bits), and cut from their lineage with a reliable checkpoint so the tags
-    can never be recomputed differently. Per-partition row counts (one row per
-    partition, a bound fixed by ``num_partitions``) give each partition its
-    offset. Ties in ``order_by`` are broken by a hash of the row, so even a
-    value shared by a third of the rows is spread over several ranges.
+    No global window and nothing through the driver:
+
+    1. each row gets a copy ordinal: its position among identical rows of its
+       input partition (a local sort by row hash, then one vectorised pass);
+    2. rows are range-partitioned and sorted on ``order_by``, then the row
+       hash, input partition and copy ordinal - a key unique to every row, so
+       a hot order value, or a group of copies holding a third of the table,
+       is cut over several ranges;
+    3. rows are tagged with ``monotonically_increasing_id`` (partition index
+       in the upper bits) and cut from their lineage with a reliable
+       checkpoint;
+    4. per-partition row counts (one row per partition: a bounded broadcast)
+       give each partition its offset.
+
+    The (row, ordinal) pairs are the same however a recomputed partition
+    orders its rows, so a task retried after an executor loss numbers the
+    rows the same way.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A hash of the whole row breaks ties, so rows sharing one hot order value
-    # can still be cut into several ranges, and the numbering repeats.
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    order_cols = [_col(c) for c in order_by] + [tiebreak]
-    tagged = (df.repartitionByRange(n, *order_cols)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = (df.withColumn("_lw_h", F.xxhash64(*cols))
+              .withColumn("_lw_in", F.spark_partition_id().cast("bigint"))
+              .sortWithinPartitions("_lw_h", F.hash(*cols)))
+    ordinals = hashed.mapInPandas(
+        _copy_ordinals, T.StructType([*hashed.schema.fields, T.StructField("_lw_ord", T.LongType(), False)]))
+    order_cols = [_col(c) for c in order_by] + [F.col("_lw_h"), F.col("_lw_in"), F.col("_lw_ord")]
+    tagged = (ordinals.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_lw_tag", F.monotonically_increasing_id())
               .checkpoint(eager=True))
@@ -82,4 +118,4 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
     joined = tagged.join(F.broadcast(offsets), part == F.col("_lw_part"))
     row_in_part = F.col("_lw_tag") - F.shiftleft(F.col("_lw_part"), 33)
     key = (F.col("_lw_offset") + row_in_part + F.lit(start)).alias(name)
-    return joined.select(key, *[F.col(f"`{c}`") for c in df.columns])
+    return joined.select(key, *cols)

@@ -111,19 +111,27 @@ def _anti_join(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], p
                salt: int) -> DataFrame:
     """``child`` rows with no key match in ``parent`` (already distinct keys).
 
-    ``salt > 1`` spreads every child key over ``salt`` join partitions: each
-    child row gets a salt from a hash of its own values (deterministic, so a
-    recomputed task after an executor loss lands its rows in the same place)
-    and each parent key is repeated once per salt value. Use it when one key
-    holds a large share of the child and the parent is too big to broadcast.
+    ``salt > 1`` splits hot keys explicitly. Identical child rows first
+    collapse to one row and a count (map-side, before the shuffle); each
+    distinct row then takes a salt from a hash of its values - deterministic,
+    so a recomputed task sends its rows to the same place - and every parent
+    key is repeated once per salt value. The surviving rows are expanded back
+    to their copies, so the result is whole. Use it when one key holds a large
+    share of the child and the parent is too big to broadcast; otherwise AQE's
+    skew-join handling splits oversized partitions on its own.
     """
     if salt <= 1:
         return child.join(parent, _join_cond(child, parent, child_cols, parent_cols), "left_anti")
-    salted_child = child.withColumn(SALT, F.pmod(F.xxhash64(*[_q(c) for c in child.columns]), F.lit(salt)))
-    salted_parent = parent.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    cols = [_q(c) for c in child.columns]
+    copies = child.groupBy(*cols).agg(F.count(F.lit(1)).alias("_lw_copies"))
+    salted_child = copies.withColumn(SALT, F.pmod(F.xxhash64(*cols), F.lit(salt)))
+    salted_parent = parent.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                                 F.lit(salt - 1).cast("bigint"))))
     cond = _join_cond(salted_child, salted_parent, child_cols, parent_cols) \
         & (salted_child[SALT] == salted_parent[SALT])
-    return salted_child.join(salted_parent, cond, "left_anti").drop(SALT)
+    kept = salted_child.join(salted_parent, cond, "left_anti")
+    return kept.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_lw_copies"))).alias("_lw_copy")) \
+        .drop("_lw_copy")
 
 
 def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],

@@ -199,3 +199,35 @@ def test_profile_unique_modes(spark):
     assert quality.profile(dup, key="id", unique_check="off").key_groups is None
     with pytest.raises(ValueError):
         quality.profile(df, key="id", unique_check="maybe")
+
+
+def test_surrogate_key_splits_a_group_of_copies(spark):
+    copies = spark.range(0, 3000).select(F.lit(5).alias("k"), F.lit("same").alias("v"))
+    rest = spark.range(0, 6000).select(F.col("id").alias("k"), F.lit("other").alias("v"))
+    df = copies.union(rest)
+    out = ids.with_surrogate_key(df, ["k"], "sk", num_partitions=6)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000 and sum(sizes) == 9000
+    rows = out.orderBy("sk").collect()
+    assert [r.sk for r in rows] == list(range(1, 9001))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+    again = ids.with_surrogate_key(df, ["k"], "sk", num_partitions=6)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_salted_anti_join_keeps_copies(spark):
+    parent = spark.range(0, 10).select(F.col("id").alias("pk"))
+    child = spark.range(0, 900).select(F.lit(99).alias("fk"), F.lit("copy").alias("v")) \
+        .union(spark.range(0, 100).select((F.col("id") % 20).alias("fk"), F.lit("x").alias("v")))
+    plain = quality.foreign_key_orphans(child, parent, ["fk"], ["pk"])
+    salted = quality.foreign_key_orphans(child, parent, ["fk"], ["pk"], salt=4)
+    assert salted.count() == plain.count() == 950
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_copy_ordinals_across_batches():
+    import pandas as pd
+    batches = [pd.DataFrame({"_lw_h": [1, 1, 2]}), pd.DataFrame({"_lw_h": [2, 2, 3]}),
+               pd.DataFrame({"_lw_h": []}), pd.DataFrame({"_lw_h": [3, 4]})]
+    out = [list(b["_lw_ord"]) for b in ids._copy_ordinals(iter(batches))]
+    assert out == [[0, 1, 0], [1, 2, 0], [], [1, 0]]

@@ -50,26 +50,35 @@ def source_file_stem() -> Column:
     return file_stem(F.col("_metadata.file_name"))
 
 
-def _copy_ordinals(batches):
-    """Per partition, rows arrive sorted by ``_lw_h``: number each run of
-    equal hashes 0, 1, 2, ... (runs may continue across Arrow batches)."""
-    import numpy as np
-
-    last_h, carry = None, 0
-    for pdf in batches:
-        h = pdf["_lw_h"].to_numpy()
-        n = len(h)
-        if n == 0:
-            yield pdf.assign(_lw_ord=np.zeros(0, dtype="int64"))
-            continue
-        idx = np.arange(n, dtype="int64")
-        new_run = np.empty(n, dtype=bool)
-        new_run[0] = last_h is None or h[0] != last_h
-        new_run[1:] = h[1:] != h[:-1]
-        run_start = np.maximum.accumulate(np.where(new_run, idx, -1))
-        ordinal = np.where(run_start < 0, carry + idx, idx - run_start)
-        last_h, carry = h[-1], int(ordinal[-1]) + 1
-        yield pdf.assign(_lw_ord=ordinal)
+def copy_ordinal_counter():
+    """The per-partition pass that numbers runs of equal row hashes.
+
+    Built inside this function so that Spark ships it to the Python workers
+    by value: they need nothing but numpy, not this package.
+    """
+
+    def copy_ordinals(batches):
+        # Rows arrive sorted by ``_lw_h``; number each run of equal hashes
+        # 0, 1, 2, ... (a run may continue across Arrow batches).
+        import numpy as np
+
+        last_h, carry = None, 0
+        for pdf in batches:
+            h = pdf["_lw_h"].to_numpy()
+            n = len(h)
+            if n == 0:
+                yield pdf.assign(_lw_ord=np.zeros(0, dtype="int64"))
+                continue
+            idx = np.arange(n, dtype="int64")
+            new_run = np.empty(n, dtype=bool)
+            new_run[0] = last_h is None or h[0] != last_h
+            new_run[1:] = h[1:] != h[:-1]
+            run_start = np.maximum.accumulate(np.where(new_run, idx, -1))
+            ordinal = np.where(run_start < 0, carry + idx, idx - run_start)
+            last_h, carry = h[-1], int(ordinal[-1]) + 1
+            yield pdf.assign(_lw_ord=ordinal)
+
+    return copy_ordinals
 
 
 def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "id",
@@ -102,7 +111,7 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
               .withColumn("_lw_in", F.spark_partition_id().cast("bigint"))
               .sortWithinPartitions("_lw_h", F.hash(*cols)))
     ordinals = hashed.mapInPandas(
-        _copy_ordinals, T.StructType([*hashed.schema.fields, T.StructField("_lw_ord", T.LongType(), False)]))
+        copy_ordinal_counter(), T.StructType([*hashed.schema.fields, T.StructField("_lw_ord", T.LongType(), False)]))
     order_cols = [_col(c) for c in order_by] + [F.col("_lw_h"), F.col("_lw_in"), F.col("_lw_ord")]
     tagged = (ordinals.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)

@@ -229,5 +229,5 @@ def test_copy_ordinals_across_batches():
     import pandas as pd
     batches = [pd.DataFrame({"_lw_h": [1, 1, 2]}), pd.DataFrame({"_lw_h": [2, 2, 3]}),
                pd.DataFrame({"_lw_h": []}), pd.DataFrame({"_lw_h": [3, 4]})]
-    out = [list(b["_lw_ord"]) for b in ids._copy_ordinals(iter(batches))]
+    out = [list(b["_lw_ord"]) for b in ids.copy_ordinal_counter()(iter(batches))]
     assert out == [[0, 1, 0], [1, 2, 0], [], [1, 0]]

@@ -47,8 +47,9 @@ def trim_text(c: ColumnOrName) -> Column:
 
 
 def single_line_text(c: ColumnOrName) -> Column:
-    """Newlines become spaces, then the ends are trimmed."""
-    return F.trim(F.regexp_replace(_col(c), "\n", " "))
+    """Newlines become spaces, then the ends are trimmed (a character map,
+    no regex engine)."""
+    return F.trim(F.translate(_col(c), "\n", " "))
 
 
 def initcap_text(c: ColumnOrName) -> Column:

@@ -32,6 +32,9 @@ LONG_DATE = r"^[A-Za-z]+\s\d{1,2}[a-z]{2},\s\d{4}$"
 # "2024-03-15TEST"
 DATE_TEST_SUFFIX = r"^\d{4}-\d{2}-\d{2}TEST$"
 LONG_DATE_FORMAT = "MMMM d, yyyy"
+# The month words that pattern reads (full English names, any letter case).
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
+               "August", "September", "October", "November", "December"]
 # Broken time strings, matched at the start of the text in this order.
 EPOCH_DIGITS = r"^\d{9,10}$"
 DATE_SPACE_HHMMSS = r"^\d{4}-\d{2}-\d{2} \d{6}"
@@ -39,6 +42,8 @@ DATE_T_HHMM = r"^\d{4}-\d{2}-\d{2}T\d{4}"
 DATE_T_HH_MM_SS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 # --- end of fixed values ------------------------------------------------------
 
+_MONTH_FIRST = "(?i)^(" + "|".join(MONTH_NAMES) + ") "
+
 # Shape a value must have before Spark's lenient cast may read it: a full
 # date, optionally a time, fraction and zone offset.
 TIMESTAMP_SHAPE = (r"^\d{4}-\d{1,2}-\d{1,2}"
@@ -96,6 +101,12 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
     """
     col = _col(c)
     no_weekday = F.regexp_replace(F.regexp_replace(col, r"^[A-Za-z]+,\s", ""), r"\s+", " ")
+
+    def long_date(text: Column) -> Column:
+        # Only a full month name can parse; testing for one first spares the
+        # parser a thrown exception per abbreviated or misspelt month.
+        return F.when(text.rlike(_MONTH_FIRST), F.try_to_timestamp(strip_ordinals(text), F.lit(LONG_DATE_FORMAT)))
+
     # Arms 5-7 only apply to text shaped like a full date, which arms 2-4 never
     # match, so the shape is tested once and guards all three.
     day = col.try_cast("date")
@@ -105,10 +116,8 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
     return (
         F.when(col.contains(NOT_A_DATE), F.lit(None).cast("timestamp"))
         .when(col.rlike(TIMESTAMP_SHAPE), shaped)
-        .when(col.rlike(WEEKDAY_LONG_DATE),
-              F.try_to_timestamp(strip_ordinals(no_weekday), F.lit(LONG_DATE_FORMAT)))
-        .when(col.rlike(LONG_DATE),
-              F.try_to_timestamp(strip_ordinals(col), F.lit(LONG_DATE_FORMAT)))
+        .when(col.rlike(WEEKDAY_LONG_DATE), long_date(no_weekday))
+        .when(col.rlike(LONG_DATE), long_date(col))
         .when(col.rlike(DATE_TEST_SUFFIX),
               F.try_to_timestamp(F.substring(col, 1, 10), F.lit("yyyy-MM-dd")))
     )

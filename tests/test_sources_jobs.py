@@ -190,3 +190,32 @@ def test_object_store_style_uri_and_oversized_files(spark, caplog):
     with caplog.at_level(logging.WARNING):
         jobs.flat_record_job(spark, path, catalog.RUN_TS, warn_file_bytes=10)
     assert any("one task" in r.getMessage() for r in caplog.records)
+
+
+def test_no_python_evaluation_in_any_query_plan(spark):
+    """Only the surrogate key has a Python step (a vectorised mapInPandas)."""
+    for name, build in catalog.queries().items():
+        plan = build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        if name != "surrogate_key":
+            assert "MapInPandas" not in plan and "PythonUDF" not in plan, name
+
+
+def test_library_never_collects_datasets():
+    """Driver-side reads are limited to one-row summaries and bounded lists."""
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "lakewash")
+    allowed = {
+        ("quality.py", "not_null_violations(df, cols).collect()"),   # one row per listed column
+        ("quality.py", "df.agg(*aggs).first()"),                      # the one-row profile
+        ("jobs.py", "oversized_files(spark, input_path, warn_file_bytes).limit(20).collect()"),
+    }
+    found = set()
+    for dirpath, _, files in os.walk(root):
+        for f in (f for f in files if f.endswith(".py")):
+            for line in open(os.path.join(dirpath, f)):
+                if re.search(r"\.(collect|toPandas|first|take)\(", line):
+                    found.add((f, line.strip()))
+    assert len(found) == len(allowed)
+    for f, line in found:
+        assert any(f == af and snippet in line for af, snippet in allowed), (f, line)

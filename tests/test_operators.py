@@ -231,3 +231,31 @@ def test_copy_ordinals_across_batches():
                pd.DataFrame({"_lw_h": []}), pd.DataFrame({"_lw_h": [3, 4]})]
     out = [list(b["_lw_ord"]) for b in ids.copy_ordinal_counter()(iter(batches))]
     assert out == [[0, 1, 0], [1, 2, 0], [], [1, 0]]
+
+
+def test_hot_orphan_key_is_split_by_aqe(spark):
+    """With broadcast off, a key holding a third of the child is cut into
+    several tasks by AQE's skew-join handling (left-anti is supported)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        parent = spark.range(0, 20000).select(F.col("id").alias("pk"))
+        child = spark.range(0, 60000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 30000).alias("fk"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        df = quality.foreign_key_orphans(child, parent, ["fk"], ["pk"])
+        rows = df.collect()
+        assert len(rows) == child.where((F.col("fk") < 0) | (F.col("fk") >= 20000)).count()
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

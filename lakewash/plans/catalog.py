@@ -24,6 +24,7 @@ from lakewash.operators import ids, mapping, nested, quality
 from lakewash.plans import fixtures as FX
 from lakewash.plans import jobs
 from lakewash.plans import oracle as O
+from lakewash.plans import targets
 from lakewash.session import pin_utc, scratch_path
 from lakewash.sources import readers, sinks
 
@@ -690,6 +691,48 @@ def job_nested_jobs(spark, sf_dir):
     return _nested_job(spark, sf_dir, "jobs_history")
 
 
+def _with_errors(df: DataFrame) -> DataFrame:
+    return df.withColumn("conform_errors", F.array_join(mapping.CONFORM_ERRORS, ",")).drop(mapping.CONFORM_ERRORS)
+
+
+_USERS_TBL_COLS = ", ".join(f.name for f in targets.USERS_TBL.fields)
+
+
+@register("target_users_tbl", f"SELECT {_USERS_TBL_COLS}, CASE WHEN user_id IS NULL THEN 'user_id' ELSE '' END "
+                              f"AS conform_errors FROM ({_nested_users_sql()})")
+def target_users_tbl(spark, sf_dir):
+    """P14 on the users target table: the nested job's users in its shape."""
+    return _with_errors(targets.shape_users(_nested_job(spark, sf_dir, "users")))
+
+
+@register("target_telephone_numbers",
+          "SELECT CAST(row_number() OVER (ORDER BY user_id, uuid) AS INTEGER) AS id, user_id, "
+          "try_cast(telephone_numbers AS BIGINT) AS telephone_number, inserted_date, '' AS conform_errors "
+          f"FROM ({_nested_phones_sql()})")
+def target_telephone_numbers(spark, sf_dir):
+    """P13 + P14: serial ids and the integer number column of the target."""
+    return _with_errors(targets.shape_telephone_numbers(_nested_job(spark, sf_dir, "telephone_numbers")))
+
+
+@register("target_jobs_history",
+          "SELECT CAST(row_number() OVER (ORDER BY user_id, uuid) AS INTEGER) AS id, user_id, occupation, "
+          'is_fulltime, start_date AS "start", end_date AS "end", employer, inserted_date, \'\' AS conform_errors '
+          f"FROM ({_nested_jobs_sql()})")
+def target_jobs_history(spark, sf_dir):
+    """P13 + P14: serial ids, dates under the target's start / end names."""
+    return _with_errors(targets.shape_jobs_history(_nested_job(spark, sf_dir, "jobs_history")))
+
+
+@register("target_flat_records",
+          "SELECT uuid, CAST(id AS INTEGER) AS id, name, address, color, created_at_ori, created_at, "
+          "last_login_ori, last_login, is_claimed_ori, is_claimed, paid_amount, inserted_date, "
+          f"CASE WHEN uuid IS NULL THEN 'uuid' ELSE '' END AS conform_errors FROM ({flat_clean_sql()})")
+def target_flat_records(spark, sf_dir):
+    """P14 on the flat-record target table."""
+    return _with_errors(targets.shape_flat_records(
+        jobs.flat_record_job(spark, write_flat_csv(spark, sf_dir), RUN_TS).frames["records"]))
+
+
 @register("stream_flat_records", flat_clean_sql())
 def stream_flat_records(spark, sf_dir):
     """The flat-record mapping run incrementally with Structured Streaming

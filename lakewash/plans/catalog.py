@@ -141,9 +141,6 @@ def jobs_sql() -> str:
     return " UNION ALL ".join(arms)
 
 
-EVENTS_SQL = FX.derive_sql("events", FX.EVENT_TEXTS, keep=["event_id"])
-
-
 def _scalar(name: str, table_name: str, key: str, raw_sql: str, spark_fn, duck_fn, keep_raw: bool = True):
     """Register ``(key, raw, cleaned)`` over a derived text column."""
     raw_cols = ", raw" if keep_raw else ""

@@ -14,7 +14,6 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 log = logging.getLogger(__name__)
 
@@ -191,7 +190,3 @@ def staged_refresh_jdbc(df: DataFrame, url: str, table: str, properties: Mapping
     finally:
         conn.close()
     return {"staged_rows": rows, "dest_rows": inserted}
-
-
-def is_missing_path_error(err: Exception) -> bool:
-    return isinstance(err, AnalysisException) and "PATH_NOT_FOUND" in str(err)

@@ -118,6 +118,8 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
               .withColumn("_lw_tag", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     part = F.shiftright("_lw_tag", 33)
+    # One row per range partition, so the running sum over all of them (a
+    # window without partitions) sees at most num_partitions rows.
     offsets = (tagged.groupBy(part.alias("_lw_part")).agg(F.count(F.lit(1)).alias("_lw_rows"))
                .withColumn("_lw_offset", F.coalesce(
                    F.sum("_lw_rows").over(Window.orderBy("_lw_part")

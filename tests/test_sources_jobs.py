@@ -219,3 +219,13 @@ def test_library_never_collects_datasets():
     assert len(found) == len(allowed)
     for f, line in found:
         assert any(f == af and snippet in line for af, snippet in allowed), (f, line)
+
+
+def test_flat_job_loads_through_staged_refresh(spark):
+    """The flat job's output replaces a table all-or-nothing."""
+    path = _write(scratch_path(spark, "t-b3"), "in.csv", CSV_TEXT)
+    target = scratch_path(spark, "t-b3-target")
+    sinks.staged_refresh(spark.range(7).select(F.col("id").cast("string").alias("id")), target)
+    res = jobs.flat_record_job(spark, path, catalog.RUN_TS, sink=lambda d: sinks.staged_refresh(d, target))
+    assert res.metrics["dest_count"] == 2
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["1", "2"]

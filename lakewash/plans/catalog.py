@@ -2,9 +2,10 @@
 say the same thing) with DuckDB oracle SQL over the same parquet tables.
 
 Every query reads the given tables - whole tables, whole texts - or data
-Spark derives from them. Dirty input comes from :mod:`lakewash.plans.fixtures`.
-Round trips through files stage data under the session's
-``spark.checkpoint.dir`` in a fresh folder per call.
+Spark derives from them. Dirty input comes from :mod:`lakewash.plans.fixtures`;
+the dirty CSV and JSON input files are written once per application under the
+session's ``spark.checkpoint.dir``, and every sink round trip writes to a
+fresh folder there.
 
 All timestamp outputs leave as ``timestamp_ntz`` (the zone-less form a
 target table stores), so the comparison does not depend on a machine zone.

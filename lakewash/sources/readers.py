@@ -65,10 +65,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _json(spark: SparkSession, path: str, options: Mapping[str, object] | None,
+          schema: T.StructType | None) -> DataFrame:
+    multi = str((options or {}).get("multiLine", "false")).lower() == "true"
+    if schema is None:  # inferred: one extra pass over the input
+        return spark.read.option("multiLine", str(multi).lower()).json(path)
+    return read_json(spark, path, schema, multi_line=multi)
+
+
 _READERS: dict[str, Callable[..., DataFrame]] = {
     "csv": lambda spark, path, options, schema: read_csv(spark, path, options, schema),
-    "json": lambda spark, path, options, schema: read_json(
-        spark, path, schema, multi_line=str((options or {}).get("multiLine", "false")).lower() == "true"),
+    "json": _json,
     "parquet": lambda spark, path, options, schema: read_parquet(spark, path),
 }
 
@@ -76,11 +83,10 @@ _READERS: dict[str, Callable[..., DataFrame]] = {
 def read_data(spark: SparkSession, path: str, file_format: str, options: Mapping[str, object] | None = None,
               schema: T.StructType | None = None) -> DataFrame:
     """Dispatch on ``file_format`` (``csv``, ``json``, ``parquet``); any other
-    format raises ``ValueError``."""
+    format raises ``ValueError``. JSON without a schema is inferred (an extra
+    pass); with one, malformed lines are kept in ``_corrupt_record``."""
     if file_format not in _READERS:
         raise ValueError(f"Unsupported file format: {file_format}")
-    if file_format == "json" and schema is None:
-        raise ValueError("a JSON source needs a declared schema")
     return _READERS[file_format](spark, path, options, schema)
 
 

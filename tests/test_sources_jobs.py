@@ -37,8 +37,8 @@ def test_csv_dialect_multiline_and_quotes(spark):
 def test_read_data_dispatch(spark):
     with pytest.raises(ValueError, match="Unsupported"):
         readers.read_data(spark, "/nowhere", "xml")
-    with pytest.raises(ValueError, match="schema"):
-        readers.read_data(spark, "/nowhere", "json")
+    inferred = _write(scratch_path(spark, "t-json-infer"), "a.json", '{"a": 1, "b": "x"}\n')
+    assert readers.read_data(spark, inferred, "json").columns == ["a", "b"]
     assert readers.read_data(spark, f"{SF_SMALL}/region.parquet", "parquet").count() == 5
 
 
@@ -229,3 +229,19 @@ def test_flat_job_loads_through_staged_refresh(spark):
     res = jobs.flat_record_job(spark, path, catalog.RUN_TS, sink=lambda d: sinks.staged_refresh(d, target))
     assert res.metrics["dest_count"] == 2
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["1", "2"]
+
+
+def test_command_line_runs(spark, capsys):
+    from lakewash.plans import cli
+    src = _write(scratch_path(spark, "t-cli"), "in.csv", CSV_TEXT)
+    out = scratch_path(spark, "t-cli-out")
+    metrics = cli.main(["flat", "--input", src, "--sink", "parquet", "--output", out,
+                        "--run-ts", catalog.RUN_TS], spark=spark)
+    assert metrics["dest_count"] == 2 and spark.read.parquet(out).count() == 2
+    assert '"dest_count": 2' in capsys.readouterr().out
+    nested_out = scratch_path(spark, "t-cli-nested")
+    metrics = cli.main(["nested", "--input", catalog.write_nested_json(spark, SF_SMALL), "--sink", "parquet",
+                        "--output", nested_out, "--run-ts", catalog.RUN_TS], spark=spark)
+    assert metrics["users_count"] == spark.read.parquet(nested_out + "/users").count() == 150
+    with pytest.raises(SystemExit):
+        cli.main(["flat", "--input", src, "--sink", "jdbc"], spark=spark)

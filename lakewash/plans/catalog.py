@@ -86,6 +86,15 @@ def write_nested_json(spark: SparkSession, sf_dir: str) -> str:
     return _write_once(spark, sf_dir, "nested-json", lambda: _write_nested_json(spark, sf_dir))
 
 
+def write_flat_as(spark: SparkSession, sf_dir: str, fmt: str) -> str:
+    """The same dirty flat records as Parquet or line JSON files."""
+    def write() -> str:
+        path = scratch_path(spark, f"flat-{fmt}")
+        FX.flat_source(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.format(fmt).save(path)
+        return path
+    return _write_once(spark, sf_dir, f"flat-{fmt}", write)
+
+
 def _write_flat_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "flat-csv")
     # Files arrive as many files; a multi-line CSV file cannot be split.
@@ -641,6 +650,20 @@ def job_flat_records(spark, sf_dir):
     return jobs.flat_record_job(spark, write_flat_csv(spark, sf_dir), RUN_TS).frames["records"]
 
 
+@register("job_flat_records_parquet", flat_clean_sql())
+def job_flat_records_parquet(spark, sf_dir):
+    """B1 with Parquet input (format dispatch): the same table as from CSV."""
+    return jobs.flat_record_job(spark, write_flat_as(spark, sf_dir, "parquet"), RUN_TS,
+                                file_format="parquet").frames["records"]
+
+
+@register("job_flat_records_json", flat_clean_sql())
+def job_flat_records_json(spark, sf_dir):
+    """B1 with line-JSON input and an inferred schema: the same table again."""
+    return jobs.flat_record_job(spark, write_flat_as(spark, sf_dir, "json"), RUN_TS,
+                                file_format="json").frames["records"]
+
+
 def _nested_users_sql() -> str:
     return (
         f"SELECT user_id, {O.stable_uuid(O.q('users'), 'user_id')} AS uuid, created_at AS created_at_ori, "

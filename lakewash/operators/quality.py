@@ -188,6 +188,21 @@ def cleaning_failure_report(df: DataFrame, pairs: Mapping[str, tuple[str, str]])
                     for name, (raw, clean) in pairs.items()])
 
 
+def quality_report(df: DataFrame, required: Sequence[str] = (), clean_pairs: Mapping[str, tuple[str, str]] | None = None,
+                   rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """Several checks in one aggregate pass, as one row: ``row_count``,
+    ``nulls_<col>`` for each required column, ``failed_<name>`` for each
+    ``(raw, cleaned)`` pair whose raw value did not clean, and
+    ``broken_<rule>`` for each contract rule (null counts as broken)."""
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    aggs += [F.count_if(_q(c).isNull()).alias(f"nulls_{c}") for c in required]
+    aggs += [F.count_if(_q(raw).isNotNull() & _q(clean).isNull()).alias(f"failed_{name}")
+             for name, (raw, clean) in (clean_pairs or {}).items()]
+    aggs += [F.count_if(~F.coalesce(pred, F.lit(False))).alias(f"broken_{name}")
+             for name, pred in (rules or {}).items()]
+    return df.agg(*aggs)
+
+
 def unparsed_rows(df: DataFrame, raw: str, cleaned: str, marker: str | None = None) -> DataFrame:
     """Rows whose raw value failed to clean, leaving out a known marker
     (such as ``not a date``) that is meant to become null."""

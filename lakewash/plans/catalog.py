@@ -586,6 +586,25 @@ def cleaning_failure_report(spark, sf_dir):
         c: (f"{c}_ori", c) for c in ["created_at", "last_login", "is_claimed"]})
 
 
+_REPORT_PAIRS = {c: (f"{c}_ori", c) for c in ["created_at", "last_login", "is_claimed"]}
+
+
+@register("quality_report",
+          "SELECT count(*) AS row_count, CAST(count_if(id IS NULL) AS BIGINT) AS nulls_id, "
+          "CAST(count_if(uuid IS NULL) AS BIGINT) AS nulls_uuid, "
+          + ", ".join(f"CAST(count_if({c}_ori IS NOT NULL AND {c} IS NULL) AS BIGINT) AS failed_{c}"
+                      for c in _REPORT_PAIRS)
+          + ", CAST(count_if(NOT coalesce(name IS NOT NULL AND trim(name) <> '', FALSE)) AS BIGINT) AS broken_name_present"
+          + ", CAST(count_if(NOT coalesce(paid_amount IS NOT NULL, FALSE)) AS BIGINT) AS broken_paid_amount_present"
+          + f" FROM ({flat_clean_sql()})")
+def quality_report(spark, sf_dir):
+    """Q1 + Q4 + Q12 + Q13 in one aggregate pass over the cleaned records."""
+    return quality.quality_report(
+        _flat_cleaned(spark, sf_dir), required=["id", "uuid"], clean_pairs=_REPORT_PAIRS,
+        rules={"name_present": F.col("name").isNotNull() & (F.col("name") != ""),
+               "paid_amount_present": F.col("paid_amount").isNotNull()})
+
+
 @register("latest_per_key",
           "SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER "
           "(PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC, event_type DESC, value DESC, "

@@ -259,3 +259,13 @@ def test_hot_orphan_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_quality_report_one_pass(spark):
+    df = spark.createDataFrame([("1", "a", None), ("2", None, "x"), (None, "b", "y")], "id string, raw string, v string")
+    df = df.withColumn("clean", F.when(F.col("raw") == "a", F.lit("A")))
+    row = quality.quality_report(df, required=["id"], clean_pairs={"raw": ("raw", "clean")},
+                                 rules={"v_set": F.col("v").isNotNull()}).first()
+    assert row.asDict() == {"row_count": 3, "nulls_id": 1, "failed_raw": 1, "broken_v_set": 1}
+    plan = quality.quality_report(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # a single aggregate

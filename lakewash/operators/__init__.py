@@ -11,7 +11,8 @@ from lakewash.operators.mapping import (
 from lakewash.operators.nested import explode_scalars, explode_structs, flatten_struct, nested_to_relational
 from lakewash.operators.quality import (
     cascade_delete, cleaning_failure_report, contract_flags, duplicate_keys, foreign_key_orphans,
-    latest_per_key, not_null_violations, null_counts, primary_key_violations, profile, require_non_empty,
+    latest_per_key, not_null_violations, null_counts, primary_key_violations, profile, quality_report,
+    require_non_empty,
     require_not_null, require_unique, row_cap, row_count, split_by_contract, split_rejects,
     unparsed_rows, uuid_format_violations,
 )

@@ -655,9 +655,9 @@ _scalar("mask_secret", "customer", "c_custkey", "'pw-' || CAST(c_custkey * 31 %
         X.mask_secret, lambda x: "'********'")
 _scalar("regex_predicate", "part", "p_partkey", "p_name", lambda c: X.matches(c, r"^(red|blue) "),
         lambda x: f"regexp_matches({x}, '^(red|blue) ')")
-_scalar("substring_length", "documents", "doc_id", "text",
-        lambda c: F.concat_ws("|", X.text_prefix(c, 20), X.text_length(c).cast("string")),
-        lambda x: f"concat_ws('|', substr({x}, 1, 20), CAST(length({x}) AS VARCHAR))", keep_raw=False)
+_scalar("substring_length", "events", "event_id", FX.EVENT_TEXTS[0][1],
+        lambda c: F.concat_ws("|", X.text_prefix(c, 10), X.text_length(c).cast("string")),
+        lambda x: f"concat_ws('|', substr({x}, 1, 10), CAST(length({x}) AS VARCHAR))")
 
 
 # ============================================================ whole jobs

@@ -245,3 +245,15 @@ def test_command_line_runs(spark, capsys):
     assert metrics["users_count"] == spark.read.parquet(nested_out + "/users").count() == 150
     with pytest.raises(SystemExit):
         cli.main(["flat", "--input", src, "--sink", "jdbc"], spark=spark)
+
+
+def test_pretty_printed_json_needs_multiline(spark):
+    text = ('[\n  {\n    "user_id": "u1",\n    "logged_at": 1\n  },\n'
+            '  {\n    "user_id": "u2",\n    "logged_at": 2\n  }\n]\n')
+    path = _write(scratch_path(spark, "t-pretty"), "in.json", text)
+    schema = jobs.NESTED_SCHEMA
+    whole = readers.read_json(spark, path, schema, multi_line=True).select("user_id").collect()
+    assert sorted(r.user_id for r in whole) == ["u1", "u2"]
+    by_line = readers.read_json(spark, path, schema).cache()
+    assert by_line.where(F.col("user_id").isNotNull()).count() == 0
+    assert by_line.where(F.col(readers.CORRUPT_RECORD).isNotNull()).count() > 0

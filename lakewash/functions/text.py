@@ -41,20 +41,26 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _text(c: ColumnOrName) -> Column:
+    """The input read as text, so a column that schema inference typed (a
+    number, a timestamp) is cleaned like its written form. A no-op on text."""
+    return _col(c).cast("string")
+
+
 def trim_text(c: ColumnOrName) -> Column:
     """Strip spaces at both ends (spaces only; tabs and newlines stay)."""
-    return F.trim(_col(c))
+    return F.trim(_text(c))
 
 
 def single_line_text(c: ColumnOrName) -> Column:
     """Newlines become spaces, then the ends are trimmed (a character map,
     no regex engine)."""
-    return F.trim(F.translate(_col(c), "\n", " "))
+    return F.trim(F.translate(_text(c), "\n", " "))
 
 
 def initcap_text(c: ColumnOrName) -> Column:
     """Trim, then capitalise each space-separated word (the rest lower-cased)."""
-    return F.initcap(F.trim(_col(c)))
+    return F.initcap(F.trim(_text(c)))
 
 
 def regex_chain(c: ColumnOrName, rewrites: Iterable[tuple[str, str]]) -> Column:
@@ -62,7 +68,7 @@ def regex_chain(c: ColumnOrName, rewrites: Iterable[tuple[str, str]]) -> Column:
 
     Replacements use Java syntax: a group is ``$1``.
     """
-    return reduce(lambda acc, pr: F.regexp_replace(acc, pr[0], pr[1]), rewrites, _col(c))
+    return reduce(lambda acc, pr: F.regexp_replace(acc, pr[0], pr[1]), rewrites, _text(c))
 
 
 # The same four rewrites in two regex passes. Whitespace is dropped before the
@@ -84,7 +90,7 @@ def clean_phone(c: ColumnOrName) -> Column:
     loses only the ``x``, so the 12 stays. Evaluated in two regex passes
     instead of four (same result; see ``tests/test_functions.py``).
     """
-    digits = F.regexp_replace(F.regexp_replace(_col(c), _PHONE_PREFIX, ""), _PHONE_REST, "")
+    digits = F.regexp_replace(F.regexp_replace(_text(c), _PHONE_PREFIX, ""), _PHONE_REST, "")
     return F.when(F.length(digits) == PHONE_DIGITS, digits)
 
 
@@ -95,7 +101,7 @@ def clean_identity_number(c: ColumnOrName) -> Column:
     Whitespace-only input gives an empty string. Whitespace exposed by a
     removed tag stays. ``\\s`` is Java's ASCII whitespace class.
     """
-    col = _col(c)
+    col = _text(c)
     cleaned = regex_chain(col, [(r"^\s+|\s+$", ""), ("-", ""), (BREAK_TAG_PATTERN, "")])
     return F.when(col.isNull() | (col == ""), F.lit(None).cast("string")).otherwise(cleaned)
 
@@ -104,7 +110,7 @@ def clean_boolean(c: ColumnOrName) -> Column:
     """Lower-case, repair known misspellings once left to right, then read
     exactly ``true`` / ``false``; anything else (including padded text) is null.
     """
-    text = F.lower(_col(c).cast("string"))
+    text = F.lower(_text(c))
     for wrong, right in BOOLEAN_REPAIRS:
         text = F.replace(text, F.lit(wrong), F.lit(right))
     return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
@@ -115,18 +121,18 @@ def file_stem(c: ColumnOrName) -> Column:
 
     ``s3a://b/d/a.b.csv`` -> ``a.b``; a name with no dot -> empty string.
     """
-    name = F.substring_index(_col(c), "/", -1)
+    name = F.substring_index(_text(c), "/", -1)
     return F.regexp_extract(name, r"(?s)^(.*)\.[^.]*$", 1)
 
 
 def strip_ordinals(c: ColumnOrName) -> Column:
     """``March 22nd, 2024`` -> ``March 22, 2024``."""
-    return F.regexp_replace(_col(c), ORDINAL_PATTERN, "$1")
+    return F.regexp_replace(_text(c), ORDINAL_PATTERN, "$1")
 
 
 def hash_identifier(c: ColumnOrName) -> Column:
     """Hex SHA-256 of the text; null stays null."""
-    return F.sha2(_col(c).cast("string"), 256)
+    return F.sha2(_text(c), 256)
 
 
 def mask_secret(c: ColumnOrName | None = None) -> Column:
@@ -136,14 +142,14 @@ def mask_secret(c: ColumnOrName | None = None) -> Column:
 
 def matches(c: ColumnOrName, pattern: str) -> Column:
     """True when the pattern is found anywhere in the text (Java regex)."""
-    return _col(c).rlike(pattern)
+    return _text(c).rlike(pattern)
 
 
 def text_length(c: ColumnOrName) -> Column:
     """Length in characters as a 64-bit integer."""
-    return F.length(_col(c)).cast("bigint")
+    return F.length(_text(c)).cast("bigint")
 
 
 def text_prefix(c: ColumnOrName, n: int) -> Column:
     """The first ``n`` characters."""
-    return F.substring(_col(c), 1, n)
+    return F.substring(_text(c), 1, n)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakewash.functions.text import ColumnOrName, _col, strip_ordinals
+from lakewash.functions.text import ColumnOrName, _col, _text, strip_ordinals
 
 # --- fixed values: bounds and patterns that decide which rows are cleaned ---
 # Dates before the lower bound or after the upper bound are clamped to it.
@@ -58,7 +58,7 @@ _MAX_EPOCH = 253402300799  # 9999-12-31 23:59:59 UTC
 
 def safe_timestamp(c: ColumnOrName) -> Column:
     """Lenient Spark cast, but only for text shaped like a full date(-time)."""
-    col = _col(c)
+    col = _text(c)
     return F.when(col.rlike(TIMESTAMP_SHAPE), col.try_cast("timestamp"))
 
 
@@ -66,7 +66,7 @@ def text_to_date(c: ColumnOrName) -> Column:
     """Date from ``yyyy-MM-dd`` text (anything after a space or ``T`` is
     ignored, as a Spark date cast does); other shapes and impossible dates
     give null."""
-    col = _col(c)
+    col = _text(c)
     return F.when(col.rlike(DATE_SHAPE), col.try_cast("date"))
 
 
@@ -99,7 +99,7 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
 
     Arms 2 to 4 are not clamped. The day of month is kept in arms 2 and 3.
     """
-    col = _col(c)
+    col = _text(c)
     no_weekday = F.regexp_replace(F.regexp_replace(col, r"^[A-Za-z]+,\s", ""), r"\s+", " ")
 
     def long_date(text: Column) -> Column:
@@ -126,7 +126,7 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
 def epoch_text_to_timestamp(c: ColumnOrName) -> Column:
     """Epoch seconds written as digits -> timestamp. Fractions, signs other
     than a leading minus, and values past the year 9999 give null."""
-    col = _col(c)
+    col = _text(c)
     return F.when(col.rlike(EPOCH_TEXT_SHAPE), epoch_to_timestamp(col.try_cast("bigint")))
 
 
@@ -138,7 +138,7 @@ def epoch_to_timestamp(c: ColumnOrName) -> Column:
 
 def parse_with_pattern(c: ColumnOrName, pattern: str) -> Column:
     """Parse with a Spark datetime pattern; null when the text does not fit."""
-    return F.try_to_timestamp(_col(c), F.lit(pattern))
+    return F.try_to_timestamp(_text(c), F.lit(pattern))
 
 
 def repair_time_string(c: ColumnOrName) -> Column:
@@ -153,7 +153,7 @@ def repair_time_string(c: ColumnOrName) -> Column:
 
     Text after the matched prefix (fractions, zone suffix) is ignored.
     """
-    col = _col(c)
+    col = _text(c)
     date_part = F.substring(col, 1, 10)
 
     def hms(h: Column, m: Column, s: Column) -> Column:

@@ -147,3 +147,15 @@ def test_zone_offsets_become_utc(spark):
     DuckDB fixtures, whose TIMESTAMP ignores them)."""
     out = column_values(spark, ["2024-01-05 10:00:00+08:00", "2024-01-05T10:00:00Z"], X.clean_timestamp)
     assert out == [datetime(2024, 1, 5, 2), datetime(2024, 1, 5, 10)]
+
+
+def test_cleaners_accept_inferred_types(spark):
+    """Schema inference may hand a cleaner a number, a boolean or a timestamp;
+    it is cleaned like its written form."""
+    df = spark.createDataFrame([(datetime(1850, 1, 1, 5), 1700000000, 5551234567, True)],
+                               "ts timestamp, ep bigint, ph bigint, b boolean")
+    row = df.select(X.clean_timestamp("ts").alias("a"), X.epoch_text_to_timestamp("ep").alias("b"),
+                    X.clean_phone("ph").alias("c"), X.clean_boolean("b").alias("d"),
+                    X.clean_identity_number("ep").alias("e"), X.text_to_date("ts").alias("f")).first()
+    assert tuple(row) == (datetime(1900, 1, 1), datetime(2023, 11, 14, 22, 13, 20), "5551234567", True,
+                          "1700000000", date(1850, 1, 1))

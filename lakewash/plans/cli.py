@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakewash.plans import jobs
 from lakewash.sources import sinks
 
-SINKS = ("parquet", "csv", "delta", "jdbc", "staged", "noop")
+SINKS = ("parquet", "csv", "delta", "jdbc", "staged", "table", "noop")
 
 
 def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataFrame], None]:
@@ -42,6 +42,14 @@ def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataF
         return lambda df: sinks.staged_refresh(df, where)
     if args.sink == "noop":
         return lambda df: df.write.format("noop").mode("overwrite").save()
+    if args.sink == "table":
+        name = table if (table and args.job == "nested") else args.table
+        if not name:
+            raise SystemExit("--table is needed for the table sink")
+        key = ["user_id"] if args.job == "nested" else ["id"]
+        buckets = args.buckets or None
+        return lambda df: sinks.write_table(df, name, "overwrite" if args.mode == "overwrite" else "append",
+                                            bucket_by=key if buckets else (), num_buckets=buckets)
     if not args.jdbc_url:
         raise SystemExit("--jdbc-url is needed for the jdbc sink")
     props = {k: v for k, v in {"user": args.jdbc_user, "driver": args.jdbc_driver,
@@ -70,6 +78,9 @@ def parser() -> argparse.ArgumentParser:
         j.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
         j.add_argument("--jdbc-driver")
         j.add_argument("--jdbc-partitions", type=int, default=None, help="parallel connections at most")
+        j.add_argument("--buckets", type=int, default=0,
+                       help="table sink: bucket on the key (user_id for the nested tables) so that "
+                            "foreign-key checks between them need no shuffle")
         if name == "flat":
             j.add_argument("--format", default="csv", choices=("csv", "json", "parquet"))
             j.add_argument("--delimiter", default=",")
@@ -101,8 +112,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
                   "jobs_history": args.jobs_table}
         res = jobs.nested_record_job(
             spark, args.input, run_ts, uuid_mode=args.uuid,
-            sinks={k: _sink(args, v if args.sink == "jdbc" else k) for k, v in tables.items()},
-            rejects_sink=_sink(args, "rejects") if args.sink != "jdbc" else None)
+            sinks={k: _sink(args, v if args.sink in ("jdbc", "table") else k) for k, v in tables.items()},
+            rejects_sink=_sink(args, "rejects") if args.sink not in ("jdbc", "table") else None)
     metrics = {"job": args.job, **res.metrics}
     print(json.dumps(metrics, default=str))
     return metrics

@@ -33,6 +33,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.driver.memory", os.environ.get("LAKEWASH_DRIVER_MEMORY", "8g"))
+        # a fresh warehouse for catalog tables written by tests and benches
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

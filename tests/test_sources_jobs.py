@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from lakewash.operators import quality
 from lakewash.plans import catalog, jobs
 from lakewash.session import scratch_path
 from lakewash.sources import readers, sinks
@@ -245,6 +246,12 @@ def test_command_line_runs(spark, capsys):
     assert metrics["users_count"] == spark.read.parquet(nested_out + "/users").count() == 150
     with pytest.raises(SystemExit):
         cli.main(["flat", "--input", src, "--sink", "jdbc"], spark=spark)
+    cli.main(["nested", "--input", catalog.write_nested_json(spark, SF_SMALL), "--sink", "table", "--buckets", "4",
+              "--users-table", "cli_users", "--phones-table", "cli_phones", "--jobs-table", "cli_jobs",
+              "--run-ts", catalog.RUN_TS], spark=spark)
+    assert spark.table("cli_users").count() == 150
+    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED cli_phones").collect()}
+    assert info.get("Num Buckets") == "4" and "user_id" in info.get("Bucket Columns", "")
 
 
 def test_pretty_printed_json_needs_multiline(spark):
@@ -257,3 +264,26 @@ def test_pretty_printed_json_needs_multiline(spark):
     by_line = readers.read_json(spark, path, schema).cache()
     assert by_line.where(F.col("user_id").isNotNull()).count() == 0
     assert by_line.where(F.col(readers.CORRUPT_RECORD).isNotNull()).count() > 0
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    """Parent and child saved bucketed on the key: the foreign-key check
+    plans with no exchange at all."""
+    res = jobs.nested_record_job(spark, catalog.write_nested_json(spark, SF_SMALL), catalog.RUN_TS)
+    kept_users = res.frames["users"].where(F.col("is_active").isNull() | F.col("is_active"))
+    sinks.write_table(kept_users, "lw_users_b", bucket_by=["user_id"], num_buckets=8)
+    sinks.write_table(res.frames["telephone_numbers"], "lw_phones_b", bucket_by=["user_id"], num_buckets=8,
+                      sort_by=["user_id"])
+    users, phones = spark.table("lw_users_b"), spark.table("lw_phones_b")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too big to broadcast
+    try:
+        orphans = quality.foreign_key_orphans(phones, users, ["user_id"])
+        plan = orphans._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        expected = phones.join(users.select("user_id"), "user_id", "left_anti").count()
+        assert orphans.count() == expected > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with pytest.raises(ValueError):
+        sinks.write_table(users, "lw_bad", bucket_by=["user_id"])

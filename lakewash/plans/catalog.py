@@ -773,6 +773,24 @@ def target_flat_records(spark, sf_dir):
         jobs.flat_record_job(spark, write_flat_csv(spark, sf_dir), RUN_TS).frames["records"]))
 
 
+@register("fk_orphans_bucketed",
+          f"SELECT p.* FROM ({_nested_phones_sql()}) p WHERE p.user_id IS NOT NULL AND NOT EXISTS "
+          f"(SELECT 1 FROM ({_nested_users_sql()}) u WHERE (u.is_active IS NULL OR u.is_active) "
+          f"AND u.user_id = p.user_id)")
+def fk_orphans_bucketed(spark, sf_dir):
+    """Q10 between loaded tables bucketed on user_id: phones whose user was
+    left out of the users table (inactive users), with no shuffle when the
+    tables are too big to broadcast."""
+    res = jobs.nested_record_job(spark, write_nested_json(spark, sf_dir), RUN_TS)
+    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    users, phones = f"lw_users_{tag}", f"lw_phones_{tag}"
+    kept = res.frames["users"].where(F.col("is_active").isNull() | F.col("is_active"))
+    sinks.write_table(kept, users, bucket_by=["user_id"], num_buckets=8, path=scratch_path(spark, users))
+    sinks.write_table(res.frames["telephone_numbers"], phones, bucket_by=["user_id"], num_buckets=8,
+                      path=scratch_path(spark, phones))
+    return quality.foreign_key_orphans(spark.table(phones), spark.table(users), ["user_id"])
+
+
 @register("stream_flat_records", flat_clean_sql())
 def stream_flat_records(spark, sf_dir):
     """The flat-record mapping run incrementally with Structured Streaming

@@ -49,8 +49,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite", bucket_by: Sequence[str] = (),
                 num_buckets: int | None = None, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (),
-                fmt: str = "parquet") -> int:
-    """Save as a catalog table, optionally bucketed (and sorted) on a key.
+                fmt: str = "parquet", path: str | None = None) -> int:
+    """Save as a catalog table, optionally bucketed (and sorted) on a key;
+    with ``path`` the table's files live there instead of the warehouse.
 
     Tables bucketed on the same key with the same bucket count join and
     aggregate on that key without a shuffle - e.g. the foreign-key checks
@@ -61,6 +62,8 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", bucket_by: S
 
     def go(d: DataFrame) -> None:
         w = d.write.mode(mode).format(fmt)
+        if path:
+            w = w.option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
         if bucket_by:

@@ -287,3 +287,17 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     with pytest.raises(ValueError):
         sinks.write_table(users, "lw_bad", bucket_by=["user_id"])
+
+
+def test_nested_job_stops_before_loading(spark):
+    no_phones = '{"user_id":"u1","logged_at":1,"user_details":{"telephone_numbers":[]}}\n'
+    path = _write(scratch_path(spark, "t-nophones"), "in.json", no_phones)
+    wrote = []
+    with pytest.raises(AssertionError, match="Telephone"):
+        jobs.nested_record_job(spark, path, catalog.RUN_TS, sinks={"users": wrote.append})
+    assert wrote == []
+    res = jobs.nested_record_job(spark, path, catalog.RUN_TS, require_phones=False)
+    assert res.metrics == {"records": 1, "rejected_lines": 0}
+    bad = _write(scratch_path(spark, "t-allbad"), "in.json", "not json\n")
+    with pytest.raises(AssertionError, match="empty"):
+        jobs.nested_record_job(spark, bad, catalog.RUN_TS)

@@ -196,8 +196,9 @@ def staged_refresh_jdbc(df: DataFrame, url: str, table: str, properties: Mapping
     rows = load_jdbc(df, url, staging, "replace", properties, num_partitions)
     props = dict(properties or {})
     jvm = spark.sparkContext._jvm
-    if "driver" in props:
-        jvm.java.lang.Class.forName(props["driver"])
+    if "driver" in props:  # load it where --jars / --packages put it
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        jvm.java.lang.Class.forName(props["driver"], True, loader)
     jprops = jvm.java.util.Properties()
     for k, v in props.items():
         jprops.setProperty(k, v)

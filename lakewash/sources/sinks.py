@@ -31,9 +31,14 @@ def write_observed(df: DataFrame, write: Callable[[DataFrame], None], name: str
     return int(obs.get["rows"])
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
+def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (),
+                  max_records_per_file: int | None = None) -> int:
+    """Parquet write; ``max_records_per_file`` caps file size so a later read
+    gets evenly sized splits (no row is dropped: a task just opens more files)."""
     def go(d: DataFrame) -> None:
         w = d.write.mode(mode)
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", str(max_records_per_file))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -41,9 +46,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
-              options: Mapping[str, str] | None = None) -> int:
+              options: Mapping[str, str] | None = None, max_records_per_file: int | None = None) -> int:
     def go(d: DataFrame) -> None:
-        d.write.mode(mode).option("header", str(header).lower()).options(**(options or {})).csv(path)
+        w = d.write.mode(mode).option("header", str(header).lower()).options(**(options or {}))
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", str(max_records_per_file))
+        w.csv(path)
     return write_observed(df, go, "csv")
 
 
@@ -89,16 +97,16 @@ def write_delta(df: DataFrame, path: str, mode: str = "append") -> int:
 
 
 def write_data(df: DataFrame, output_path: str, storage_format: str,
-               partition_by: Sequence[str] = ()) -> int:
+               partition_by: Sequence[str] = (), max_records_per_file: int | None = None) -> int:
     """``delta`` and ``parquet`` append; any other format writes CSV with a
     header, replacing what was there. Returns the rows written."""
     if storage_format == "delta":
         rows = write_delta(df, output_path)
     elif storage_format == "parquet":
-        rows = write_parquet(df, output_path, "append", partition_by)
+        rows = write_parquet(df, output_path, "append", partition_by, max_records_per_file)
     else:
         log.warning("Unsupported storage format %r, defaulting to CSV.", storage_format)
-        rows = write_csv(df, output_path, "overwrite")
+        rows = write_csv(df, output_path, "overwrite", max_records_per_file=max_records_per_file)
     log.info("Written %d rows to %s.", rows, output_path)
     return rows
 

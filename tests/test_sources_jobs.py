@@ -301,3 +301,10 @@ def test_nested_job_stops_before_loading(spark):
     bad = _write(scratch_path(spark, "t-allbad"), "in.json", "not json\n")
     with pytest.raises(AssertionError, match="empty"):
         jobs.nested_record_job(spark, bad, catalog.RUN_TS)
+
+
+def test_max_records_per_file(spark):
+    path = scratch_path(spark, "t-maxrec")
+    assert sinks.write_data(spark.range(100).coalesce(1), path, "parquet", max_records_per_file=30) == 100
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.read.parquet(path).count() == 100

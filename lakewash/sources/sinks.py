@@ -25,7 +25,12 @@ class SinkUnavailable(RuntimeError):
 
 
 def write_observed(df: DataFrame, write: Callable[[DataFrame], None], name: str = "written") -> int:
-    """Run ``write`` on ``df`` and return the number of rows it wrote."""
+    """Run ``write`` on ``df`` and return the number of rows it wrote.
+
+    ``write`` must run an action on the frame it is given (a save, an insert):
+    the count arrives when that action finishes, and ``Observation.get`` waits
+    for it.
+    """
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
     return int(obs.get["rows"])

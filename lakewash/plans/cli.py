@@ -33,6 +33,9 @@ def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataF
     if args.sink in ("parquet", "csv", "delta", "staged") and not where:
         raise SystemExit(f"--output is needed for the {args.sink} sink")
     if args.sink == "parquet":
+        if args.mode == "replace-partitions":  # re-running a run replaces that run's rows
+            return lambda df: sinks.write_parquet(df, where, partition_by=["inserted_date"],
+                                                  replace_partitions=True)
         return lambda df: sinks.write_parquet(df, where, args.mode)
     if args.sink == "csv":
         return lambda df: sinks.write_csv(df, where, args.mode)
@@ -69,7 +72,9 @@ def parser() -> argparse.ArgumentParser:
         j.add_argument("--run-ts", default=None, help="load time stamped on every row (default: now, UTC)")
         j.add_argument("--sink", choices=SINKS, default="parquet")
         j.add_argument("--output", help="target path (file sinks); a folder per table for the nested job")
-        j.add_argument("--mode", default="append", help="save mode of file sinks (append, overwrite, ...)")
+        j.add_argument("--mode", default="append",
+                       help="save mode of file sinks (append, overwrite, ...); replace-partitions (parquet) "
+                            "partitions by load time and replaces only this run's partition")
         j.add_argument("--uuid", choices=("stable", "random"), default="stable")
         j.add_argument("--jdbc-url")
         j.add_argument("--table", help="target table (flat job, jdbc sink)")

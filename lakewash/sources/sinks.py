@@ -37,11 +37,22 @@ def write_observed(df: DataFrame, write: Callable[[DataFrame], None], name: str
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (),
-                  max_records_per_file: int | None = None) -> int:
+                  max_records_per_file: int | None = None, replace_partitions: bool = False) -> int:
     """Parquet write; ``max_records_per_file`` caps file size so a later read
-    gets evenly sized splits (no row is dropped: a task just opens more files)."""
+    gets evenly sized splits (no row is dropped: a task just opens more files).
+
+    ``replace_partitions`` overwrites only the partitions the new rows fall
+    in (dynamic partition overwrite) and keeps the rest: partitioned by the
+    run's load time, a re-run of the same run replaces its own rows instead
+    of adding them twice.
+    """
+    if replace_partitions and not partition_by:
+        raise ValueError("replace_partitions needs partition_by")
+
     def go(d: DataFrame) -> None:
-        w = d.write.mode(mode)
+        w = d.write.mode("overwrite" if replace_partitions else mode)
+        if replace_partitions:
+            w = w.option("partitionOverwriteMode", "dynamic")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", str(max_records_per_file))
         if partition_by:

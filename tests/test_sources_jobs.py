@@ -309,3 +309,17 @@ def test_max_records_per_file(spark):
     assert sinks.write_data(spark.range(100).coalesce(1), path, "parquet", max_records_per_file=30) == 100
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     assert len(files) == 4 and spark.read.parquet(path).count() == 100
+
+
+def test_rerun_replaces_its_own_partition(spark):
+    from lakewash.plans import cli
+    src = _write(scratch_path(spark, "t-rerun"), "in.csv", CSV_TEXT)
+    out = scratch_path(spark, "t-rerun-out")
+    run = ["flat", "--input", src, "--sink", "parquet", "--output", out, "--mode", "replace-partitions"]
+    cli.main(run + ["--run-ts", "2024-06-01 00:00:00"], spark=spark)
+    cli.main(run + ["--run-ts", "2024-06-02 00:00:00"], spark=spark)
+    cli.main(run + ["--run-ts", "2024-06-02 00:00:00"], spark=spark)  # a re-run of the second load
+    back = spark.read.parquet(out)
+    assert back.count() == 4 and back.select("inserted_date").distinct().count() == 2
+    with pytest.raises(ValueError):
+        sinks.write_parquet(spark.range(1), out, replace_partitions=True)

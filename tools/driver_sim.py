@@ -3,6 +3,7 @@ directory, use a plain default SparkSession (none of this package's
 settings), run entry() and every query against its DuckDB oracle on sf0.01.
 
     python tools/driver_sim.py            # run from any directory; try TZ=Asia/Tokyo too
+    DRIVER_SIM_CONF=spark.sql.ansi.enabled=false python tools/driver_sim.py
 """
 
 import importlib.util
@@ -19,7 +20,11 @@ def main():
     spec.loader.exec_module(entry)
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.master("local[8]").getOrCreate()
+    builder = SparkSession.builder.master("local[8]")
+    for pair in filter(None, os.environ.get("DRIVER_SIM_CONF", "").split(",")):
+        key, value = pair.split("=", 1)
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     t0 = time.time()
     df = entry.entry(spark)

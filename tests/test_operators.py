@@ -269,3 +269,12 @@ def test_quality_report_one_pass(spark):
     assert row.asDict() == {"row_count": 3, "nulls_id": 1, "failed_raw": 1, "broken_v_set": 1}
     plan = quality.quality_report(df, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1  # a single aggregate
+
+
+def test_surrogate_key_ignores_input_layout(spark):
+    """The same rows in a different partition layout get the same ids - the
+    property a retried task relies on."""
+    rows = spark.range(0, 3000).select((F.col("id") * 37 % 1000).alias("k"), (F.col("id") % 7).alias("v"))
+    a = ids.with_surrogate_key(rows.repartition(3), ["k"], "sk", num_partitions=4)
+    b = ids.with_surrogate_key(rows.repartition(7, "v"), ["k"], "sk", num_partitions=5)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

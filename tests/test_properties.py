@@ -94,3 +94,44 @@ def test_contract_split_keeps_every_row(spark):
         assert good.count() + bad.count() == len(values)
 
     check()
+
+
+def test_time_repair_carries_like_timedelta(spark):
+    """``yyyy-MM-ddTHH:mm:ss`` with any two-digit fields: the result is the
+    date plus that many hours, minutes and seconds."""
+    from datetime import date, timedelta
+
+    parts = st.tuples(st.dates(min_value=date(1990, 1, 1), max_value=date(2030, 12, 31)),
+                      st.integers(0, 99), st.integers(0, 99), st.integers(0, 99))
+
+    @SETTINGS
+    @given(st.lists(parts, min_size=20, max_size=20))
+    def check(values):
+        texts = [f"{d.isoformat()}T{h:02d}:{m:02d}:{s:02d}" for d, h, m, s in values]
+        out = [r[0] for r in _frame(spark, texts).orderBy("i").select(X.repair_time_string("v")).collect()]
+        expected = [datetime(d.year, d.month, d.day) + timedelta(hours=h, minutes=m, seconds=s)
+                    for d, h, m, s in values]
+        assert out == expected
+
+    check()
+
+
+def test_shaped_timestamps_clamp_by_calendar_date(spark):
+    stamps = st.lists(st.datetimes(min_value=datetime(1800, 1, 1), max_value=datetime(2100, 1, 1)),
+                      min_size=30, max_size=30)
+
+    @SETTINGS
+    @given(stamps)
+    def check(values):
+        texts = [v.replace(microsecond=0).isoformat(sep=" ") for v in values]
+        out = [r[0] for r in _frame(spark, texts).orderBy("i").select(X.clean_timestamp("v")).collect()]
+        for text, got in zip(texts, out):
+            ts = datetime.fromisoformat(text)
+            if ts.date() < datetime(1900, 1, 1).date():
+                assert got == datetime(1900, 1, 1)
+            elif ts.date() > datetime(2029, 1, 31).date():
+                assert got == datetime(2029, 1, 31)
+            else:
+                assert got == ts
+
+    check()

@@ -803,6 +803,16 @@ def stream_flat_records(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+@register("stream_nested_users", _nested_users_sql())
+def stream_nested_users(spark, sf_dir):
+    """E1 for the nested job: users table from an incremental load."""
+    from lakewash.streaming import run_nested_record_load
+
+    out, ckpt = scratch_path(spark, "stream-nested-out"), scratch_path(spark, "stream-nested-ckpt")
+    run_nested_record_load(spark, write_nested_json(spark, sf_dir), out, ckpt, RUN_TS)
+    return spark.read.parquet(f"{out}/users").drop("batch_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in CATALOG.items()}
 

@@ -24,9 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakewash.operators.mapping import apply_mapping, normalize_name
 from lakewash.operators.quality import require_not_null
-from lakewash.plans.jobs import FLAT_REQUIRED, flat_record_mapping
+from lakewash.plans.jobs import FLAT_REQUIRED, NESTED_SCHEMA, NESTED_TABLES, flat_record_mapping, nested_rejects
 from lakewash.session import pin_utc
-from lakewash.sources.readers import CSV_DIALECT, read_csv
+from lakewash.sources.readers import CORRUPT_RECORD, CSV_DIALECT, read_csv
 
 BATCH_COLUMN = "batch_id"
 
@@ -85,3 +85,47 @@ def run_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str, c
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def start_nested_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
+                             run_ts: datetime | str, available_now: bool = True,
+                             processing_time: str | None = None, uuid_mode: str = "stable") -> StreamingQuery:
+    """The nested-record job on line-JSON files landing in ``input_dir``.
+
+    Each micro-batch is persisted first, so every field is parsed once and a
+    line is rejected on the whole record (as the batch job's staging does);
+    then the users, telephone-number and jobs-history tables and the rejects
+    are written under ``output_dir/<table>/batch_id=<n>``, replaced whole
+    when a batch is replayed.
+    """
+    pin_utc(spark)
+    full = T.StructType([*NESTED_SCHEMA.fields, T.StructField(CORRUPT_RECORD, T.StringType(), True)])
+    stream = (spark.readStream.schema(full).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_RECORD).json(input_dir))
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tables = {name: build(batch, run_ts, uuid_mode) for name, build in NESTED_TABLES.items()}
+            tables["rejects"] = nested_rejects(batch)
+            for name, table in tables.items():
+                (table.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
+                 .parquet(f"{output_dir.rstrip('/')}/{name}"))
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time or "1 minute")
+    return writer.start()
+
+
+def run_nested_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
+                           run_ts: datetime | str, **kwargs) -> StreamingQuery:
+    """Process every JSON file that has arrived since the last run, then stop."""
+    query = start_nested_record_load(spark, input_dir, output_dir, checkpoint_dir, run_ts, **kwargs)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return query

@@ -323,3 +323,18 @@ def test_rerun_replaces_its_own_partition(spark):
     assert back.count() == 4 and back.select("inserted_date").distinct().count() == 2
     with pytest.raises(ValueError):
         sinks.write_parquet(spark.range(1), out, replace_partitions=True)
+
+
+def test_nested_stream_processes_only_new_files(spark):
+    from lakewash.streaming import run_nested_record_load
+    good = '{"user_id":"u1","logged_at":1,"user_details":{"telephone_numbers":["555.123.4567", "x"]}}\n'
+    src = _write(scratch_path(spark, "t-nstream-in"), "a.json", good + '{"user_id":"u9","logged_at":"n/a"}\n')
+    out, ckpt = scratch_path(spark, "t-nstream-out"), scratch_path(spark, "t-nstream-ckpt")
+    run_nested_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    run_nested_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    assert [r.user_id for r in spark.read.parquet(out + "/users").collect()] == ["u1"]
+    assert spark.read.parquet(out + "/telephone_numbers").count() == 2
+    assert [r.user_id for r in spark.read.parquet(out + "/rejects").collect()] == ["u9"]
+    _write(src, "b.json", good.replace("u1", "u2"))
+    run_nested_record_load(spark, src, out, ckpt, catalog.RUN_TS)
+    assert sorted(r.user_id for r in spark.read.parquet(out + "/users").collect()) == ["u1", "u2"]

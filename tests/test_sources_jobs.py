@@ -338,3 +338,15 @@ def test_nested_stream_processes_only_new_files(spark):
     _write(src, "b.json", good.replace("u1", "u2"))
     run_nested_record_load(spark, src, out, ckpt, catalog.RUN_TS)
     assert sorted(r.user_id for r in spark.read.parquet(out + "/users").collect()) == ["u1", "u2"]
+
+
+def test_command_line_incremental(spark):
+    from lakewash.plans import cli
+    src = _write(scratch_path(spark, "t-cli-inc"), "a.csv", CSV_TEXT)
+    out, ckpt = scratch_path(spark, "t-cli-inc-out"), scratch_path(spark, "t-cli-inc-ckpt")
+    args = ["flat", "--input", src, "--incremental", "--output", out, "--checkpoint", ckpt, "--run-ts", catalog.RUN_TS]
+    assert cli.main(args, spark=spark)["input_rows"] == 2
+    assert cli.main(args, spark=spark)["input_rows"] == 0
+    assert spark.read.parquet(out).count() == 2
+    with pytest.raises(SystemExit):
+        cli.main(["flat", "--input", src, "--incremental"], spark=spark)

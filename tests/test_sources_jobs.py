@@ -350,3 +350,13 @@ def test_command_line_incremental(spark):
     assert spark.read.parquet(out).count() == 2
     with pytest.raises(SystemExit):
         cli.main(["flat", "--input", src, "--incremental"], spark=spark)
+
+
+def test_windows_line_endings(spark):
+    path = scratch_path(spark, "t-crlf")
+    os.makedirs(path)
+    with open(os.path.join(path, "in.csv"), "w", newline="") as fh:
+        fh.write(CSV_TEXT.replace("\n", "\r\n"))
+    rows = {r.id: r for r in jobs.flat_record_job(spark, path, catalog.RUN_TS).frames["records"].collect()}
+    assert rows["1"].address == "12 Main St Suite 4" and str(rows["1"].paid_amount) == "2.35"
+    assert rows["2"].paid_amount is None and rows["2"].is_claimed is False

@@ -360,3 +360,12 @@ def test_windows_line_endings(spark):
     rows = {r.id: r for r in jobs.flat_record_job(spark, path, catalog.RUN_TS).frames["records"].collect()}
     assert rows["1"].address == "12 Main St Suite 4" and str(rows["1"].paid_amount) == "2.35"
     assert rows["2"].paid_amount is None and rows["2"].is_claimed is False
+
+
+def test_byte_order_mark_in_header(spark):
+    path = scratch_path(spark, "t-bom")
+    os.makedirs(path)
+    with open(os.path.join(path, "in.csv"), "w", encoding="utf-8-sig") as fh:
+        fh.write(CSV_TEXT)
+    res = jobs.flat_record_job(spark, path, catalog.RUN_TS)
+    assert sorted(r.id for r in res.frames["records"].collect()) == ["1", "2"]

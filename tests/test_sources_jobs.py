@@ -369,3 +369,8 @@ def test_byte_order_mark_in_header(spark):
         fh.write(CSV_TEXT)
     res = jobs.flat_record_job(spark, path, catalog.RUN_TS)
     assert sorted(r.id for r in res.frames["records"].collect()) == ["1", "2"]
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    with pytest.raises(ValueError, match="lower_bound"):
+        readers.read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", num_partitions=4)

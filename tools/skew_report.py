@@ -131,8 +131,8 @@ def main() -> None:
         "arrives as one row per map task, so the largest task is set by the number of distinct keys, not by "
         "the hot key (AQE coalesced those shuffles into few tasks). `contrast_window_latest` shows that "
         "Spark 4 also plans `row_number() = 1` over a key window with a partial group limit, so that form is "
-        "safe too; `latest_per_key` keeps its aggregate form, which needs no per-partition sort of all rows "
-        "before the shuffle. For the anti-join, the hot key (a third of the rows, all orphans) reaches one "
+        "safe too; both it and `latest_per_key` (a partial `max` over a struct, planned as a sort-based "
+        "aggregate) sort each partition before their partial step and shuffle the same rows. For the anti-join, the hot key (a third of the rows, all orphans) reaches one "
         "task in `contrast_anti_join_no_aqe_skew`; AQE's skew-join handling splits it "
         "(`foreign_key_orphans_aqe`), and with that handling off the explicit deterministic `salt=16` spreads "
         "it over the salt values. `surrogate_key_with_copies` cuts a group of identical copies holding a "

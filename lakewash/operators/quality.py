@@ -224,8 +224,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
     Computed as ``max(struct(order_by..., rest...))`` per key, an aggregate
     with a map-side partial step: a key holding a third of the rows reduces
-    to one candidate per task before the shuffle, unlike a window, which
-    would move every row of that key into one task.
+    to one candidate per task before the shuffle. (A plain window over the
+    key would move every row of that key into one task; Spark 4 spares
+    ``row_number() = 1`` that with a partial group limit, see SKEW.md.)
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     best = F.max(F.struct(*[_q(c) for c in [*order_by, *rest]])).alias("_lw_best")

@@ -374,3 +374,11 @@ def test_byte_order_mark_in_header(spark):
 def test_jdbc_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError, match="lower_bound"):
         readers.read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", num_partitions=4)
+
+
+def test_command_line_parquet_input(spark):
+    from lakewash.plans import cli
+    src = catalog.write_flat_as(spark, SF_SMALL, "parquet")
+    metrics = cli.main(["flat", "--input", src, "--format", "parquet", "--sink", "noop",
+                        "--run-ts", catalog.RUN_TS], spark=spark)
+    assert metrics["src_count"] == metrics["dest_count"] == 1500

@@ -208,6 +208,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: flo
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("failed_rules")
+
+
 _GRID_SQL = ", ".join(f"('{r}', {c})" for r, grid in GRIDS.items() for c in grid)
 _METRIC_SQL = {
     "symbols_per_word": "n_symbols / nullif(n_words, 0)", "dup_line_share": "n_dup_lines / nullif(n_lines, 0)",

@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewash.llm import bloom
+from lakewash.llm.bloom import may_hold
 from lakewash.llm.common import only, staged, table
 from lakewash.llm.words import mix
 
@@ -98,13 +100,13 @@ class _Hasher:
         return mix(out, len(h) if len(h) < size else size)
 
 
-def _windows(rows: DataFrame, id_: str, size: int, bloom=None) -> DataFrame:
+def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
     """(id, digest, w, slots) for the windows of each text: slots are the
     values in the window's placeholders, \\x1f-joined ('' where a literal). A
     text with fewer tokens is one window of its own length."""
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
-        bits = None if bloom is None else np.frombuffer(bloom.value, np.uint8)
+        bits = None if flags is None else flags.value
         for batch in batches:
             ids, digests, hashes, slots_ = [], [], [], []
 
@@ -120,12 +122,8 @@ def _windows(rows: DataFrame, id_: str, size: int, bloom=None) -> DataFrame:
                 h = hasher.windows(tokens, size)
                 at = np.arange(len(h))
                 if bits is not None:
-                    hit = np.ones(len(h), bool)
-                    for k in range(2):
-                        place = h >> np.uint64(32 * k) & np.uint64(BLOOM_BITS - 1)
-                        hit &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                    at = np.flatnonzero(hit)
-                _, first = np.unique(h[at], return_index=True) if bloom is None else (None, np.arange(len(at)))
+                    at = np.flatnonzero(may_hold(bits, h))
+                _, first = np.unique(h[at], return_index=True) if bits is None else (None, np.arange(len(at)))
                 for j in at[first].tolist():
                     ids.append(i)
                     digests.append(digest)
@@ -141,26 +139,6 @@ def _windows(rows: DataFrame, id_: str, size: int, bloom=None) -> DataFrame:
     return rows.mapInArrow(per_batch, "id long, digest long, w long, slots string")
 
 
-def _bloom(items: DataFrame) -> bytes:
-    """Fixed-size Bloom filter of the windows' hashes: partial filters are
-    or-ed per task and then once, so the driver sees one filter per task."""
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM_BITS, bool)
-        for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64)
-            for k in range(2):
-                bits[(h >> np.uint64(32 * k) & np.uint64(BLOOM_BITS - 1)).astype(np.int64)] = True
-        words = np.packbits(bits, bitorder="little").view(np.int64)
-        at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at])], ["at", "word"])
-
-    merged = items.select("w").mapInArrow(fill, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
-    words = np.zeros(BLOOM_BITS // 64, np.int64)
-    for at, word in merged.collect():  # at most BLOOM_BITS / 64 rows, whatever the benchmark's size
-        words[at] = word
-    return words.tobytes()
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, digest, item_id, matched, windows, same_values, consistent) for
     each document and each benchmark item whose template it contains; ``digest``
@@ -175,8 +153,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: f
     """
     spark = docs.sparkSession
     items = staged(_windows(benchmark, "item_id", size).withColumn("item", F.xxhash64("id", "digest")), "item-windows")
-    bloom = spark.sparkContext.broadcast(_bloom(items))
-    found = _windows(docs, "doc_id", size, bloom).select(
+    flags = spark.sparkContext.broadcast(bloom.build(items, "w", BLOOM_BITS))
+    found = _windows(docs, "doc_id", size, flags).select(
         "id", F.col("digest").alias("doc_digest"), "w", F.col("slots").alias("doc_slots"))
     total = items.groupBy("item").agg(F.count("*").alias("windows"))
     joined = found.join(items.select("w", "item", F.col("id").alias("item_id"), "slots"), "w")

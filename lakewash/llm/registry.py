@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from lakewash.llm import decontamination, mixing, quality_rules, secret_scan, simhash
+from lakewash.llm import (decontamination, html_extract, mixing, passages, pii, quality_classifier, quality_rules,
+                          secret_scan, simhash, url_filter)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
+    "op2_substring_dedup": passages.op2_substring_dedup,
+    "op3_url_filter": url_filter.op3_url_filter,
     "op4_mixing": mixing.op4_mixing,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_secret_scan": secret_scan.op6_secret_scan,
+    "op7_quality_classifier": quality_classifier.op7_quality_classifier,
+    "op8_html_extract": html_extract.op8_html_extract,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES = {

@@ -100,14 +100,14 @@ def measures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "lang", _measure(F.col("text")).alias("m")).select("doc_id", "lang", "m.*")
 
 
-def _base_failed() -> Column:
-    return ((F.col("n_words") < MIN_WORDS)
-            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+def _base_failed(m=F.col) -> Column:
+    """The base rule on measures: ``m`` gives a measure by its name."""
+    return (m("n_words") < MIN_WORDS) | (100 * m("n_repeat_words") > MAX_REPEAT_PERCENT * m("n_words"))
 
 
-def _metrics() -> dict[str, Column]:
+def _metrics(m=F.col) -> dict[str, Column]:
     def over(top: str, below: str) -> Column:
-        return F.when(F.col(below) > 0, F.col(top) / F.col(below)).otherwise(F.lit(0.0))
+        return F.when(m(below) > 0, m(top) / m(below)).otherwise(F.lit(0.0))
     return {"symbols_per_word": over("n_symbols", "n_words"), "dup_line_share": over("n_dup_lines", "n_lines"),
             "repeat_share": over("n_repeat_words", "n_words"), "upper_share": over("n_upper", "word_chars"),
             "chars_per_word": over("word_chars", "n_words")}
@@ -162,9 +162,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, level: f
     return proved.select("stratum", *best)
 
 
-def _broken() -> Column:
-    """The rules that a row of measures joined with its stratum's cutoffs breaks."""
-    return F.filter(F.array(*[F.when(m > F.col(f"max_{r}"), F.lit(r)) for r, m in _metrics().items()]),
+def _broken(m=F.col) -> Column:
+    """The rules that measures break, given the stratum's cutoffs in the row."""
+    return F.filter(F.array(*[F.when(x > F.col(f"max_{r}"), F.lit(r)) for r, x in _metrics(m).items()]),
                     lambda r: r.isNotNull())
 
 
@@ -202,10 +202,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: flo
     names = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}  # apart from the measures' names
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     text, lang = (F.coalesce(F.col(names[c]), F.lit("")) for c in ("text", "lang"))
-    judged = (rows.withColumn("_m", _measure(text)).select("*", "_m.*")
-              .join(limits.withColumnRenamed("stratum", "_stratum"), lang == F.col("_stratum"), "left"))
-    kept = judged.where(~_base_failed() & (F.size(_broken()) == 0))
-    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
+    judged = rows.join(limits.withColumnRenamed("stratum", "_stratum"), lang == F.col("_stratum"), "left")
+    # one expression, so that each text is measured once however many rules read a measure
+    good = let(_measure(text), lambda m: ~_base_failed(m.getField) & (F.size(_broken(m.getField)) == 0))
+    return judged.where(good).select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

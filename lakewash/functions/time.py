@@ -40,26 +40,28 @@ EPOCH_DIGITS = r"^\d{9,10}$"
 DATE_SPACE_HHMMSS = r"^\d{4}-\d{2}-\d{2} \d{6}"
 DATE_T_HHMM = r"^\d{4}-\d{2}-\d{2}T\d{4}"
 DATE_T_HH_MM_SS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
+DATE_SPACE_HHMM_SS = r"^\d{4}-\d{2}-\d{2} \d{4}:\d{2}"
+# Leading weekday and repeated whitespace, dropped from long dates.
+WEEKDAY_PREFIX = r"^[A-Za-z]+,\s"
+WHITESPACE_RUN = r"\s+"
 # --- end of fixed values ------------------------------------------------------
 
 _MONTH_FIRST = "(?i)^(" + "|".join(MONTH_NAMES) + ") "
 
-# Shape a value must have before Spark's lenient cast may read it: a full
-# date, optionally a time, fraction and zone offset.
-TIMESTAMP_SHAPE = (r"^\d{4}-\d{1,2}-\d{1,2}"
-                   r"([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
-                   r"(Z|[+-]\d{2}:?\d{2})?$")
-# A full date, optionally followed by a time part that a date cast ignores.
-DATE_SHAPE = r"(?s)^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
-# Epoch seconds as plain digits; twelve digits reach past the year 9999.
-EPOCH_TEXT_SHAPE = r"^-?\d{1,12}$"
+# Text that starts with a full date, padded or not. What follows the date is
+# left to Spark's own cast, which reads times with one-digit fields, fractions
+# and zones, and gives null for anything else.
+DATE_SHAPE = r"(?s)^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*|\s*)$"
+# Epoch seconds: an integer of any length, signed and padded or not; the range
+# is tested on the number.
+EPOCH_TEXT_SHAPE = r"^\s*[+-]?\d+\s*$"
 _MAX_EPOCH = 253402300799  # 9999-12-31 23:59:59 UTC
 
 
 def safe_timestamp(c: ColumnOrName) -> Column:
-    """Lenient Spark cast, but only for text shaped like a full date(-time)."""
+    """Lenient Spark cast, but only for text that starts with a full date."""
     col = _text(c)
-    return F.when(col.rlike(TIMESTAMP_SHAPE), col.try_cast("timestamp"))
+    return F.when(col.rlike(DATE_SHAPE), col.try_cast("timestamp"))
 
 
 def text_to_date(c: ColumnOrName) -> Column:
@@ -100,34 +102,35 @@ def clean_timestamp(c: ColumnOrName, lo: str = DEFAULT_MIN_TS, hi: str = DEFAULT
     Arms 2 to 4 are not clamped. The day of month is kept in arms 2 and 3.
     """
     col = _text(c)
-    no_weekday = F.regexp_replace(F.regexp_replace(col, r"^[A-Za-z]+,\s", ""), r"\s+", " ")
+    no_weekday = F.regexp_replace(F.regexp_replace(col, WEEKDAY_PREFIX, ""), WHITESPACE_RUN, " ")
 
     def long_date(text: Column) -> Column:
         # Only a full month name can parse; testing for one first spares the
         # parser a thrown exception per abbreviated or misspelt month.
         return F.when(text.rlike(_MONTH_FIRST), F.try_to_timestamp(strip_ordinals(text), F.lit(LONG_DATE_FORMAT)))
 
-    # Arms 5-7 only apply to text shaped like a full date, which arms 2-4 never
-    # match, so the shape is tested once and guards all three.
+    # Arms 5-7 only apply to text that starts with a full date, so that shape
+    # is tested once and guards all three.
     day = col.try_cast("date")
     shaped = (F.when(day < F.to_date(_ts(lo)), _ts(lo))
               .when(day > F.to_date(_ts(hi)), _ts(hi))
               .otherwise(col.try_cast("timestamp")))
     return (
         F.when(col.contains(NOT_A_DATE), F.lit(None).cast("timestamp"))
-        .when(col.rlike(TIMESTAMP_SHAPE), shaped)
         .when(col.rlike(WEEKDAY_LONG_DATE), long_date(no_weekday))
         .when(col.rlike(LONG_DATE), long_date(col))
         .when(col.rlike(DATE_TEST_SUFFIX),
               F.try_to_timestamp(F.substring(col, 1, 10), F.lit("yyyy-MM-dd")))
+        .when(col.rlike(DATE_SHAPE), shaped)
     )
 
 
 def epoch_text_to_timestamp(c: ColumnOrName) -> Column:
-    """Epoch seconds written as digits -> timestamp. Fractions, signs other
-    than a leading minus, and values past the year 9999 give null."""
+    """Epoch seconds written as an integer -> timestamp; padding, a sign and
+    leading zeros are read. Fractions and values past the year 9999 give null."""
     col = _text(c)
-    return F.when(col.rlike(EPOCH_TEXT_SHAPE), epoch_to_timestamp(col.try_cast("bigint")))
+    return F.when(col.rlike(EPOCH_TEXT_SHAPE), epoch_to_timestamp(F.trim(
+        F.regexp_replace(col, WHITESPACE_RUN, " ")).try_cast("bigint")))
 
 
 def epoch_to_timestamp(c: ColumnOrName) -> Column:
@@ -145,10 +148,11 @@ def repair_time_string(c: ColumnOrName) -> Column:
     """Timestamp from broken time text; the text is matched at its start:
 
     1. nine or ten digits: epoch seconds
-    2. ``yyyy-MM-dd HHmmss``: colons restored
+    2. ``yyyy-MM-dd HHmmss`` and ``yyyy-MM-dd HHmm:ss``: colons restored
     3. ``yyyy-MM-ddTHHmm``: seconds set to zero (trailing digits ignored)
     4. ``yyyy-MM-ddTHH:mm:ss``: seconds of 60 or more carry into minutes,
-       minutes into hours, hours into days (``10:75:20`` -> ``11:15:20``)
+       minutes into hours, hours into days (``10:75:20`` -> ``11:15:20``);
+       an hour above 23 is no time and gives null
     5. anything else: shape-guarded cast, else null
 
     Text after the matched prefix (fractions, zone suffix) is ignored.
@@ -171,6 +175,8 @@ def repair_time_string(c: ColumnOrName) -> Column:
               hms(F.substring(col, 12, 2), F.substring(col, 14, 2), F.substring(col, 16, 2)))
         .when(col.rlike(DATE_T_HHMM),
               hms(F.substring(col, 12, 2), F.substring(col, 14, 2), F.lit("00")))
-        .when(col.rlike(DATE_T_HH_MM_SS), carried)
+        .when(col.rlike(DATE_SPACE_HHMM_SS),
+              hms(F.substring(col, 12, 2), F.substring(col, 14, 2), F.substring(col, 17, 2)))
+        .when(col.rlike(DATE_T_HH_MM_SS), F.when(num(12) <= 23, carried))
         .otherwise(safe_timestamp(col))
     )

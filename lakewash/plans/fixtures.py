@@ -37,13 +37,14 @@ def _s(sql: str) -> str:
 
 
 def dirty_timestamp_text(key: str, ts: str) -> str:
-    """Twelve forms of a date, one per ``key % 12`` (every cleaning arm)."""
+    """Twenty forms of a date, one per ``key % 20`` (every cleaning arm, and the
+    padded, one-digit and zoned forms of a plain date-time)."""
     day = f"day({ts})"
     month_name = _lookup(f"month({ts})", MONTHS, 1)
     long_date = f"{_s(day)} || {_ordinal(day)} || ', ' || {_s(f'year({ts})')}"
     date_text = _s(f"CAST({ts} AS DATE)")
     return (
-        f"CASE {key} % 12 "
+        f"CASE {key} % 20 "
         f"WHEN 0 THEN 'not a date' "
         f"WHEN 1 THEN {_lookup(f'{key} % 7', WEEKDAYS, 0)} || ', ' || {month_name} || ' ' || {long_date} "
         f"WHEN 2 THEN {month_name} || ' ' || {long_date} "
@@ -55,14 +56,22 @@ def dirty_timestamp_text(key: str, ts: str) -> str:
         f"WHEN 8 THEN substr({month_name}, 1, 3) || ' ' || {long_date} "
         f"WHEN 9 THEN 'February 30th, ' || {_s(f'year({ts})')} "
         f"WHEN 10 THEN CASE {key} % 3 WHEN 0 THEN '10:15' WHEN 1 THEN {_s(f'year({ts})')} ELSE 'zzz' END "
+        f"WHEN 11 THEN '  ' || {date_text} || ' 10:00:00' "
+        f"WHEN 12 THEN {date_text} || ' 8:05:00' "
+        f"WHEN 13 THEN {date_text} || ' 8:05' "
+        f"WHEN 14 THEN {date_text} || ' 10:00:00 UTC' "
+        f"WHEN 15 THEN {date_text} || ' 10:00:00+08' "
+        f"WHEN 16 THEN {date_text} || ' 10:00:00.25 -05:30  ' "
+        f"WHEN 17 THEN ' ' || {date_text} || '  ' "
+        f"WHEN 18 THEN {date_text} || ' 25:00:00' "
         f"ELSE NULL END"
     )
 
 
 def broken_time_text(key: str, date_sql: str, hh: str, mi: str, ss: str, epoch: str) -> str:
-    """Eight broken time forms, one per ``key % 8``."""
+    """Eleven broken time forms, one per ``key % 11``."""
     return (
-        f"CASE {key} % 8 "
+        f"CASE {key} % 11 "
         f"WHEN 0 THEN {_s(epoch)} "
         f"WHEN 1 THEN {date_sql} || ' ' || {hh} || {mi} || {ss} "
         f"WHEN 2 THEN {date_sql} || 'T' || {hh} || {mi} "
@@ -70,6 +79,9 @@ def broken_time_text(key: str, date_sql: str, hh: str, mi: str, ss: str, epoch:
         f"WHEN 4 THEN {date_sql} || 'T' || {hh} || ':' || {_s(f'60 + {key} % 30')} || ':' || {ss} "
         f"WHEN 5 THEN {date_sql} || 'T' || {hh} || ':' || {mi} || ':' || {_s(f'60 + {key} % 40')} "
         f"WHEN 6 THEN 'garbage' "
+        f"WHEN 7 THEN {date_sql} || ' ' || {hh} || {mi} || ':' || {ss} "
+        f"WHEN 8 THEN {date_sql} || 'T99:10:10' "
+        f"WHEN 9 THEN '  ' || {date_sql} || ' ' || {hh} || ':' || {mi} || ':' || {ss} || 'Z ' "
         f"ELSE {date_sql} || ' ' || {hh} || ':' || {mi} || ':' || {ss} END"
     )
 
@@ -126,12 +138,16 @@ def boolean_text(key: str) -> str:
 
 def epoch_text(key: str) -> str:
     return (
-        f"CASE {key} % 6 "
+        f"CASE {key} % 10 "
         f"WHEN 0 THEN {_s(f'946684800 + {key} * 86413')} "
         f"WHEN 1 THEN {_s(f'1600000000 + {key}')} || '.5' "
         f"WHEN 2 THEN 'never' "
         f"WHEN 3 THEN {_s(f'-86400 * ({key} % 100)')} "
         f"WHEN 4 THEN {_s(f'1700000000000 + {key}')} "
+        f"WHEN 5 THEN '000' || {_s(f'1700000000 + {key}')} "
+        f"WHEN 6 THEN ' ' || {_s(f'1700000000 + {key}')} || '  ' "
+        f"WHEN 7 THEN '+' || {_s(f'1700000000 + {key}')} "
+        f"WHEN 8 THEN '99999999999999999999999' "
         f"ELSE NULL END"
     )
 
@@ -152,11 +168,13 @@ def amount_text(key: str, price: str) -> str:
 
 def date_text(key: str) -> str:
     return (
-        f"CASE {key} % 5 "
+        f"CASE {key} % 7 "
         f"WHEN 0 THEN {_s(f'DATE {chr(39)}1950-01-01{chr(39)} + CAST({key} % 18000 AS INT)')} "
         f"WHEN 1 THEN '1985-02-30' "
         f"WHEN 2 THEN 'unknown' "
         f"WHEN 3 THEN {_s(f'DATE {chr(39)}1960-06-01{chr(39)} + CAST({key} % 9000 AS INT)')} || ' 00:00:00' "
+        f"WHEN 4 THEN '  1985-2-3' "
+        f"WHEN 5 THEN '1985-12-31T   ' "
         f"ELSE NULL END"
     )
 

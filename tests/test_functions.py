@@ -159,3 +159,16 @@ def test_cleaners_accept_inferred_types(spark):
                     X.clean_identity_number("ep").alias("e"), X.text_to_date("ts").alias("f")).first()
     assert tuple(row) == (datetime(1900, 1, 1), datetime(2023, 11, 14, 22, 13, 20), "5551234567", True,
                           "1700000000", date(1850, 1, 1))
+
+
+def test_padded_signed_and_zoned_values_are_read(spark):
+    """What a plain cast reads stays readable."""
+    ten = datetime(2024, 1, 5, 10)
+    assert column_values(spark, [" 2024-01-05 10:00:00", "2024-01-05 8:05:00", "2024-01-05 8:05", "2024-01-05 10:00:00 UTC",
+                                 "2024-01-05 18:00:00+08", "2024-01-05 18:00:00 +08:00"], X.clean_timestamp) == [
+        ten, datetime(2024, 1, 5, 8, 5), datetime(2024, 1, 5, 8, 5), ten, ten, ten]
+    assert column_values(spark, [" 2024-01-05", "2024-1-5  "], X.text_to_date) == [date(2024, 1, 5)] * 2
+    assert column_values(spark, ["0001700000000", " 1700000000", "1700000000 ", "+1700000000", "9" * 30],
+                         X.epoch_text_to_timestamp) == [datetime(2023, 11, 14, 22, 13, 20)] * 4 + [None]
+    assert column_values(spark, ["2024-01-05 1015:20", "2024-01-05T99:10:10", "2024-01-05T23:75:00"], X.repair_time_string) == [
+        datetime(2024, 1, 5, 10, 15, 20), None, datetime(2024, 1, 6, 0, 15)]

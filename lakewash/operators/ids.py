@@ -11,11 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewash.functions.text import ColumnOrName, _col, file_stem
-from lakewash.session import checkpoint_root
-
-NULL_MARKER = "\\N"
-KEY_SEPARATOR = "\u0001"
-
+from lakewash.session import scratch_path
 
 def audit_timestamp(run_ts: datetime | str) -> Column:
     """The load time as a constant column. It is passed in, so a re-run of the
@@ -30,15 +26,22 @@ def random_uuid() -> Column:
     return F.expr("uuid()")
 
 
+NULL_FIELD = "~"
+
+
 def key_text(*cols: ColumnOrName) -> Column:
-    """Unambiguous text of several key columns (nulls marked, fields separated)."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_MARKER)) for c in cols]
-    return F.concat_ws(KEY_SEPARATOR, *parts)
+    """Text of several key columns that no other values can give: each field
+    follows its own length, and a null is a mark that no length starts with."""
+    def field(c: Column) -> Column:
+        return F.when(c.isNull(), F.lit(NULL_FIELD)).otherwise(
+            F.concat(F.length(c).cast("string"), F.lit(":"), c))
+    return F.concat(*[field(_col(c).cast("string")) for c in cols])
 
 
 def stable_uuid(*cols: ColumnOrName) -> Column:
     """Repeatable id shaped like a UUID (8-4-4-4-12 hex), from the MD5 of the
-    key columns. The same key always gives the same id, on any run."""
+    key columns. The same key always gives the same id, on any run; where keys
+    repeat, add :func:`with_occurrence` to them."""
     h = F.md5(key_text(*cols))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
@@ -50,73 +53,49 @@ def source_file_stem() -> Column:
     return file_stem(F.col("_metadata.file_name"))
 
 
-def copy_ordinal_counter():
-    """The per-partition pass that numbers runs of equal row hashes.
+def _hashable(df: DataFrame, name: str) -> Column:
+    """A column as a hash or a sort can read it (maps, which neither takes,
+    as the sorted list of their entries)."""
+    col = F.col(f"`{name}`")
+    return F.to_json(F.array_sort(F.map_entries(col))) if isinstance(df.schema[name].dataType, T.MapType) else col
 
-    Built inside this function so that Spark ships it to the Python workers
-    by value: they need nothing but numpy, not this package.
-    """
 
-    def copy_ordinals(batches):
-        # Rows arrive sorted by ``_lw_h``; number each run of equal hashes
-        # 0, 1, 2, ... (a run may continue across Arrow batches).
-        import numpy as np
-
-        last_h, carry = None, 0
-        for pdf in batches:
-            h = pdf["_lw_h"].to_numpy()
-            n = len(h)
-            if n == 0:
-                yield pdf.assign(_lw_ord=np.zeros(0, dtype="int64"))
-                continue
-            idx = np.arange(n, dtype="int64")
-            new_run = np.empty(n, dtype=bool)
-            new_run[0] = last_h is None or h[0] != last_h
-            new_run[1:] = h[1:] != h[:-1]
-            run_start = np.maximum.accumulate(np.where(new_run, idx, -1))
-            ordinal = np.where(run_start < 0, carry + idx, idx - run_start)
-            last_h, carry = h[-1], int(ordinal[-1]) + 1
-            yield pdf.assign(_lw_ord=ordinal)
-
-    return copy_ordinals
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: str = "id",
                        start: int = 1, num_partitions: int | None = None) -> DataFrame:
-    """Dense serial key ``start, start+1, ...`` in ``order_by`` order.
-
-    No global window and nothing through the driver:
-
-    1. each row gets a copy ordinal: its position among identical rows of its
-       input partition (a local sort by row hash, then one vectorised pass);
-    2. rows are range-partitioned and sorted on ``order_by``, then the row
-       hash, input partition and copy ordinal - a key unique to every row, so
-       a hot order value, or a group of copies holding a third of the table,
-       is cut over several ranges;
-    3. rows are tagged with ``monotonically_increasing_id`` (partition index
-       in the upper bits) and cut from their lineage with a reliable
-       checkpoint;
-    4. per-partition row counts (one row per partition: a bounded broadcast)
-       give each partition its offset.
-
-    The (row, ordinal) pairs are the same however a recomputed partition
-    orders its rows, so a task retried after an executor loss numbers the
-    rows the same way.
+    """Dense serial key ``start, start+1, ...`` in ``order_by`` order, 64-bit.
+
+    No global window, no Python, nothing through the driver:
+
+    1. each row gets ``monotonically_increasing_id`` as a tie-break and is
+       staged under ``spark.checkpoint.dir``: the source runs once and the
+       tie-break is fixed;
+    2. the staged rows are range-partitioned and sorted on ``order_by``, the
+       row's hash and the tie-break - unique to every row, so a hot order
+       value, or a group of copies holding a third of the table, is cut over
+       several ranges - and staged again with their place in the partition;
+    3. per-partition row counts, read from that one column, give each
+       partition its offset (one row per partition: a bounded broadcast).
+
+    Rows that tie up to the tie-break are equal, so the numbered rows are the
+    same on every run and for every input partitioning.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = (df.withColumn("_lw_h", F.xxhash64(*cols))
-              .withColumn("_lw_in", F.spark_partition_id().cast("bigint"))
-              .sortWithinPartitions("_lw_h", F.hash(*cols)))
-    ordinals = hashed.mapInPandas(
-        copy_ordinal_counter(), T.StructType([*hashed.schema.fields, T.StructField("_lw_ord", T.LongType(), False)]))
-    order_cols = [_col(c) for c in order_by] + [F.col("_lw_h"), F.col("_lw_in"), F.col("_lw_ord")]
-    tagged = (ordinals.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_lw_tag", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    names = df.columns
+    fixed = _staged(df.withColumns({
+        **{f"_lw_o{i}": _col(c) for i, c in enumerate(order_by)},
+        "_lw_h": F.xxhash64(*[_hashable(df, c) for c in names]),
+        "_lw_tie": F.monotonically_increasing_id()}), "key-rows")
+    order = [F.col(f"_lw_o{i}") for i in range(len(order_by))] + [F.col("_lw_h"), F.col("_lw_tie")]
+    tagged = _staged(fixed.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                     .withColumn("_lw_tag", F.monotonically_increasing_id())
+                     .select(*[F.col(f"`{c}`") for c in names], "_lw_tag"), "key-tagged")
     part = F.shiftright("_lw_tag", 33)
     # One row per range partition, so the running sum over all of them (a
     # window without partitions) sees at most num_partitions rows.
@@ -125,8 +104,35 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
                    F.sum("_lw_rows").over(Window.orderBy("_lw_part")
                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .select("_lw_part", "_lw_offset"))
-    # One row per partition: the broadcast is bounded by the partition count.
     joined = tagged.join(F.broadcast(offsets), part == F.col("_lw_part"))
     row_in_part = F.col("_lw_tag") - F.shiftleft(F.col("_lw_part"), 33)
-    key = (F.col("_lw_offset") + row_in_part + F.lit(start)).alias(name)
-    return joined.select(key, *cols)
+    key = (F.col("_lw_offset") + row_in_part + F.lit(start)).cast("bigint").alias(name)
+    return joined.select(key, *[F.col(f"`{c}`") for c in names])
+
+
+OCCURRENCE = "_occurrence"
+
+
+def with_occurrence(df: DataFrame, key: str, name: str = OCCURRENCE) -> DataFrame:
+    """``df`` with the number, from 0, of each row among the rows of its key.
+
+    Rows of a key are ordered by an MD5 of the whole row; rows that tie there
+    are equal, so each row gets the same number on every run and for every
+    partitioning. Only rows whose key repeats are numbered - with the serial
+    key above, less the first of their key - so a key that a third of all rows
+    hold is spread over ranges like any other.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    again = df.groupBy(F.col(f"`{key}`").alias("_lw_k")).count().where("count > 1").select("_lw_k")
+    again = _staged(again, "repeated-keys")
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_lw_k"))
+    once = df.join(again, same, "left_anti").select(*cols, F.lit(0).cast("bigint").alias(name))
+    if again.isEmpty():
+        return once
+    row = F.md5(key_text(*[_hashable(df, c).cast("string") for c in df.columns]))
+    repeated = df.join(again, same, "left_semi")
+    ordered = repeated.withColumn("_lw_row", row)
+    numbered = with_surrogate_key(ordered, [key, "_lw_row"], "_lw_n", start=0).drop("_lw_row")
+    first = _staged(numbered.groupBy(F.col(f"`{key}`").alias("_lw_k")).agg(F.min("_lw_n").alias("_lw_first")), "first-of-key")
+    counted = numbered.join(first, same).select(*cols, (F.col("_lw_n") - F.col("_lw_first")).alias(name))
+    return once.unionByName(counted)

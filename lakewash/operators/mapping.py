@@ -23,41 +23,36 @@ NAME_REPEATED_UNDERSCORE = r"_+"
 
 
 def _as_column(df: DataFrame, value: MappingValue) -> Column:
-    if isinstance(value, str):
-        return F.col(value)
+    if callable(value) and not isinstance(value, Column):
+        value = value(df)
     if isinstance(value, Column):
         return value
-    if callable(value):
-        return value(df)
-    raise ValueError(f"Unknown mapping operation {value!r}")
+    if isinstance(value, str):
+        return F.col(value)
+    raise ValueError(f"a mapping value must be a column name, a Column or a function of the frame, not {value!r}")
+
+
+def _extended(df: DataFrame, mapping: Mapping[str, MappingValue]) -> list[tuple[str, MappingValue]]:
+    """(output name, value) of every column of an extending mapping: where
+    each lower-cased name first occurs among the frame's columns and then the
+    keys, with the last thing said about it."""
+    said: list[tuple[str, MappingValue]] = [(c, F.col(f"`{c}`")) for c in df.columns] + list(mapping.items())
+    last = {name.lower(): (name, value) for name, value in said}
+    return [last[name] for name in dict.fromkeys(name.lower() for name, _ in said)]
 
 
 def apply_mapping(df: DataFrame, mapping: Mapping[str, MappingValue], extend: bool = False) -> DataFrame:
     """Declarative projection: output name -> column name, ``Column``, or a
     function of the frame returning a ``Column``.
 
-    ``extend=False`` keeps only the mapped columns, in mapping order.
-    ``extend=True`` keeps every input column in place, replacing those whose
-    name matches a key (case-insensitive, the key's case wins) and appending
-    the remaining keys at the end. Keys differing only in case collapse to the
-    last one, at the position of the first.
+    ``extend=False`` keeps only the mapped columns, all of them, in mapping
+    order; keys that differ only in case stay two columns. ``extend=True``
+    keeps every input column in place, replacing those whose name matches a
+    key (case-insensitive, the key's case wins) and appending the remaining
+    keys at the end; there, keys differing only in case are one column.
     """
-    by_lower: dict[str, Column] = {}
-    for name, value in mapping.items():
-        by_lower[name.lower()] = _as_column(df, value).alias(name)
-    if not extend:
-        return df.select(*by_lower.values())
-    replaced: set[str] = set()
-    out: list[Column] = []
-    for c in df.columns:
-        key = c.lower()
-        if key in by_lower:
-            out.append(by_lower[key])
-            replaced.add(key)
-        else:
-            out.append(F.col(f"`{c}`"))
-    out.extend(col for key, col in by_lower.items() if key not in replaced)
-    return df.select(*out)
+    plan = _extended(df, mapping) if extend else list(mapping.items())
+    return df.select(*[_as_column(df, value).alias(name) for name, value in plan])
 
 
 def normalize_name(name: str) -> str:
@@ -98,7 +93,7 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
     """Fail early when a required column is missing (no Spark job)."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise AssertionError(f"missing required columns: {missing}")
+        raise AssertionError(f"the input lacks these columns: {missing}")
 
 
 def to_zoneless(df: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def duplicate_keys(df: DataFrame, cols: Keys) -> DataFrame:
 
 def require_unique(df: DataFrame, cols: Keys) -> None:
     if not duplicate_keys(df, cols).isEmpty():
-        raise AssertionError("key is not unique")
+        raise AssertionError(f"some values of {cols!r} occur more than once")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def require_non_empty(df: DataFrame, what: str = "DataFrame") -> None:
     if df.isEmpty():
-        raise AssertionError(f"{what} is empty")
+        raise AssertionError(f"{what} holds no rows")
 
 
 def uuid_format_violations(df: DataFrame, col: str) -> DataFrame:
@@ -104,38 +104,8 @@ def _join_cond(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], p
     return cond
 
 
-SALT = "_lw_salt"
-
-
-def _anti_join(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
-               salt: int) -> DataFrame:
-    """``child`` rows with no key match in ``parent`` (already distinct keys).
-
-    ``salt > 1`` splits hot keys explicitly. Identical child rows first
-    collapse to one row and a count (map-side, before the shuffle); each
-    distinct row then takes a salt from a hash of its values - deterministic,
-    so a recomputed task sends its rows to the same place - and every parent
-    key is repeated once per salt value. The surviving rows are expanded back
-    to their copies, so the result is whole. Use it when one key holds a large
-    share of the child and the parent is too big to broadcast; otherwise AQE's
-    skew-join handling splits oversized partitions on its own.
-    """
-    if salt <= 1:
-        return child.join(parent, _join_cond(child, parent, child_cols, parent_cols), "left_anti")
-    cols = [_q(c) for c in child.columns]
-    copies = child.groupBy(*cols).agg(F.count(F.lit(1)).alias("_lw_copies"))
-    salted_child = copies.withColumn(SALT, F.pmod(F.xxhash64(*cols), F.lit(salt)))
-    salted_parent = parent.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                                 F.lit(salt - 1).cast("bigint"))))
-    cond = _join_cond(salted_child, salted_parent, child_cols, parent_cols) \
-        & (salted_child[SALT] == salted_parent[SALT])
-    kept = salted_child.join(salted_parent, cond, "left_anti")
-    return kept.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_lw_copies"))).alias("_lw_copy")) \
-        .drop("_lw_copy")
-
-
 def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
-                        parent_cols: Sequence[str] | None = None, salt: int = 0) -> DataFrame:
+                        parent_cols: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent row.
 
     A left-anti join on the key. The parent side is reduced to its distinct
@@ -143,7 +113,8 @@ def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequenc
     when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``
     (AQE re-checks the actual size at run time); otherwise both sides shuffle
     on the key and AQE's skew-join handling splits an oversized child
-    partition. ``salt`` forces an explicit, deterministic split of hot keys.
+    partition: a left-anti join may be cut on its child side, since a child
+    row only needs the parent's key once.
     Rows with a null key are not orphans, as in SQL's MATCH SIMPLE.
     """
     parent_cols = list(parent_cols or child_cols)
@@ -151,16 +122,17 @@ def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequenc
     for c in child_cols:
         not_null = not_null & _q(c).isNotNull()
     parent_keys = parent.select(*[_q(p) for p in parent_cols]).distinct()
-    return _anti_join(child.where(not_null), parent_keys, child_cols, parent_cols, salt)
+    rows = child.where(not_null)
+    return rows.join(parent_keys, _join_cond(rows, parent_keys, child_cols, parent_cols), "left_anti")
 
 
 def cascade_delete(child: DataFrame, deleted_parents: DataFrame, child_cols: Sequence[str],
-                   parent_cols: Sequence[str] | None = None, salt: int = 0) -> DataFrame:
+                   parent_cols: Sequence[str] | None = None) -> DataFrame:
     """Child rows that remain after the given parent rows are deleted with
     ``ON DELETE CASCADE``: those whose key matches no deleted parent."""
     parent_cols = list(parent_cols or child_cols)
     deleted = deleted_parents.select(*[_q(p) for p in parent_cols]).distinct()
-    return _anti_join(child, deleted, child_cols, parent_cols, salt)
+    return child.join(deleted, _join_cond(child, deleted, child_cols, parent_cols), "left_anti")
 
 
 def contract_flags(df: DataFrame, rules: Mapping[str, Column], out: str = FAILED_RULES) -> DataFrame:
@@ -246,11 +218,13 @@ class Profile:
     approximate: bool = False
 
     @property
-    def has_duplicate_keys(self) -> bool:
+    def has_duplicate_keys(self) -> bool | None:
+        """True or False where it is known; None where keys were not counted,
+        or a sketch's count is too near the row count to tell."""
         if self.key_groups is None:
-            return False
-        if self.approximate:  # only flag what the sketch's error cannot explain
-            return self.key_groups < 0.97 * self.row_count
+            return None
+        if self.approximate:  # a sketch can show many duplicates, never their absence
+            return True if self.key_groups < 0.97 * self.row_count else None
         return self.key_groups < self.row_count
 
 
@@ -262,7 +236,7 @@ def profile(df: DataFrame, key: str | None = None, cols: Iterable[str] | None =
     ``unique_check="exact"`` counts distinct keys exactly (the keys are
     shuffled once, after a map-side de-duplication); ``"approx"`` uses a
     HyperLogLog sketch (about 1% error, nothing but fixed-size sketches is
-    shuffled), good enough when duplicates only raise a warning; ``"off"``
+    shuffled), which can show duplicates but never rule them out; ``"off"``
     skips it.
     """
     if unique_check not in ("exact", "approx", "off"):

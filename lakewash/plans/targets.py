@@ -4,7 +4,7 @@ has one, and the per-row list of values that did not fit.
 
 Zone-less ``TIMESTAMP`` columns are ``timestamp_ntz``; ``UUID`` columns are
 text (checked with :func:`lakewash.operators.quality.uuid_format_violations`);
-``SERIAL`` keys are dense integers from
+``SERIAL`` keys are dense 64-bit integers from
 :func:`lakewash.operators.ids.with_surrogate_key`.
 """
 
@@ -31,11 +31,11 @@ USERS_TBL = T.StructType([
     _f("inserted_date", TS),
 ])
 JOBS_HISTORY = T.StructType([
-    _f("id", I, False), _f("user_id", S), _f("occupation", S), _f("is_fulltime", B),
+    _f("id", L, False), _f("user_id", S), _f("occupation", S), _f("is_fulltime", B),
     _f("start", D), _f("end", D), _f("employer", S), _f("inserted_date", TS),
 ])
 TELEPHONE_NUMBERS = T.StructType([
-    _f("id", I, False), _f("user_id", S), _f("telephone_number", L), _f("inserted_date", TS),
+    _f("id", L, False), _f("user_id", S), _f("telephone_number", L), _f("inserted_date", TS),
 ])
 FLAT_RECORDS = T.StructType([
     _f("uuid", S, False), _f("id", I), _f("name", S), _f("address", S), _f("color", S),

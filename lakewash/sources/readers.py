@@ -15,7 +15,9 @@ CORRUPT_RECORD = "_corrupt_record"
 
 # Dialect of the flat-record files: header row, comma, double quote used both
 # to quote and to escape, fields allowed to span lines.
-CSV_DIALECT = {"header": "true", "delimiter": ",", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_DIALECT = {"header": "true", "delimiter": ",", "quote": '"', "escape": '"', "multiLine": "true",
+               # a file whose header differs from the first file's is an error, never read by position
+               "enforceSchema": "false"}
 
 
 def _opts(options: Mapping[str, object] | None) -> dict[str, str]:
@@ -32,7 +34,9 @@ def read_csv(spark: SparkSession, path: str, options: Mapping[str, object] | Non
     Without a schema every column is read as text and typed later by the
     mapping; ``inferSchema`` stays available as an option, at the price of an
     extra pass and types that depend on the data. A multi-line file cannot be
-    split, so one file is one task: parallelism comes from many files.
+    split, so one file is one task: parallelism comes from many files. Every
+    file must have the first one's header; files with columns in another order
+    are read with :func:`read_csv_by_name`.
     """
     reader = spark.read.format("csv").options(**{**CSV_DIALECT, **_opts(options)})
     if schema is not None:
@@ -40,6 +44,31 @@ def read_csv(spark: SparkSession, path: str, options: Mapping[str, object] | Non
     return reader.load(path)
 
 
+def _header_of(spark: SparkSession, path: str, options: Mapping[str, object] | None) -> tuple[str, ...]:
+    return tuple(read_csv(spark, path, {**(options or {}), "enforceSchema": "true"}).columns)
+
+
+def read_csv_by_name(spark: SparkSession, path: str, options: Mapping[str, object] | None = None) -> DataFrame:
+    """CSV files whose headers differ in order or columns, matched by name.
+
+    Files are grouped by header (one header line read per file) and each group
+    is read as usual; the groups are joined up by column name, and a column
+    that a file lacks is null there. Use it for landing folders that several
+    producers write to.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in files.toLocalIterator():  # paths only
+        groups.setdefault(_header_of(spark, row.path, options), []).append(row.path)
+    out = None
+    for paths in groups.values():
+        part = spark.read.format("csv").options(**{**CSV_DIALECT, **_opts(options)}).load(paths)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file under {path}")
+    return out
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
               corrupt_col: str = CORRUPT_RECORD) -> DataFrame:
     """JSON (one record per line by default) with a declared schema.
@@ -86,7 +115,7 @@ def read_data(spark: SparkSession, path: str, file_format: str, options: Mapping
     format raises ``ValueError``. JSON without a schema is inferred (an extra
     pass); with one, malformed lines are kept in ``_corrupt_record``."""
     if file_format not in _READERS:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        raise ValueError(f"{file_format!r} is not a supported input format; use one of {sorted(_READERS)}")
     return _READERS[file_format](spark, path, options, schema)
 
 
@@ -112,7 +141,7 @@ def oversized_files(spark: SparkSession, path: str, max_bytes: int = 1 << 30) ->
 
 def require_path(spark: SparkSession, path: str) -> None:
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Input path {path} does not exist.")
+        raise FileNotFoundError(f"nothing found at {path}")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None,

@@ -61,10 +61,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by:
     return write_observed(df, go, "parquet")
 
 
+# What the flat-record dialect reads back unchanged: quotes doubled, padding
+# kept, and a mark for null, so that an empty text stays one.
+CSV_NULL = "\\N"
+CSV_SINK_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                    "ignoreTrailingWhiteSpace": "false", "nullValue": CSV_NULL}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
               options: Mapping[str, str] | None = None, max_records_per_file: int | None = None) -> int:
+    """CSV in the dialect of :data:`CSV_SINK_DIALECT`; read it back with
+    ``read_csv(spark, path, CSV_SINK_DIALECT)``. Only the text ``\\N`` itself
+    cannot be told from null."""
     def go(d: DataFrame) -> None:
-        w = d.write.mode(mode).option("header", str(header).lower()).options(**(options or {}))
+        w = d.write.mode(mode).option("header", str(header).lower()).options(**{**CSV_SINK_DIALECT, **(options or {})})
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", str(max_records_per_file))
         w.csv(path)
@@ -79,12 +89,18 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", bucket_by: S
 
     Tables bucketed on the same key with the same bucket count join and
     aggregate on that key without a shuffle - e.g. the foreign-key checks
-    between a parent table and its children.
+    between a parent table and its children. The rows are dealt out by the
+    bucket key first, so each bucket is one file. Choose the bucket count from
+    the table's size (a bucket should fit one task); for a key that holds more
+    than a task's share, do not bucket on it: an unbucketed table shuffles
+    when joined, and adaptive execution splits that key there.
     """
     if bucket_by and not num_buckets:
         raise ValueError("bucket_by needs num_buckets")
 
     def go(d: DataFrame) -> None:
+        if bucket_by:
+            d = d.repartition(num_buckets, *bucket_by)
         w = d.write.mode(mode).format(fmt)
         if path:
             w = w.option("path", path)
@@ -121,9 +137,9 @@ def write_data(df: DataFrame, output_path: str, storage_format: str,
     elif storage_format == "parquet":
         rows = write_parquet(df, output_path, "append", partition_by, max_records_per_file)
     else:
-        log.warning("Unsupported storage format %r, defaulting to CSV.", storage_format)
+        log.warning("No writer for format %r: the rows go to CSV files.", storage_format)
         rows = write_csv(df, output_path, "overwrite", max_records_per_file=max_records_per_file)
-    log.info("Written %d rows to %s.", rows, output_path)
+    log.info("%s now holds %d more rows.", output_path, rows)
     return rows
 
 
@@ -173,51 +189,78 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def staged_refresh(df: DataFrame, target_path: str, fmt: str = "parquet", drop_staging: bool = True) -> dict:
-    """Full refresh of a file table through a staging copy.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, wherever it lives."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to the place of ``target``, which goes first."""
+    fs, src = _fs(spark, source)
+    dst = _fs(spark, target)[1]
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"{source} could not be moved to {target}")
+
 
-    1. The new rows are written (in parallel) to a fresh staging folder beside
-       the target, counting them as they go; a failure here leaves the target
-       untouched.
-    2. The staged copy is counted from its file footers and must match.
-    3. The target is overwritten from the staged copy, again counted; the
-       staging folder is dropped only after that succeeds, so a failed swap
-       can be re-run from it.
+def staged_refresh(df: DataFrame, target_path: str, fmt: str = "parquet") -> dict:
+    """Full refresh of a file table: all new rows or all old ones.
+
+    The rows are written once, in parallel, to a fresh folder beside the
+    target, counted as they go and checked against the file footers. Then two
+    renames on the file system swap the folders: the old rows step aside and
+    the new ones take their place. If the second rename fails, the old rows
+    are moved back; nothing is deleted before the new rows are in place. (An
+    object store renames by copying: point a catalog table at the new folder
+    there instead.)
     """
     spark = df.sparkSession
-    staging = f"{target_path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    base, tag = target_path.rstrip("/"), uuid.uuid4().hex
+    staging, aside = f"{base}.staging-{tag}", f"{base}.old-{tag}"
+    fs, new = _fs(spark, staging)
+    target, old = (_fs(spark, p)[1] for p in (base, aside))
+    try:
+        rows = write_observed(df, lambda d: d.write.mode("errorifexists").format(fmt).save(staging), "stage")
+        found = spark.read.format(fmt).schema(df.schema).load(staging).count()
+        if found != rows:
+            raise AssertionError(f"staging holds {found} rows where {rows} were written; the target is as it was")
+    except Exception:
+        fs.delete(new, True)  # only this call's own folder
+        raise
+    had_rows = fs.exists(target)
+    if had_rows and not fs.rename(target, old):
+        raise OSError(f"{target_path} could not be moved aside; the new rows are in {staging}")
     try:
-        staged_rows = write_observed(df, lambda d: d.write.mode("errorifexists").format(fmt).save(staging),
-                                     "stage")
+        if not _rename(fs, new, target):
+            raise OSError(f"{staging} could not take the place of {target_path}")
     except Exception:
-        fs, hpath = _fs(spark, staging)
-        fs.delete(hpath, True)  # only this call's own, uncommitted staging folder
+        if had_rows:
+            fs.rename(old, target)
         raise
-    reread = spark.read.format(fmt).load(staging)
-    check_rows = reread.count()
-    if check_rows != staged_rows:
-        raise AssertionError(f"staged {staged_rows} rows but read back {check_rows}; target left unchanged")
-    swapped = write_observed(reread, lambda d: d.write.mode("overwrite").format(fmt).save(target_path), "swap")
-    if swapped != staged_rows:
-        raise AssertionError(f"swap wrote {swapped} rows, expected {staged_rows}; staging kept at {staging}")
-    if drop_staging:
-        fs, hpath = _fs(spark, staging)
-        fs.delete(hpath, True)
-    return {"staged_rows": staged_rows, "dest_rows": swapped, "staging": None if drop_staging else staging}
+    if had_rows:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(base)
+    return {"staged_rows": rows, "dest_rows": rows}
+
+
+def _rename(fs, source, target) -> bool:
+    return fs.rename(source, target)
 
 
 def staged_refresh_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                         num_partitions: int | None = None) -> dict:
     """All-or-nothing refresh of a database table.
 
-    The rows go in parallel to ``<table>_staging`` (executors, many
-    connections). The driver then runs one short SQL-only transaction - delete
+    The rows go in parallel to a staging table of a name of its own
+    (executors, many connections). The driver then runs one short SQL-only transaction - delete
     the target's rows, insert them from staging, drop staging - so no row
     crosses the driver, and a failure rolls back to the old rows.
     """
     spark = df.sparkSession
-    staging = f"{table}_staging"
-    rows = load_jdbc(df, url, staging, "replace", properties, num_partitions)
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    rows = load_jdbc(df, url, staging, "fail", properties, num_partitions)
+    columns = ", ".join('"' + c.replace('"', '""') + '"' for c in df.columns)
     props = dict(properties or {})
     jvm = spark.sparkContext._jvm
     if "driver" in props:  # load it where --jars / --packages put it
@@ -231,7 +274,7 @@ def staged_refresh_jdbc(df: DataFrame, url: str, table: str, properties: Mapping
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
         stmt.executeUpdate(f"DELETE FROM {table}")
-        inserted = stmt.executeUpdate(f"INSERT INTO {table} SELECT * FROM {staging}")
+        inserted = stmt.executeUpdate(f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}")
         if inserted != rows:
             raise AssertionError(f"inserted {inserted} rows from staging, expected {rows}")
         stmt.executeUpdate(f"DROP TABLE {staging}")

@@ -124,7 +124,7 @@ FLAT_SRC_SQL = FX.derive_sql("orders", list(zip(FX.FLAT_COLUMNS, [s for _, s in
 def flat_clean_sql() -> str:
     """DuckDB form of the cleaned flat-record table."""
     return (
-        f"SELECT {O.stable_uuid('id')} AS uuid, id, {O.trim_text('name')} AS name, "
+        f"SELECT {O.stable_uuid('id', '0')} AS uuid, id, {O.trim_text('name')} AS name, "
         f"{O.single_line_text('address')} AS address, {O.initcap_text('color')} AS color, "
         f"created_at AS created_at_ori, {O.clean_timestamp('created_at')} AS created_at, "
         f"last_login AS last_login_ori, {O.epoch_text_to_timestamp('last_login')} AS last_login, "
@@ -231,6 +231,33 @@ def sink_csv_overwrite(spark, sf_dir):
     return spark.read.option("header", "true").csv(path)
 
 
+_DIRTY_CSV = ("CASE c_custkey % 6 WHEN 0 THEN '  ' || c_name || ' ' WHEN 1 THEN 'q' || CHR(34) || 'x' || c_name "
+              "WHEN 2 THEN '' WHEN 3 THEN c_name || CHR(10) || 'second ' || CHR(92) || ' line, ' || CHR(34) || 'a' || CHR(34) "
+              "WHEN 4 THEN NULL ELSE c_name END")
+
+
+@register("sink_csv_dirty_round_trip", f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {_DIRTY_CSV} AS note FROM customer")
+def sink_csv_dirty_round_trip(spark, sf_dir):
+    """Padding, quotes, line breaks, empty texts and nulls come back from
+    the CSV sink as they were."""
+    path = scratch_path(spark, "csv-dirty")
+    sinks.write_csv(t(spark, sf_dir, "customer").selectExpr("c_custkey", f"{_DIRTY_CSV} AS note"), path)
+    return readers.read_csv(spark, path, sinks.CSV_SINK_DIALECT)
+
+
+@register("scan_csv_mixed_headers",
+          "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_mktsegment "
+          "END AS segment FROM customer")
+def scan_csv_mixed_headers(spark, sf_dir):
+    """S1 over files whose headers differ in order and columns: matched by name."""
+    path, cust = scratch_path(spark, "csv-mixed"), t(spark, sf_dir, "customer")
+    forms = (["c_custkey AS id", "c_name AS name", "c_mktsegment AS segment"],
+             ["c_mktsegment AS segment", "c_custkey AS id", "c_name AS name"], ["c_name AS name", "c_custkey AS id"])
+    for i, columns in enumerate(forms):
+        sinks.write_csv(cust.where(F.col("c_custkey") % 3 == i).selectExpr(*columns), path, mode="append")
+    return readers.read_csv_by_name(spark, path).select("id", "name", "segment")
+
+
 @register("sink_with_observed_count", "SELECT count(*) AS rows_written, count(*) AS rows_read FROM lineitem")
 def sink_with_observed_count(spark, sf_dir):
     """Rows counted during the write, compared with what reads back."""
@@ -623,7 +650,7 @@ _DIRTY_TS = FX.dirty_timestamp_text("o_orderkey", "o_orderdate")
 _CLAMP_TEXT = ("CASE o_orderkey % 3 WHEN 0 THEN '18' || substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 3, 8) "
                "WHEN 1 THEN '20' || CAST(29 + o_orderkey % 3 AS STRING) || substr(CAST(CAST(o_orderdate AS DATE) "
                "AS STRING), 5, 6) || ' 12:00:00' ELSE CAST(o_orderdate AS STRING) END")
-_LONG_DATES = ("CASE WHEN o_orderkey % 12 IN (1, 2, 8, 9) THEN " + _DIRTY_TS + " ELSE "
+_LONG_DATES = ("CASE WHEN o_orderkey % 20 IN (1, 2, 8, 9) THEN " + _DIRTY_TS + " ELSE "
                "CAST(day(o_orderdate) AS STRING) || 'th of the month' END")
 
 _scalar("trim_text", "customer", "c_custkey", _CUST_PADDED, X.trim_text, O.trim_text)
@@ -678,14 +705,46 @@ def job_flat_records_parquet(spark, sf_dir):
 
 @register("job_flat_records_json", flat_clean_sql())
 def job_flat_records_json(spark, sf_dir):
-    """B1 with line-JSON input and an inferred schema: the same table again."""
-    return jobs.flat_record_job(spark, write_flat_as(spark, sf_dir, "json"), RUN_TS,
-                                file_format="json").frames["records"]
+    """B1 with line-JSON input and its known all-text schema: the same table again."""
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n, _ in FX.FLAT_SOURCE])
+    return jobs.flat_record_job(spark, write_flat_as(spark, sf_dir, "json"), RUN_TS, file_format="json",
+                                schema=schema).frames["records"]
+
+
+# Each order twice under the key of its customer, the second copy the same row
+# again for every third order: repeated ids, and rows that are wholly equal.
+_DUP_COLUMNS = ["id", "name", "address", "color", "created_at", "last_login", "is_claimed", "paid_amount"]
+_DUP_SQL = (f"SELECT CAST(c AS VARCHAR) AS id, {', '.join(_DUP_COLUMNS[1:])} FROM (SELECT o_custkey AS c, f.* "
+            f"FROM orders o JOIN ({FLAT_SRC_SQL}) f ON CAST(o.o_orderkey AS VARCHAR) = f.id "
+            f"UNION ALL SELECT o_custkey AS c, f.* FROM orders o JOIN ({FLAT_SRC_SQL}) f "
+            f"ON CAST(o.o_orderkey AS VARCHAR) = f.id WHERE o_orderkey % 3 = 0)")
+
+
+def duplicated_flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = FX.derive(t(spark, sf_dir, "orders"), list(zip(FX.FLAT_COLUMNS, [x for _, x in FX.FLAT_SOURCE])),
+                    keep=["o_orderkey", "o_custkey"]).withColumn("id", F.col("o_custkey").cast("string"))
+    return src.unionByName(src.where("o_orderkey % 3 = 0")).select(*_DUP_COLUMNS)
+
+
+@register("job_flat_duplicates",
+          f"SELECT {O.stable_uuid('id', 'occurrence')} AS uuid, id, {O.trim_text('name')} AS name, "
+          f"{O.decimal_amount('paid_amount')} AS paid_amount FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY "
+          f"{O.row_digest(*_DUP_COLUMNS)}) - 1 AS occurrence FROM ({_DUP_SQL}))")
+def job_flat_duplicates(spark, sf_dir):
+    """B1 where ids repeat and rows are equal: as many distinct uuids as rows,
+    the same ones on each run."""
+    def write() -> str:
+        path = scratch_path(spark, "flat-duplicates")
+        duplicated_flat_records(spark, sf_dir).write.parquet(path)
+        return path
+    path = _write_once(spark, sf_dir, "flat-duplicates", write)
+    return jobs.flat_record_job(spark, path, RUN_TS, file_format="parquet").frames["records"].select(
+        "uuid", "id", "name", "paid_amount")
 
 
 def _nested_users_sql() -> str:
     return (
-        f"SELECT user_id, {O.stable_uuid(O.q('users'), 'user_id')} AS uuid, created_at AS created_at_ori, "
+        f"SELECT user_id, {O.stable_uuid(O.q('users'), 'user_id', '0')} AS uuid, created_at AS created_at_ori, "
         f"{O.repair_time_string('created_at')} AS created_at, updated_at AS updated_at_ori, "
         f"{O.repair_time_string('updated_at')} AS updated_at, logged_at AS logged_at_ori, "
         f"{O.epoch_to_timestamp('logged_at')} AS logged_at, name, {O.text_to_date('dob')} AS dob, "
@@ -696,13 +755,13 @@ def _nested_users_sql() -> str:
 
 
 def _nested_phones_sql() -> str:
-    return (f"SELECT user_id, {O.stable_uuid(O.q('telephone_numbers'), 'user_id', 'pos')} AS uuid, "
+    return (f"SELECT user_id, {O.stable_uuid(O.q('telephone_numbers'), 'user_id', '0', 'pos')} AS uuid, "
             f"telephone_numbers AS telephone_numbers_ori, {O.clean_phone('telephone_numbers')} AS telephone_numbers, "
             f"{RUN_TS_SQL} AS inserted_date FROM ({phones_sql()})")
 
 
 def _nested_jobs_sql() -> str:
-    return (f"SELECT user_id, {O.stable_uuid(O.q('jobs_history'), 'user_id', 'pos')} AS uuid, "
+    return (f"SELECT user_id, {O.stable_uuid(O.q('jobs_history'), 'user_id', '0', 'pos')} AS uuid, "
             f"{O.initcap_text('occupation')} AS occupation, {O.trim_text('employer')} AS employer, is_fulltime, "
             f'"start" AS start_ori, {O.text_to_date(chr(34) + "start" + chr(34))} AS start_date, '
             f'"end" AS end_ori, {O.text_to_date(chr(34) + "end" + chr(34))} AS end_date, '
@@ -719,6 +778,17 @@ def job_nested_users(spark, sf_dir):
     return _nested_job(spark, sf_dir, "users")
 
 
+@register("job_nested_users_parquet", _nested_users_sql())
+def job_nested_users_parquet(spark, sf_dir):
+    """B2 with Parquet input: the same users table."""
+    def write() -> str:
+        path = scratch_path(spark, "nested-parquet")
+        FX.nested_source(spark, sf_dir).drop("_bad_balance").write.parquet(path)
+        return path
+    path = _write_once(spark, sf_dir, "nested-parquet", write)
+    return jobs.nested_record_job(spark, path, RUN_TS, file_format="parquet").frames["users"]
+
+
 @register("job_nested_phones", _nested_phones_sql())
 def job_nested_phones(spark, sf_dir):
     """B2: the telephone-numbers table."""
@@ -746,7 +816,7 @@ def target_users_tbl(spark, sf_dir):
 
 
 @register("target_telephone_numbers",
-          "SELECT CAST(row_number() OVER (ORDER BY user_id, uuid) AS INTEGER) AS id, user_id, "
+          "SELECT row_number() OVER (ORDER BY user_id, uuid) AS id, user_id, "
           "try_cast(telephone_numbers AS BIGINT) AS telephone_number, inserted_date, '' AS conform_errors "
           f"FROM ({_nested_phones_sql()})")
 def target_telephone_numbers(spark, sf_dir):
@@ -755,7 +825,7 @@ def target_telephone_numbers(spark, sf_dir):
 
 
 @register("target_jobs_history",
-          "SELECT CAST(row_number() OVER (ORDER BY user_id, uuid) AS INTEGER) AS id, user_id, occupation, "
+          "SELECT row_number() OVER (ORDER BY user_id, uuid) AS id, user_id, occupation, "
           'is_fulltime, start_date AS "start", end_date AS "end", employer, inserted_date, \'\' AS conform_errors '
           f"FROM ({_nested_jobs_sql()})")
 def target_jobs_history(spark, sf_dir):

@@ -20,8 +20,11 @@ from datetime import datetime, timezone
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakewash.plans import jobs
+from lakewash.operators.mapping import CONFORM_ERRORS
+from lakewash.operators.quality import split_rejects
+from lakewash.plans import jobs, targets
 from lakewash.sources import sinks
 
 SINKS = ("parquet", "csv", "delta", "jdbc", "staged", "table", "noop")
@@ -46,7 +49,7 @@ def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataF
     if args.sink == "noop":
         return lambda df: df.write.format("noop").mode("overwrite").save()
     if args.sink == "table":
-        name = table if (table and args.job == "nested") else args.table
+        name = table or args.table
         if not name:
             raise SystemExit("--table is needed for the table sink")
         key = ["user_id"] if args.job == "nested" else ["id"]
@@ -63,6 +66,20 @@ def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataF
     return lambda df: sinks.load_jdbc(df, args.jdbc_url, name, args.if_exists, props, args.jdbc_partitions)
 
 
+SHAPES = {"flat": targets.shape_flat_records, "users": targets.shape_users,
+          "telephone_numbers": targets.shape_telephone_numbers, "jobs_history": targets.shape_jobs_history}
+
+
+def _conformed(shape: Callable[[DataFrame], DataFrame], good: Callable, misfits: Callable) -> Callable[[DataFrame], None]:
+    """A sink that loads the rows in the target table's shape and sends those
+    that do not fit it, with the columns at fault, to a second sink."""
+    def load(df: DataFrame) -> None:
+        fit, unfit = split_rejects(shape(df), CONFORM_ERRORS)
+        good(fit)
+        misfits(unfit.withColumn(CONFORM_ERRORS, F.array_join(CONFORM_ERRORS, ",")))
+    return load
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakewash", description=__doc__.split("\n\n")[0])
     sub = p.add_subparsers(dest="job", required=True)
@@ -87,6 +104,10 @@ def parser() -> argparse.ArgumentParser:
                        help="process only files not seen before (Structured Streaming, available-now); "
                             "writes parquet under --output, one batch_id=<n> folder per batch")
         j.add_argument("--checkpoint", help="streaming checkpoint folder for --incremental")
+        j.add_argument("--max-files-per-trigger", type=int, default=None,
+                       help="--incremental: files to a batch at most (default: all that have arrived)")
+        j.add_argument("--conform", action="store_true",
+                       help="load the target tables' columns and types; rows that do not fit go to <name>_misfits")
         j.add_argument("--buckets", type=int, default=0,
                        help="table sink: bucket on the key (user_id for the nested tables) so that "
                             "foreign-key checks between them need no shuffle")
@@ -96,10 +117,11 @@ def parser() -> argparse.ArgumentParser:
             j.add_argument("--quote", default='"')
             j.add_argument("--escape", default='"')
             j.add_argument("--multiline", default="true", choices=("true", "false"))
-            j.add_argument("--max-rows", type=int, default=None)
             j.add_argument("--unique-check", choices=("exact", "approx", "off"), default="exact")
             j.add_argument("--allow-empty", action="store_true")
         else:
+            j.add_argument("--format", default="json", choices=("json", "parquet"))
+            j.add_argument("--rejects-table", default="rejected_lines")
             j.add_argument("--users-table", default="user_tbl")
             j.add_argument("--phones-table", default="telephone_numbers")
             j.add_argument("--jobs-table", default="jobs_history")
@@ -115,16 +137,25 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.job == "flat":
         options = {"delimiter": args.delimiter, "quote": args.quote, "escape": args.escape,
                    "multiLine": args.multiline}
-        res = jobs.flat_record_job(spark, args.input, run_ts, sink=_sink(args), options=options,
-                                   max_rows=args.max_rows, allow_empty=args.allow_empty, uuid_mode=args.uuid,
+        sink = _sink(args)
+        if args.conform:
+            extra = f"{args.table}_misfits" if args.sink in ("jdbc", "table") else "misfits"
+            sink = _conformed(SHAPES["flat"], _sink(args, None if args.sink in ("jdbc", "table") else "records"),
+                              _sink(args, extra))
+        res = jobs.flat_record_job(spark, args.input, run_ts, sink=sink, options=options,
+                                   allow_empty=args.allow_empty, uuid_mode=args.uuid,
                                    unique_check=args.unique_check, file_format=args.format)
     else:
         tables = {"users": args.users_table, "telephone_numbers": args.phones_table,
                   "jobs_history": args.jobs_table}
+        names = {k: v if args.sink in ("jdbc", "table") else k for k, v in tables.items()}
+        load = {k: _sink(args, name) for k, name in names.items()}
+        if args.conform:
+            load = {k: _conformed(SHAPES[k], sink, _sink(args, f"{names[k]}_misfits")) for k, sink in load.items()}
         res = jobs.nested_record_job(
-            spark, args.input, run_ts, uuid_mode=args.uuid,
-            sinks={k: _sink(args, v if args.sink in ("jdbc", "table") else k) for k, v in tables.items()},
-            rejects_sink=_sink(args, "rejects") if args.sink not in ("jdbc", "table") else None)
+            spark, args.input, run_ts, uuid_mode=args.uuid, file_format=args.format, sinks=load,
+            rejects_sink=_sink(args, args.rejects_table if args.sink in ("jdbc", "table") else "rejects"))
+        res.close()
     metrics = {"job": args.job, **res.metrics}
     print(json.dumps(metrics, default=str))
     return metrics
@@ -138,9 +169,11 @@ def _incremental(spark: SparkSession, args: argparse.Namespace, run_ts: str) ->
     if args.job == "flat":
         options = {"delimiter": args.delimiter, "quote": args.quote, "escape": args.escape,
                    "multiLine": args.multiline}
-        query = run_flat_record_load(spark, args.input, args.output, args.checkpoint, run_ts, options=options)
+        query = run_flat_record_load(spark, args.input, args.output, args.checkpoint, run_ts, options=options,
+                                     uuid_mode=args.uuid, max_files_per_trigger=args.max_files_per_trigger)
     else:
-        query = run_nested_record_load(spark, args.input, args.output, args.checkpoint, run_ts, uuid_mode=args.uuid)
+        query = run_nested_record_load(spark, args.input, args.output, args.checkpoint, run_ts, uuid_mode=args.uuid,
+                                       max_files_per_trigger=args.max_files_per_trigger)
     progress = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
     metrics = {"job": args.job, "incremental": True, "batches": len(progress),
                "input_rows": sum(p["numInputRows"] for p in progress)}

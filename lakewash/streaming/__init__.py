@@ -1,9 +1,9 @@
 """Incremental (Structured Streaming) forms of the jobs."""
 
 from lakewash.streaming.incremental import (
-    flat_record_stream, run_flat_record_load, run_nested_record_load, start_flat_record_load,
+    flat_record_source, run_flat_record_load, run_nested_record_load, start_flat_record_load,
     start_nested_record_load, text_schema_from_header,
 )
 
-__all__ = ["flat_record_stream", "run_flat_record_load", "run_nested_record_load", "start_flat_record_load",
+__all__ = ["flat_record_source", "run_flat_record_load", "run_nested_record_load", "start_flat_record_load",
            "start_nested_record_load", "text_schema_from_header"]

@@ -5,80 +5,126 @@ runs unchanged on ``readStream``: each trigger picks up only files that the
 checkpoint has not seen, cleans them and appends them. No watermark or state
 store is involved.
 
-Each micro-batch goes through ``foreachBatch``: the required-column null check
-runs on the batch first (fatal, as in the batch job), then the batch is written
-into its own ``batch_id=<n>`` folder with overwrite. A batch replayed after a
-failure rewrites exactly that folder, so the sink stays exactly-once.
+Each micro-batch goes through ``foreachBatch``: it is written to a folder of its
+own, the required-column null check observed on the way, and moved to
+``batch_id=<n>`` if it holds (fatal if not, as in the batch job). A batch replayed
+after a failure replaces exactly that folder, so the sink stays exactly-once.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-from typing import Mapping
+import uuid
+from datetime import datetime, timezone
+from typing import Mapping, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewash.operators.mapping import apply_mapping, normalize_name
-from lakewash.operators.quality import require_not_null
-from lakewash.plans.jobs import FLAT_REQUIRED, NESTED_SCHEMA, NESTED_TABLES, flat_record_mapping, nested_rejects
-from lakewash.session import pin_utc
+from lakewash.operators.ids import OCCURRENCE, with_occurrence
+from lakewash.operators.mapping import apply_mapping, normalize_columns
+from lakewash.plans.jobs import (
+    FLAT_REQUIRED, NESTED_SCHEMA, NESTED_TABLES, flat_record_mapping, nested_rejects, protect,
+)
+from lakewash.session import pin_utc, scratch_path
 from lakewash.sources.readers import CORRUPT_RECORD, CSV_DIALECT, read_csv
+from lakewash.sources.sinks import move_path, remove_path
 
 BATCH_COLUMN = "batch_id"
 
 
 def text_schema_from_header(spark: SparkSession, sample_path: str,
                             options: Mapping[str, object] | None = None) -> T.StructType:
-    """All-text schema named by the tidied header of the files at
-    ``sample_path`` (reads the header line only)."""
+    """All-text schema named by the header of the files at ``sample_path``
+    (reads the header line only)."""
     names = read_csv(spark, sample_path, options).columns
-    return T.StructType([T.StructField(normalize_name(n), T.StringType(), True) for n in names])
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def flat_record_stream(spark: SparkSession, input_dir: str, schema: T.StructType, run_ts: datetime | str,
-                       options: Mapping[str, object] | None = None, max_files_per_trigger: int | None = None,
-                       uuid_mode: str = "stable") -> DataFrame:
-    """Streaming frame of cleaned flat records from CSV files landing in
-    ``input_dir``. Columns are matched by position to ``schema``."""
+def _now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _batch_time(run_ts: datetime | str | None) -> datetime | str:
+    """The load time of a batch: the caller's, or the batch's own."""
+    return _now() if run_ts is None else run_ts
+
+
+def _publish(df: DataFrame, output_dir: str, batch_id: int, required: Sequence[str] = ()) -> None:
+    """Write one batch to a folder of its own and move it to
+    ``batch_id=<n>`` only if no required value is null. The check is observed
+    during the write, so the batch is read once; a replayed batch replaces its
+    folder."""
+    spark, base = df.sparkSession, output_dir.rstrip("/")
+    staging, final = f"{base}/_batch-{batch_id}", f"{base}/{BATCH_COLUMN}={batch_id}"
+    obs = Observation(f"batch-{uuid.uuid4().hex[:8]}")
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in required]
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls).write.mode("overwrite").parquet(staging)
+    seen = obs.get
+    bad = {c: int(seen[f"n_{c}"]) for c in required if seen[f"n_{c}"]}
+    if bad:
+        remove_path(spark, staging)
+        raise AssertionError(f"batch {batch_id}: null where a value is required (column: rows): {bad}")
+    move_path(spark, staging, final)
+
+
+def _batch_key(df: DataFrame, batch_id: int) -> DataFrame:
+    """Occurrence numbers of a later batch start in a range of its own, so a
+    row that comes again in another file has another id."""
+    return df.withColumn(OCCURRENCE, F.col(OCCURRENCE) + F.shiftleft(F.lit(batch_id).cast("bigint"), 40))
+
+
+def _trigger(writer, available_now: bool, processing_time: str | None):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time or "1 minute")
+
+
+def flat_record_source(spark: SparkSession, input_dir: str, schema: T.StructType,
+                       options: Mapping[str, object] | None = None,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of the raw flat records in CSV files landing in
+    ``input_dir``; a file with another header than ``schema`` fails its batch."""
     pin_utc(spark)
     reader = spark.readStream.format("csv").options(**{**CSV_DIALECT, **{k: str(v) for k, v in (options or {}).items()}})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.schema(schema).load(input_dir)
-    return apply_mapping(raw, flat_record_mapping(run_ts, uuid_mode))
+    return reader.schema(schema).load(input_dir)
 
 
 def start_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
-                           run_ts: datetime | str, schema: T.StructType | None = None,
+                           run_ts: datetime | str | None = None, schema: T.StructType | None = None,
                            available_now: bool = True, processing_time: str | None = None,
-                           options: Mapping[str, object] | None = None) -> StreamingQuery:
+                           options: Mapping[str, object] | None = None, uuid_mode: str = "stable",
+                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load; ``available_now`` processes what has
-    arrived and stops, otherwise it runs every ``processing_time``."""
+    arrived, ``max_files_per_trigger`` files to a batch, and stops; otherwise
+    it runs every ``processing_time``. Without ``run_ts`` each batch carries
+    its own load time."""
     schema = schema or text_schema_from_header(spark, input_dir, options)
-    stream = flat_record_stream(spark, input_dir, schema, run_ts, options)
+    raw = flat_record_source(spark, input_dir, schema, options, max_files_per_trigger)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        # The check and the write both read the batch: parse its files once.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        session, when = batch.sparkSession, _batch_time(run_ts)
+        named = normalize_columns(batch)
+        if uuid_mode != "stable":
+            _publish(apply_mapping(named, flat_record_mapping(when, uuid_mode)), output_dir, batch_id, FLAT_REQUIRED)
+            return
+        staging = scratch_path(session, "flat-batch")  # repeated ids are looked up in it, so the files are parsed once
         try:
-            require_not_null(batch, FLAT_REQUIRED)
-            (batch.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(output_dir))
+            named.write.parquet(staging)
+            rows = with_occurrence(session.read.schema(named.schema).parquet(staging), FLAT_REQUIRED[0])
+            _publish(apply_mapping(_batch_key(rows, batch_id), flat_record_mapping(when, uuid_mode, F.col(OCCURRENCE))),
+                     output_dir, batch_id, FLAT_REQUIRED)
         finally:
-            batch.unpersist()
+            remove_path(session, staging)
 
-    writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=processing_time or "1 minute")
-    return writer.start()
+    writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
+    return _trigger(writer, available_now, processing_time).start()
 
 
 def run_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
-                         run_ts: datetime | str, **kwargs) -> StreamingQuery:
+                         run_ts: datetime | str | None = None, **kwargs) -> StreamingQuery:
     """Process every file that has arrived since the last run, then stop."""
     query = start_flat_record_load(spark, input_dir, output_dir, checkpoint_dir, run_ts, **kwargs)
     query.awaitTermination()
@@ -88,41 +134,48 @@ def run_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str, c
 
 
 def start_nested_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
-                             run_ts: datetime | str, available_now: bool = True,
-                             processing_time: str | None = None, uuid_mode: str = "stable") -> StreamingQuery:
+                             run_ts: datetime | str | None = None, available_now: bool = True,
+                             processing_time: str | None = None, uuid_mode: str = "stable",
+                             max_files_per_trigger: int | None = None) -> StreamingQuery:
     """The nested-record job on line-JSON files landing in ``input_dir``.
 
-    Each micro-batch is persisted first, so every field is parsed once and a
-    line is rejected on the whole record (as the batch job's staging does);
+    Each micro-batch is protected (secrets masked or hashed) and staged first,
+    so every field is parsed once and a line is rejected on the whole record;
     then the users, telephone-number and jobs-history tables and the rejects
     are written under ``output_dir/<table>/batch_id=<n>``, replaced whole
-    when a batch is replayed.
+    when a batch is replayed, and the staging goes.
     """
     pin_utc(spark)
     full = T.StructType([*NESTED_SCHEMA.fields, T.StructField(CORRUPT_RECORD, T.StringType(), True)])
-    stream = (spark.readStream.schema(full).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_RECORD).json(input_dir))
+    reader = (spark.readStream.schema(full).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_RECORD))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.json(input_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        session, when = batch.sparkSession, _batch_time(run_ts)
+        staging = scratch_path(session, "nested-batch")
+        safe = protect(batch)
         try:
-            tables = {name: build(batch, run_ts, uuid_mode) for name, build in NESTED_TABLES.items()}
-            tables["rejects"] = nested_rejects(batch)
+            safe.write.parquet(staging)
+            records = session.read.schema(safe.schema).parquet(staging)
+            good = records.where(F.col(CORRUPT_RECORD).isNull())
+            if uuid_mode == "stable":
+                good = _batch_key(with_occurrence(good, "user_id"), batch_id)
+            tables = {name: build(good, when, uuid_mode) for name, build in NESTED_TABLES.items()}
+            tables["rejects"] = nested_rejects(records)
             for name, table in tables.items():
-                (table.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
-                 .parquet(f"{output_dir.rstrip('/')}/{name}"))
+                _publish(table, f"{output_dir.rstrip('/')}/{name}", batch_id)
         finally:
-            batch.unpersist()
+            remove_path(session, staging)
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=processing_time or "1 minute")
-    return writer.start()
+    return _trigger(writer, available_now, processing_time).start()
 
 
 def run_nested_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
-                           run_ts: datetime | str, **kwargs) -> StreamingQuery:
+                           run_ts: datetime | str | None = None, **kwargs) -> StreamingQuery:
     """Process every JSON file that has arrived since the last run, then stop."""
     query = start_nested_record_load(spark, input_dir, output_dir, checkpoint_dir, run_ts, **kwargs)
     query.awaitTermination()

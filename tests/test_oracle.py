@@ -13,9 +13,10 @@ import __spark_entry__ as entry  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
 from conftest import SF_ORACLE, SF_SMALL  # noqa: E402
+from lakewash.plans import catalog  # noqa: E402
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"random_uuid"}
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -36,7 +36,7 @@ def test_csv_dialect_multiline_and_quotes(spark):
 
 
 def test_read_data_dispatch(spark):
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="not a supported"):
         readers.read_data(spark, "/nowhere", "xml")
     inferred = _write(scratch_path(spark, "t-json-infer"), "a.json", '{"a": 1, "b": "x"}\n')
     assert readers.read_data(spark, inferred, "json").columns == ["a", "b"]
@@ -124,8 +124,8 @@ def test_flat_job_metrics_and_checks(spark, caplog):
     assert back["2"].created_at is None and back["2"].is_claimed is False
     dup = _write(scratch_path(spark, "t-dup"), "in.csv", CSV_TEXT + CSV_TEXT.split("\n", 1)[1])
     with caplog.at_level(logging.WARNING):
-        res = jobs.flat_record_job(spark, dup, catalog.RUN_TS)
-    assert res.metrics["unique_key"] is False
+        res_dup = jobs.flat_record_job(spark, dup, catalog.RUN_TS)
+    assert res_dup.metrics["unique_key"] is False
     nulls = _write(scratch_path(spark, "t-null"), "in.csv", "ID,Name\n,x\n2,y\n")
     with pytest.raises(AssertionError, match="null"):
         jobs.flat_record_job(spark, nulls, catalog.RUN_TS)
@@ -134,9 +134,8 @@ def test_flat_job_metrics_and_checks(spark, caplog):
         jobs.flat_record_job(spark, empty, catalog.RUN_TS)
     res = jobs.flat_record_job(spark, empty, catalog.RUN_TS, allow_empty=True, sink=lambda d: 1 / 0)
     assert res.metrics["src_count"] == res.metrics["dest_count"] == 0
-    capped = jobs.flat_record_job(spark, dup, catalog.RUN_TS, max_rows=1,
-                                  sink=lambda d: d.write.format("noop").mode("overwrite").save())
-    assert capped.metrics["dest_count"] == 1
+    rows = res_dup.frames["records"].collect()
+    assert len(rows) == len({r.uuid for r in rows}) == 4
     with pytest.raises(FileNotFoundError):
         jobs.flat_record_job(spark, scratch_path(spark, "t-missing"), catalog.RUN_TS)
 
@@ -194,12 +193,24 @@ def test_object_store_style_uri_and_oversized_files(spark, caplog):
 
 
 def test_no_python_evaluation_in_any_query_plan(spark):
-    """Only the surrogate key has a Python step (a vectorised mapInPandas)."""
-    for name, build in catalog.queries().items():
-        plan = build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
-        if name != "surrogate_key":
-            assert "MapInPandas" not in plan and "PythonUDF" not in plan, name
+    """No query of the library proper evaluates Python, and neither does any
+    plan that it runs on the way (before a write cuts the lineage)."""
+    ran = []
+    write = type(spark.range(0).write).parquet
+
+    def watched(self, *args, **kwargs):
+        ran.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, *args, **kwargs)
+
+    type(spark.range(0).write).parquet = watched
+    try:
+        for name, build in catalog.queries().items():
+            ran.append(build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString())
+            for plan in ran:
+                assert not any(x in plan for x in ("EvalPython", "MapInPandas", "MapInArrow", "PythonUDF")), name
+            ran.clear()
+    finally:
+        type(spark.range(0).write).parquet = write
 
 
 def test_library_never_collects_datasets():
@@ -209,10 +220,11 @@ def test_library_never_collects_datasets():
     allowed = {
         ("quality.py", "not_null_violations(df, cols).collect()"),   # one row per listed column
         ("quality.py", "df.agg(*aggs).first()"),                      # the one-row profile
-        ("jobs.py", "oversized_files(spark, input_path, warn_file_bytes).limit(20).collect()"),
     }
     found = set()
     for dirpath, _, files in os.walk(root):
+        if os.path.basename(dirpath) == "llm":  # has bounds and tests of its own
+            continue
         for f in (f for f in files if f.endswith(".py")):
             for line in open(os.path.join(dirpath, f)):
                 if re.search(r"\.(collect|toPandas|first|take)\(", line):
@@ -293,7 +305,7 @@ def test_nested_job_stops_before_loading(spark):
     no_phones = '{"user_id":"u1","logged_at":1,"user_details":{"telephone_numbers":[]}}\n'
     path = _write(scratch_path(spark, "t-nophones"), "in.json", no_phones)
     wrote = []
-    with pytest.raises(AssertionError, match="Telephone"):
+    with pytest.raises(AssertionError, match="telephone"):
         jobs.nested_record_job(spark, path, catalog.RUN_TS, sinks={
             "users": lambda d: (wrote.append(1), d.write.format("noop").mode("overwrite").save())})
     assert wrote == []
@@ -382,3 +394,68 @@ def test_command_line_parquet_input(spark):
     metrics = cli.main(["flat", "--input", src, "--format", "parquet", "--sink", "noop",
                         "--run-ts", catalog.RUN_TS], spark=spark)
     assert metrics["src_count"] == metrics["dest_count"] == 1500
+
+
+def test_failed_swap_keeps_the_old_rows(spark, monkeypatch):
+    target = scratch_path(spark, "t-swap")
+    sinks.staged_refresh(spark.range(5), target)
+    monkeypatch.setattr(sinks, "_rename", lambda *a: False)
+    with pytest.raises(OSError):
+        sinks.staged_refresh(spark.range(9), target)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_no_raw_secret_at_rest(spark):
+    good = ('{"user_id":"u1","logged_at":1,"user_details":{"name":"n","password":"pw-raw-1","national_id":"999-11-2222",'
+            '"telephone_numbers":["555.123.4567"]}}')
+    lines = [good, good.replace('"logged_at":1', '"logged_at":"n/a"').replace("pw-raw-1", 'pw\\"raw'),
+             '{"user_id":"u3","user_details":{"password":"pw-raw-open']
+    path = _write(scratch_path(spark, "t-secrets"), "in.json", "\n".join(lines) + "\n")
+    out = scratch_path(spark, "t-secrets-out")
+    res = jobs.nested_record_job(spark, path, catalog.RUN_TS, sinks={
+        n: (lambda d, n=n: d.write.parquet(f"{out}/{n}")) for n in jobs.NESTED_TABLES},
+        rejects_sink=lambda d: d.write.parquet(f"{out}/rejects"))
+    staging = res.staging[1]
+    for folder in (staging, *(f"{out}/{n}" for n in (*jobs.NESTED_TABLES, "rejects"))):
+        text = "".join(str(r) for r in spark.read.parquet(folder).collect())
+        assert "pw-raw" not in text and "raw" not in text and "999-11-2222" not in text, folder
+    res.close()
+    assert not os.path.exists(staging)
+
+
+def test_header_mismatch_is_an_error(spark):
+    path = _write(scratch_path(spark, "t-headers"), "a.csv", "id,name,address\n1,n,a\n")
+    _write(path, "b.csv", "id,address,name\n2,addr,Bob\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, path).collect()
+    rows = {r.id: (r.name, r.address) for r in readers.read_csv_by_name(spark, path).collect()}
+    assert rows == {"1": ("n", "a"), "2": ("Bob", "addr")}
+
+
+def test_stream_takes_a_bounded_number_of_files(spark):
+    from lakewash.streaming import run_flat_record_load
+    src = scratch_path(spark, "t-three")
+    for i in range(3):
+        _write(src, f"{i}.csv", CSV_TEXT)
+    out, ckpt = scratch_path(spark, "t-three-out"), scratch_path(spark, "t-three-ckpt")
+    run_flat_record_load(spark, src, out, ckpt, max_files_per_trigger=1)
+    back = spark.read.parquet(out)
+    assert back.select("batch_id").distinct().count() == 3
+    assert back.select("uuid").distinct().count() == back.count() == 6
+
+
+def test_row_ids_do_not_depend_on_the_layout(spark):
+    df = catalog.duplicated_flat_records(spark, SF_SMALL)
+    from lakewash.operators.ids import with_occurrence
+    got = [sorted((r.id, r.name or "", r._occurrence) for r in with_occurrence(df.repartition(n), "id").collect())
+           for n in (2, 5)]
+    assert got[0] == got[1] and len(set((i, o) for i, _, o in got[0])) == len(got[0])
+
+
+def test_command_line_conformed_target(spark):
+    from lakewash.plans import cli
+    src = _write(scratch_path(spark, "t-conform"), "in.csv", CSV_TEXT + "x9,Eve,a,b,,,,\n")
+    out = scratch_path(spark, "t-conform-out")
+    cli.main(["flat", "--input", src, "--output", out, "--run-ts", catalog.RUN_TS, "--conform"], spark=spark)
+    assert sorted(r.id for r in spark.read.parquet(out + "/records").collect()) == [1, 2]
+    assert [r._conform_errors for r in spark.read.parquet(out + "/misfits").collect()] == ["id"]

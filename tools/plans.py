@@ -21,7 +21,7 @@ NOTES = {
     "job_nested_phones": "Generate (posexplode) is narrow: the array fans out inside the task that read it.",
     "foreign_key_orphans": "Parent filtered and pruned at the scan, reduced to distinct keys by a partial "
                            "aggregate; broadcast only because its measured size is under the threshold "
-                           "(else sort-merge with AQE skew splitting, or the explicit salt).",
+                           "(else sort-merge with AQE skew splitting).",
     "latest_per_key": "Partial max(struct) before the shuffle: a hot key leaves one row per task. No window.",
     "primary_key_violations": "Partial count per key before the shuffle.",
     "duplicate_keys": "Partial count per key before the shuffle.",

@@ -42,62 +42,95 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _END = (".", "!", "?", ":")
 
 
-def template(text: str | None) -> tuple[list[str], list[str]]:
-    """(tokens, slots): the template tokens, and at each place the value that
-    a placeholder stands for ('' for a literal word).
-
-    A number is a placeholder; so is a unit after a number, and a capitalised
-    word that neither begins a sentence nor follows a line break (a name).
-    Other words are lower-cased and lose punctuation at either end; a word of
-    nothing else is left out.
-    """
-    tokens, slots = [], []
-    begins = True
-    for line in (text or "").split("\n"):
-        begins = True
-        for raw in line.split():
-            word = raw.strip(_TRIM)
-            ends = raw.rstrip("\"')]}").endswith(_END)
-            if word:
-                low = word.lower()
-                if _NUMBER.fullmatch(word):
-                    tokens.append("<number>")
-                    slots.append(low)
-                elif tokens and tokens[-1] == "<number>" and low in UNITS:
-                    tokens.append("<unit>")
-                    slots.append(low)
-                elif word[:1].isupper() and not begins and not word.isupper() and word.isalpha():
-                    tokens.append("<name>")
-                    slots.append(low)
-                else:
-                    tokens.append(low)
-                    slots.append("")
-                begins = ends
-            elif ends:
-                begins = True
-    return tokens, slots
+_LITERAL, _NUMERIC, _CAPITAL, _EMPTY = range(4)
 
 
-class _Hasher:
-    """Window hashes of a template; word hashes are kept between texts."""
+def _classify(raw: str) -> tuple[int, str, bool, bool]:
+    """(kind, lower-cased word without punctuation at either end, whether it
+    is a unit, whether a sentence ends here) of one word."""
+    word = raw.strip(_TRIM)
+    ends = raw.rstrip("\"')]}").endswith(_END)
+    low = word.lower()
+    if not word:
+        kind = _EMPTY
+    elif _NUMBER.fullmatch(word):
+        kind = _NUMERIC
+    elif word[:1].isupper() and not word.isupper() and word.isalpha():
+        kind = _CAPITAL
+    else:
+        kind = _LITERAL
+    return kind, low, low in UNITS, ends
 
-    def __init__(self, keep: int = 200_000):
-        self.seen: dict[str, int] = {}
-        self.keep = keep
 
-    def windows(self, tokens: list[str], size: int) -> np.ndarray:
-        seen = self.seen
+def _hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode())
+
+
+class Templates:
+    """Templates of texts. What a word is and its hash are kept between texts,
+    for up to ``keep`` different words, so a common word costs one look-up."""
+
+    def __init__(self, keep: int = 300_000):
+        self.seen: dict[str, tuple[int, str, bool, bool, int]] = {}
+        self.keep = keep
+        self.number, self.unit, self.name = (_hash(x) for x in ("<number>", "<unit>", "<name>"))
+
+    def read(self, text: str | None) -> tuple[list[int], list[str]]:
+        """(hashes, slots): the hash of each template token, and the value
+        that a placeholder stands for there ('' for a literal word).
+
+        A number is a placeholder; so is a unit after a number, and a
+        capitalised word that neither begins a sentence nor follows a line
+        break (a name). Other words are lower-cased and lose punctuation at
+        either end; a word of nothing else is left out.
+        """
+        seen, hashes, slots = self.seen, [], []
         if len(seen) > self.keep:
             seen.clear()
-        for t in tokens:
-            if t not in seen:
-                seen[t] = xxhash.xxh64_intdigest(t.encode())
-        h = np.fromiter((seen[t] for t in tokens), np.uint64, len(tokens))
-        n = max(1, len(h) - size + 1) if len(h) else 0
-        out = np.zeros(n, np.uint64)
-        for k in range(min(size, len(h))):
-            out = out * np.uint64(0xD6E8FEB86659FD93) + h[k:k + n]
-        return mix(out, len(h) if len(h) < size else size)
+        after_number = False
+        for line in (text or "").split("\n"):
+            begins = True
+            for raw in line.split():
+                known = seen.get(raw)
+                if known is None:
+                    kind, low, unit, ends = _classify(raw)
+                    known = seen[raw] = (kind, low, unit, ends, _hash(low))
+                kind, low, unit, ends, h = known
+                if kind == _EMPTY:
+                    begins = begins or ends
+                    continue
+                if kind == _LITERAL and not (unit and after_number):
+                    hashes.append(h)
+                    slots.append("")
+                    after_number = False
+                elif kind == _NUMERIC:
+                    hashes.append(self.number)
+                    slots.append(low)
+                    after_number = True
+                elif unit and after_number:
+                    hashes.append(self.unit)
+                    slots.append(low)
+                    after_number = False
+                elif begins:
+                    hashes.append(h)
+                    slots.append("")
+                    after_number = False
+                else:
+                    hashes.append(self.name)
+                    slots.append(low)
+                    after_number = False
+                begins = ends
+        return hashes, slots
+
+
+def window_hashes(tokens: list[int], size: int) -> np.ndarray:
+    """The hash of each run of ``size`` tokens; fewer tokens are one run."""
+    h = np.array(tokens, np.uint64)
+    n = max(1, len(h) - size + 1) if len(h) else 0
+    out = np.zeros(n, np.uint64)
+    for k in range(min(size, len(h))):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + h[k:k + n]
+    return mix(out, min(len(h), size))
 
 
 def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
@@ -105,7 +138,7 @@ def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
     values in the window's placeholders, \\x1f-joined ('' where a literal). A
     text with fewer tokens is one window of its own length."""
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher()
+        templates = Templates()
         bits = None if flags is None else flags.value
         for batch in batches:
             ids, digests, hashes, slots_ = [], [], [], []
@@ -118,8 +151,8 @@ def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
 
             for i, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                        (t.as_py() for t in batch.column(2))):
-                tokens, values = template(text)
-                h = hasher.windows(tokens, size)
+                tokens, values = templates.read(text)
+                h = window_hashes(tokens, size)
                 at = np.arange(len(h))
                 if bits is not None:
                     at = np.flatnonzero(may_hold(bits, h))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakewash.session import scratch_path
 
@@ -33,8 +32,23 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(c) for c in columns])
 
 
-def schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(text)
+class Apart:
+    """The caller's rows under names that no operator uses, so that extra
+    columns of any name pass through a join or an aggregation unharmed."""
+
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        self.name = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
+        self.rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in self.name.items()])
+
+    def __getitem__(self, column: str):
+        """The caller's column; a name in another case is accepted."""
+        found = {c.lower(): n for c, n in self.name.items()}
+        return F.col(found[column.lower()])
+
+    def back(self, df: DataFrame, *more) -> DataFrame:
+        """``df`` with the caller's names again, and the given columns after them."""
+        return df.select(*[F.col(n).alias(c) for c, n in self.name.items()], *more)
 
 
 def let(value, body):

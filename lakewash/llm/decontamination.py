@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lakewash.llm import bloom
 from lakewash.llm.bloom import may_hold
-from lakewash.llm.common import only, staged, table
+from lakewash.llm.common import Apart, only, staged, table
 from lakewash.llm.words import mix
 
 WINDOW = 5
@@ -223,5 +223,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item. Documents
     without a doc_id are told apart by their text."""
     bad = staged(leaks(docs, benchmark).where("consistent").select(F.col("doc_id").alias("_id"), "digest").distinct(), "leaks")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("digest"))
-    return docs.join(bad, same, "left_anti")
+    own = Apart(docs)
+    same = own["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(own["text"]) == F.col("digest"))
+    return own.back(own.rows.join(bad, same, "left_anti"))

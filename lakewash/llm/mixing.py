@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakewash.llm.common import WORD_RE, only, staged, table
+from lakewash.llm.common import WORD_RE, Apart, only, staged, table
+from lakewash.operators.ids import OCCURRENCE, with_occurrence
 
 SEED = 20240601
 WEIGHTS = (1, 2, 3)
@@ -199,22 +200,34 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+ADDED = ("size", "source_size", "target", "taken")
+
+
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with size, source_size, target
-    and taken. A document taken several times is one row whose ``taken`` is a
-    multiple of its size; a row the mix leaves out is dropped.
+    and taken (columns of these names in ``docs`` are replaced). A document
+    taken several times is one row whose ``taken`` is a multiple of its size;
+    a row the mix leaves out is dropped.
 
-    The numbers are joined back by doc_id and the seeded hash; rows that agree
-    in both are equal documents and are numbered to keep their own share.
+    The numbers are joined back by doc_id and the seeded hash. Rows that agree
+    in both are equal documents: they share the words taken of them in whole
+    documents, the first ones (numbered without gathering them) one more.
     """
     numbers = staged(mix(docs, seed), "mix")
-    key = F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text"))
-    same = numbers.groupBy("doc_id", "pick").agg(
+    shares = staged(numbers.groupBy("doc_id", "pick").agg(
         F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.count("*").alias("_rows"), F.sum("taken").alias("_words")).where("_words > 0")
-    picked = same.select(F.col("doc_id").alias("_id"), F.col("pick").alias("_pick"), "size", "source_size", "target",
-                         # equal rows share their words evenly in whole documents
-                         (F.col("_words") / F.col("_rows")).alias("_share"), "_rows", "_words")
-    joined = docs.join(picked, docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_pick")))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target",
-                         F.floor("_share").cast("long").alias("taken")).where("taken > 0")
+        F.count("*").alias("_rows"), F.sum("taken").alias("_words")).where("_words > 0").select(
+            F.col("doc_id").alias("_id"), F.col("pick").alias("_pick"), "size", "source_size", "target", "_rows",
+            (F.col("_words") / F.col("size")).cast("long").alias("_copies")), "mix-shares")
+    own = Apart(docs)
+    key = F.xxhash64(F.lit(seed), own["doc_id"], F.xxhash64(own["text"]))
+    joined = own.rows.join(shares, own["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_pick")))
+    out = joined.where("_rows = 1").withColumn(OCCURRENCE, F.lit(0).cast("long"))
+    if not shares.where("_rows > 1").isEmpty():
+        equal = staged(joined.where("_rows > 1").withColumn("_key", F.concat_ws(":", "_id", "_pick")), "equal-documents")
+        out = out.unionByName(with_occurrence(equal, "_key").drop("_key"))
+    extra = F.when(F.col(OCCURRENCE) < F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    taken = F.col("size") * (F.floor(F.col("_copies") / F.col("_rows")) + extra)
+    done = out.withColumn("taken", taken.cast("long")).where("taken > 0")
+    return done.select(
+        *[F.col(n).alias(c) for c, n in own.name.items() if c.lower() not in ADDED], *ADDED)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewash.llm.common import let, only, staged, table
+from lakewash.llm.common import Apart, let, only, staged, table
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -199,13 +199,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: flo
     is shuffled and no key is needed to join verdicts back.
     """
     limits = staged(cutoffs(staged(measures(docs), "measures"), labels, risk, level), "cutoffs")
-    names = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}  # apart from the measures' names
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    text, lang = (F.coalesce(F.col(names[c]), F.lit("")) for c in ("text", "lang"))
-    judged = rows.join(limits.withColumnRenamed("stratum", "_stratum"), lang == F.col("_stratum"), "left")
+    own = Apart(docs)
+    text, lang = (F.coalesce(own[c], F.lit("")) for c in ("text", "lang"))
+    judged = own.rows.join(limits.withColumnRenamed("stratum", "_stratum"), lang == F.col("_stratum"), "left")
     # one expression, so that each text is measured once however many rules read a measure
     good = let(_measure(text), lambda m: ~_base_failed(m.getField) & (F.size(_broken(m.getField)) == 0))
-    return judged.where(good).select(*[F.col(n).alias(c) for c, n in names.items()])
+    return own.back(judged.where(good))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewash.llm.common import let, only, staged, table
+from lakewash.llm.common import Apart, let, only, staged, table
 from lakewash.llm.spans import SPAN, digest, pattern_spans
 
 # Fixed values of the result contract.
@@ -223,26 +223,23 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     Edge cases: a row without a secret, also one with a null text, is
     unchanged; column order and extra columns stay.
     """
-    added = _added(_cells(docs)).select("id", "_digest", "added")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(added, _same(F.col("doc_id"), F.xxhash64(text)), "left")
+    own = Apart(docs)
+    text = F.coalesce(own["text"], F.lit(""))
+    joined = own.rows.join(_added(_cells(docs)), _same(own["doc_id"], F.xxhash64(text)), "left")
 
     def cut(spans: Column) -> Column:
         walk = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
                            lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
                                x["end"].alias("at"),
                                F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], F.array(
-                                   F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"]),
+                                   F.substring(text, s["at"] + 1, x["start"] - s["at"]),
                                    F.lit(REPLACEMENT)))).alias("out"))))
-        return let(walk, lambda w: F.concat(F.array_join(w["out"], ""),
-                                            F.substring(F.col("text"), w["at"] + 1, F.length("text"))))
+        return let(walk, lambda w: F.concat(F.array_join(w["out"], ""), F.substring(text, w["at"] + 1, F.length(text))))
 
     spans = F.sort_array(F.concat(_by_start(base_spans(text)), F.coalesce("added", F.array().cast(_ADDED))))
-    clean = let(spans, lambda all_: F.when(F.size(all_) > 0, cut(all_)))
-    out = joined.withColumn("_clean", clean)
-    swap = {"text": F.coalesce("_clean", "text").alias("text")}
+    out = joined.withColumn("_clean", let(spans, lambda all_: F.when(F.size(all_) > 0, cut(all_))))
+    swap = {"text": F.coalesce(F.col("_clean"), own["text"])}
     if "n_chars" in docs.columns:
-        swap["n_chars"] = (F.when(F.col("_clean").isNotNull(), F.length("_clean").cast(docs.schema["n_chars"].dataType))
-                           .otherwise(F.col("n_chars")).alias("n_chars"))
-    return out.select(*[swap.get(c, F.col(f"`{c}`")) for c in docs.columns])
-
+        swap["n_chars"] = F.when(F.col("_clean").isNotNull(), F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(
+            own["n_chars"])
+    return out.select(*[swap.get(c.lower(), F.col(n)).alias(c) for c, n in own.name.items()])

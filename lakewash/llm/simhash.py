@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewash.llm import graph
-from lakewash.llm.common import only, staged, table
+from lakewash.llm.common import Apart, only, staged, table
 
 SEED = 42
 SHINGLE = 4
@@ -286,33 +286,28 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     found = staged(simhash_components(docs, shingle, radius), "components")
     rows = found.groupBy("doc_id").agg(F.count("*").alias("n"))
     keeper = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    single = rows.where("n = 1").join(keeper, "doc_id", "left_semi").select(F.col("doc_id").alias("kept_id"))
-    doc_id = docs["doc_id"].cast("long")
-    plain = docs.join(single, doc_id == F.col("kept_id"), "left_semi")
-    twice = rows.where("n > 1 and doc_id is not null").join(keeper, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("kept_id"))
-    null_only = not found.where("component_id is null").isEmpty()
-    if twice.isEmpty() and not null_only:
-        return plain
-    # ids that several rows carry: the least row by content, found with a partial aggregation
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    least = F.min_by(F.struct(*columns), F.struct(F.xxhash64("text"), F.to_json(F.struct(*columns))))
-    again = (docs.join(twice, doc_id == F.col("kept_id"), "left_semi").groupBy(doc_id.alias("_id"))
-             .agg(least.alias("_row")).select("_row.*"))
-    out = plain.unionByName(again)
-    if null_only:
-        # documents without an id, in components without any id: one for each component of their own
-        bare = docs.where(docs["doc_id"].isNull()).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
-        numbered = staged(bare, "bare")
-        again_fps = simhash_components(numbered.select(F.col("_t").alias("doc_id"), "text").unionByName(
-            docs.where(docs["doc_id"].isNotNull()).select(F.lit(None).cast("long").alias("doc_id"), "text")),
-            shingle, radius)
+    kept = staged(rows.join(keeper, "doc_id", "left_semi").select(F.col("doc_id").alias("kept_id"), "n"), "keepers")
+    own = Apart(docs)
+    doc_id = own["doc_id"].cast("long")
+    same = doc_id == F.col("kept_id")
+    out = own.rows.join(kept.where("n = 1"), same, "left_semi")
+    # the least row by content, found with a partial aggregation
+    everything = F.struct(*own.name.values())
+    least = F.min_by(everything, F.struct(F.xxhash64(own["text"]), F.to_json(everything))).alias("_row")
+    twice = kept.where("n > 1")
+    if not twice.isEmpty():  # ids that several rows carry
+        again = own.rows.join(twice, same, "left_semi").groupBy(doc_id.alias("_id")).agg(least).select("_row.*")
+        out = out.unionByName(again)
+    if not found.where("component_id is null").isEmpty():
+        # components without any id: their documents take a hash of the text as id
+        bare = staged(own.rows.where(doc_id.isNull()).withColumn("_t", F.xxhash64(F.coalesce(own["text"], F.lit("")))), "bare")
         with_id = found.where("component_id is not null").select("fingerprint").distinct()
-        keep = (again_fps.where("doc_id is not null").join(with_id, "fingerprint", "left_anti")
-                .where("doc_id = component_id").select(F.col("doc_id").alias("_t")).distinct())
-        rest = numbered.join(keep, "_t", "left_semi")
-        out = out.unionByName(rest.groupBy("_t").agg(least.alias("_row")).select("_row.*"))
-    return out
+        alone = simhash_components(bare.select(F.col("_t").alias("doc_id"), own["text"].alias("text")), shingle, radius)
+        keep = (alone.join(with_id, "fingerprint", "left_anti").where("doc_id = component_id")
+                .select(F.col("doc_id").alias("_kept_t")).distinct())
+        rest = bare.join(keep, F.col("_t") == F.col("_kept_t"), "left_semi")
+        out = out.unionByName(rest.groupBy("_t").agg(least).select("_row.*"))
+    return own.back(out)
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,12 +136,11 @@ def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY) -> DataFram
     # every candidate counts as a test, also those without a digit; and the corpus says how often they change
     changes = F.length(F.regexp_replace("tok", r"(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])", " ")) - length
     marked = tokens.withColumn("band", band).withColumn("_changes", changes.cast("double"))
-    plain = (marked.groupBy("band").agg(
-        F.count("*").alias("tests"),
-        # how often ordinary tokens change between letters and digits: the median token of the band's
-        # corpus carries no key, and half a change for each token keeps the rate above zero
-        F.percentile_approx(F.col("_changes") / F.length("tok"), 0.5, 1000).alias("usual"),
-        F.avg(F.length("tok")).alias("mean_len")))
+    # how often ordinary tokens change between letters and digits: the corpus's median token carries no
+    # key, and half a change for each token keeps the rate above zero
+    usual = marked.agg(F.percentile_approx(F.col("_changes") / F.length("tok"), 0.5, 1000).alias("usual"),
+                       F.avg(F.length("tok")).alias("mean_len"))
+    plain = marked.groupBy("band").agg(F.count("*").alias("tests")).join(F.broadcast(usual))  # one row
     tested = battery(marked.where("tok rlike '[0-9]' and tok rlike '[A-Za-z]'")).where(
         F.least("p_uniform", "p_serial", "p_runs") > RANDOM_LEVEL / 3)
     rate = F.greatest(F.col("usual"), 0.5 / F.col("mean_len"))

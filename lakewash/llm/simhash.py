@@ -16,10 +16,10 @@ How links are found without comparing all pairs:
    integer Hamming distance to the parent. The trees of a task are built and
    searched as arrays; a search follows only edges within the radius, and
    only a spanning forest of the links leaves the task.
-4. A bucket with more than ``shard_rows`` nodes is dealt out again on one of
-   five blocks of the bits its nodes do not share yet, until its free bits
-   number so few that it cannot exceed ``shard_rows``. So no task ever holds
-   more than one bounded shard beside its stream.
+4. A bucket with more than ``shard_rows`` nodes is dealt out again on each of
+   five blocks of the bits in which its nodes vary, again and again; v varying
+   bits allow 2^v nodes at most, so every bucket ends below ``shard_rows``.
+   No task ever holds more than one bounded shard beside its stream.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewash.llm import graph
 from lakewash.llm.common import Apart, only, staged, table
@@ -205,10 +206,13 @@ def _masks(nodes: int, radius: int) -> list[int]:
     return [sum(c) for c in itertools.combinations(runs, blocks - radius)]
 
 
-def _finer(mask: int, radius: int) -> list[int]:
-    """The mask with one more of radius + 1 blocks of its free bits."""
-    free = [b for b in range(64) if not mask >> b & 1]
-    return [mask | run for run in _blocks(free, radius + 1)]
+def _finer(varying: int, radius: int) -> list[int]:
+    """Masks that fix, beside the bits that a bucket's nodes all share, one of
+    radius + 1 blocks of the bits in which they vary (as signed longs)."""
+    vary = varying & ((1 << 64) - 1)
+    shared = ~vary & ((1 << 64) - 1)
+    bits = [b for b in range(64) if vary >> b & 1]
+    return sorted({_signed(shared | run) for run in _blocks(bits, radius + 1)})
 
 
 def _bucketed(nodes: DataFrame, masks: Column) -> DataFrame:
@@ -219,19 +223,20 @@ def _bucketed(nodes: DataFrame, masks: Column) -> DataFrame:
 def links(nodes: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Edges (u, v) whose components are those of all links among the distinct
     fingerprints ``nodes`` (fp)."""
-    if shard_rows < 2 ** (radius + 1):
+    if shard_rows < 2 ** (radius + 1):  # fewer varying bits than blocks could not be split
         raise ValueError("shard_rows must be at least 2 ** (radius + 1)")
     spark = nodes.sparkSession
     masks = _masks(nodes.count(), radius)
     todo = _bucketed(nodes, F.array(*[F.lit(_signed(m)) for m in masks]))
     search = _forest_of_batches(radius, hold=1 << 17)
     found = None
+    finer = F.udf(lambda vary: _finer(vary, radius), T.ArrayType(T.LongType()), useArrow=False)  # a call for each large bucket
     while True:
-        large = staged(todo.groupBy("mask", "val").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows)
-                       .select("mask", "val"), "large-buckets")
-        free_bits = 64 - min(bin(m).count("1") for m in masks)
-        hot = 2 ** free_bits > shard_rows and not large.isEmpty()
-        small = todo.join(large, ["mask", "val"], "left_anti") if hot else todo
+        large = staged(todo.groupBy("mask", "val").agg(
+            F.count("*").alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("vary"))
+            .where(F.col("n") > shard_rows).select("mask", "val", finer("vary").alias("masks")), "large-buckets")
+        hot = not large.isEmpty()
+        small = todo.join(large.select("mask", "val"), ["mask", "val"], "left_anti") if hot else todo
         # many more shards than cores; a shard is bounded, so no key can swell a task
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         edges = (small.repartition(parts, "mask", "val").sortWithinPartitions("mask", "val", "fp")
@@ -240,13 +245,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS)
         found = edges if found is None else found.unionByName(edges)
         if not hot:
             return found
-        rest = todo.join(large, ["mask", "val"], "left_semi").select("mask", "fp")
-        finer = {m: _finer(m, radius) for m in masks}
-        table_ = F.create_map(*[x for m, more in finer.items()
-                                for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(y)) for y in more]))])
-        todo = staged(rest.select("fp", F.explode(table_[F.col("mask")]).alias("mask"))
-                      .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("val"), "fp").distinct(), "rebucketed")
-        masks = sorted({y for more in finer.values() for y in more})
+        rest = todo.join(large, ["mask", "val"]).select("fp", F.explode("masks").alias("mask"))
+        # buckets with the same nodes, met under several masks, become the same ones
+        todo = staged(rest.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("val"), "fp").distinct(), "rebucketed")
 
 
 # ----------------------------------------------------------------- operator

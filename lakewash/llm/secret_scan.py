@@ -13,8 +13,8 @@ corpus's ordinary text:
   correlation of the alphabet places. A token that fails one of them at
   ``RANDOM_LEVEL`` (Bonferroni over the three) is not random and is let go;
 * for the rest, a p-value against ordinary text: the chance that a token of
-  that length drawn from the corpus's own token characters mixes letters and
-  digits as often as this one does. Long tokens give more evidence, so the
+  that length changes between digits, lower and upper case as often as this
+  one does, at the rate of the corpus's own median token. Long tokens give more evidence, so the
   level a token has to reach depends on its length: the Benjamini-Hochberg
   step-up runs over all tested tokens of a length band, with as many tests as
   the band has tokens in the whole corpus.
@@ -45,6 +45,8 @@ ALPHABETS = (  # encoding, what its tokens match, alphabet
     ("base62", r"^[0-9A-Za-z]+$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base64", r".", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-"),
 )
+#: Between digits and others, and between lower and upper case.
+CLASS_CHANGE = r"(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
 RANDOM_LEVEL = 0.01
 REPLACEMENT = "[SECRET]"
 FALSE_DISCOVERY = 0.001
@@ -122,7 +124,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     runs_var = runs_mean * (2 * digits * other - n) / (n * (n - 1))
     z_runs = F.when(runs_var > 0, (changes - runs_mean) / F.sqrt(runs_var)).otherwise(F.lit(0.0))
     return (df.withColumn("p_uniform", _tail(z_uniform)).withColumn("p_serial", _both(z_serial))
-            .withColumn("p_runs", _both(z_runs)).withColumn("changes", changes.cast("double"))
+            .withColumn("p_runs", _both(z_runs))
             .withColumn("digits", digits).drop("alphabet", "places", "mean", "body", "chi2"))
 
 
@@ -134,9 +136,9 @@ def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY) -> DataFram
     for i, top in reversed(list(enumerate(BANDS))):
         band = F.when(length <= top, F.lit(i)).otherwise(band)
     # every candidate counts as a test, also those without a digit; and the corpus says how often they change
-    changes = F.length(F.regexp_replace("tok", r"(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])", " ")) - length
+    changes = F.length(F.regexp_replace("tok", CLASS_CHANGE, " ")) - length
     marked = tokens.withColumn("band", band).withColumn("_changes", changes.cast("double"))
-    # how often ordinary tokens change between letters and digits: the corpus's median token carries no
+    # how often ordinary tokens change between character classes: the corpus's median token carries no
     # key, and half a change for each token keeps the rate above zero
     usual = marked.agg(F.percentile_approx(F.col("_changes") / F.length("tok"), 0.5, 1000).alias("usual"),
                        F.avg(F.length("tok")).alias("mean_len"))
@@ -146,7 +148,7 @@ def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY) -> DataFram
     rate = F.greatest(F.col("usual"), 0.5 / F.col("mean_len"))
     mean = rate * (F.col("n") - 1)
     # Poisson tail P(X >= changes) by Chernoff's bound, which never understates it
-    x = F.col("changes")
+    x = F.col("_changes")
     log_p = F.when(x > mean, x - mean - x * F.log(x / mean)).otherwise(F.lit(0.0))
     step = F.floor(-log_p / math.log(10) * STEPS).cast("int")  # rounded towards the larger p-value
     scored = staged(tested.join(F.broadcast(plain), "band").withColumn("step", step), "scored")  # one row a band

@@ -14,10 +14,12 @@ corpus's ordinary text:
   ``RANDOM_LEVEL`` (Bonferroni over the three) is not random and is let go;
 * for the rest, a p-value against ordinary text: the chance that a token of
   that length changes between digits, lower and upper case as often as this
-  one does, at the rate of the corpus's own median token. Long tokens give more evidence, so the
-  level a token has to reach depends on its length: the Benjamini-Hochberg
-  step-up runs over all tested tokens of a length band, with as many tests as
-  the band has tokens in the whole corpus.
+  one does, at the rate of the corpus's median word. Words are shorter than
+  any tested token, so keys have no part in that rate however many there are.
+  Long tokens give more evidence, so the level a token has to reach depends on
+  its length: the Benjamini-Hochberg step-up runs over all tested tokens of a
+  length band, with as many tests as the band has different tokens in the
+  whole corpus. Copies of a token are one test and one discovery.
 """
 
 from __future__ import annotations
@@ -130,32 +132,47 @@ def battery(tokens: DataFrame) -> DataFrame:
             .withColumn("digits", digits).drop("alphabet", "places", "mean", "body", "chi2"))
 
 
-def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY) -> DataFrame:
+def _changes(token: Column) -> Column:
+    return (F.length(F.regexp_replace(token, CLASS_CHANGE, " ")) - F.length(token)).cast("double")
+
+
+def word_rate(docs: DataFrame) -> DataFrame:
+    """One row: how often the corpus's median word changes between character
+    classes, for each of its characters. Every different run of token
+    characters too short to be tested is one word; null where there is none."""
+    runs = F.array_distinct(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z0-9+/_-]+"))
+    words = (only(docs, "text").select(F.explode(runs).alias("word"))
+             .where((F.length("word") > 1) & (F.length("word") < MIN_TOKEN)).distinct())
+    return words.agg(F.percentile_approx(_changes(F.col("word")) / F.length("word"), 0.5, 1000).alias("usual"))
+
+
+def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY, usual: DataFrame | None = None) -> DataFrame:
     """``tokens`` (tok and any others) that pass the battery and the
-    length-aware false-discovery control, with their encoding."""
+    length-aware false-discovery control, with their encoding. ``usual`` is the
+    row of :func:`word_rate`; without it words count as free of changes."""
     length = F.length("tok")
     band = F.lit(len(BANDS))
     for i, top in reversed(list(enumerate(BANDS))):
         band = F.when(length <= top, F.lit(i)).otherwise(band)
-    # every candidate counts as a test, also those without a digit; and the corpus says how often they change
-    changes = F.length(F.regexp_replace("tok", CLASS_CHANGE, " ")) - length
-    marked = tokens.withColumn("band", band).withColumn("_changes", changes.cast("double"))
-    # how often ordinary tokens change between character classes: the corpus's median token carries no
-    # key, and half a change for each token keeps the rate above zero
-    usual = marked.agg(F.percentile_approx(F.col("_changes") / F.length("tok"), 0.5, 1000).alias("usual"),
-                       F.avg(F.length("tok")).alias("mean_len"))
-    plain = marked.groupBy("band").agg(F.count("*").alias("tests")).join(F.broadcast(usual))  # one row
+    marked = tokens.withColumn("band", band).withColumn("_changes", _changes(F.col("tok")))
+    # every different candidate counts as a test, also one without a digit
+    different = marked.select("band", "tok").distinct()
+    # half a change for each candidate keeps the rate above zero
+    usual = tokens.sparkSession.createDataFrame([(0.0,)], "usual double") if usual is None else usual
+    lengths = different.agg(F.avg(F.length("tok")).alias("mean_len")).join(F.broadcast(usual))  # one row
+    plain = different.groupBy("band").agg(F.count("*").alias("tests")).join(F.broadcast(lengths))  # one row
     # written first, so that the filter reads three numbers and does not repeat the battery
     tested = staged(battery(marked.where("tok rlike '[0-9]' and tok rlike '[A-Za-z]'")), "battery").where(
         F.least("p_uniform", "p_serial", "p_runs") > RANDOM_LEVEL / 3)
-    rate = F.greatest(F.col("usual"), 0.5 / F.col("mean_len"))
+    rate = F.greatest(F.coalesce("usual", F.lit(0.0)), 0.5 / F.col("mean_len"))
     mean = rate * (F.col("n") - 1)
     # Poisson tail P(X >= changes) by Chernoff's bound, which never understates it
     x = F.col("_changes")
     log_p = F.when(x > mean, x - mean - x * F.log(x / mean)).otherwise(F.lit(0.0))
     step = F.floor(-log_p / math.log(10) * STEPS).cast("int")  # rounded towards the larger p-value
     scored = staged(tested.join(F.broadcast(plain), "band").withColumn("step", step), "scored")  # one row a band
-    found = scored.groupBy("band", "step").agg(F.count("*").alias("c"), F.first("tests").alias("tests"))
+    found = (scored.select("band", "step", "tok", "tests").distinct()
+             .groupBy("band", "step").agg(F.count("*").alias("c"), F.first("tests").alias("tests")))
     least = (found.alias("a").join(found.alias("b"), (F.col("a.band") == F.col("b.band"))
                                    & (F.col("b.step") >= F.col("a.step")))
              .groupBy("a.band", "a.step").agg(F.sum("b.c").alias("at_least"), F.first("a.tests").alias("tests"))
@@ -183,13 +200,14 @@ def _cells(docs: DataFrame) -> DataFrame:
         "secret-cells")
 
 
-def _added(cells: DataFrame) -> DataFrame:
-    """(id, digest, added): the random tokens of each text that has any.
-    Equal rows share an entry, so a text copied many times is one."""
+def _added(cells: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, digest, added): the random tokens of each text in ``cells``, the
+    cells of ``docs``, that has any. Equal rows share an entry, so a text
+    copied many times is one."""
     tokens = (cells.where(F.size("toks") > 0).select(F.col("doc_id").alias("id"), "digest", F.explode("toks").alias("t"))
               .select("id", "digest", "t.*").distinct())
     span = F.struct("start", F.lit(len(KINDS)).alias("ord"), "end", F.concat(F.lit("random-"), "encoding").alias("kind"))
-    return staged(random_tokens(tokens).groupBy("id", F.col("digest").alias("_digest"))
+    return staged(random_tokens(tokens, usual=staged(word_rate(docs), "word-rate")).groupBy("id", F.col("digest").alias("_digest"))
                   .agg(F.sort_array(F.collect_set(span)).alias("added")), "secret-added")
 
 
@@ -207,7 +225,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     extra columns are ignored.
     """
     cells = _cells(docs)
-    return (cells.drop("toks").join(_added(cells), _same(F.col("doc_id"), F.col("digest")), "left")
+    return (cells.drop("toks").join(_added(cells, docs), _same(F.col("doc_id"), F.col("digest")), "left")
             .select("doc_id", "base", F.coalesce("added", F.array().cast(_ADDED)).alias("added")))
 
 
@@ -229,7 +247,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     """
     own = Apart(docs)
     text = F.coalesce(own["text"], F.lit(""))
-    joined = own.rows.join(_added(_cells(docs)), _same(own["doc_id"], F.xxhash64(text)), "left")
+    joined = own.rows.join(_added(_cells(docs), docs), _same(own["doc_id"], F.xxhash64(text)), "left")
 
     def cut(spans: Column) -> Column:
         walk = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),

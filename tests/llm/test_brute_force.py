@@ -303,6 +303,21 @@ def test_random_tokens_are_told_from_words(spark):
     assert len(got & set(random_)) >= 55 and not got & set(plain)
 
 
+def test_keys_are_found_where_they_are_most_long_tokens(spark):
+    r = np.random.default_rng(6)
+    alphabet = np.array(list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    prose = "The usual words of some plain text go on and on until they end"
+    keys = ["".join(r.choice(alphabet, 40)) for _ in range(200)]
+    plain = [f"internationalisation{w}" for w in ("step", "count", "value", "name")]
+    # one key in a third of all rows, 199 others, and few plain long tokens
+    docs = [f"{prose} {k} there" for k in keys] + [f"{prose} {keys[0]} again"] * 400 + [f"{prose} {p}" for p in plain * 9]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {x.doc_id: [(s.start, s.end) for s in x.added] for x in secret_scan.secret_spans(df).collect()}
+    at = (len(prose) + 1, len(prose) + 41)
+    assert sum(found[i] == [at] for i in range(200)) >= 190
+    assert all(found[i] == found[0] for i in range(200, 600)) and not any(found[i] for i in range(600, 636))
+
+
 # ------------------------------------------------------------------ op7
 
 def test_classifier_accuracy(spark):

@@ -3,7 +3,7 @@
 Base measures come from each whole text. Beside the base rule, each metric
 rule rejects a document whose metric exceeds a cutoff. Cutoffs are not
 chosen by hand: for every stratum (language) and rule the strictest cutoff of
-a fixed grid is taken for which labelled holdouts prove, by an exact binomial
+a fixed grid is taken for which all labelled good documents prove, by an exact binomial
 bound, that at most ``risk`` of good documents would be rejected. All
 (stratum, rule, cutoff) triples are tested at once, so the level of each test
 is ``level`` divided by their number (Bonferroni): with probability
@@ -27,9 +27,6 @@ SYMBOLS = "#*$%&|<>"
 RISK = 0.01
 #: Probability that any cutoff in use breaks its promise.
 LEVEL = 0.05
-#: The labelled holdout of a stratum has about this many rows at most, drawn
-#: by a seeded hash of doc_id; the exact bound is over these.
-HOLDOUT_ROWS = 20_000
 #: Metric rules: a value above the cutoff rejects. Each grid goes from strict to lenient.
 GRIDS = {
     "symbols_per_word": (0.05, 0.1, 0.2, 0.4, 0.8, 1.6),
@@ -134,20 +131,15 @@ def _proved(n: Column, k: Column, risk: float, level: Column) -> Column:
     return F.when(k >= n * risk, F.lit(False)).otherwise(log_k + F.log(ratio) <= F.log(level))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL,
-            holdout_rows: int = HOLDOUT_ROWS) -> DataFrame:
+def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """(stratum, one column per rule): the strictest proved cutoff, null where
-    none is proved, from the good (quality 1) labelled documents that pass the
+    none is proved, from all good (quality 1) labelled documents that pass the
     base rule. A document labelled both 0 and 1 counts as good."""
     good = (only(labels, "doc_id", "quality").where("quality = 1 and doc_id is not null")
             .select(F.col("doc_id").alias("labelled_id")).distinct())
     stratum = F.coalesce(F.col("lang"), F.lit("")).alias("stratum")
     passed = measured.where(~_base_failed()).select("doc_id", stratum, *[m.alias(r) for r, m in _metrics().items()])
-    total = good.agg(F.count("*").alias("labelled"))
-    share = F.least(F.lit(1.0), F.lit(float(holdout_rows)) / F.greatest(F.col("labelled"), F.lit(1)))
-    held = (passed.join(good, passed.doc_id == good.labelled_id, "left_semi")
-            .join(F.broadcast(total))  # one row
-            .where(F.pmod(F.xxhash64(F.lit("holdout"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000))
+    held = passed.join(good, passed.doc_id == good.labelled_id, "left_semi")
     tests = [(r, c) for r, grid in GRIDS.items() for c in grid]
     counts = held.groupBy("stratum").agg(F.count("*").alias("n"), *[
         F.count(F.when(F.col(r) > c, True)).alias(f"k{i}") for i, (r, c) in enumerate(tests)])

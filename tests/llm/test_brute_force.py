@@ -261,6 +261,17 @@ def test_exact_binomial_bound(spark):
         assert ok == (tail <= 0.01), (n, k, tail)
 
 
+def test_thresholds_cover_every_labelled_row(spark):
+    # 31,000 good labels; the small stratum has enough of them for a cutoff, a sample of 20,000 would not
+    measured = spark.range(31_000).selectExpr(
+        "id AS doc_id", "if(id < 800, 'xx', 'yy') AS lang", "100L AS n_words", "500L AS word_chars", "0L AS n_symbols",
+        "0L AS n_dup_lines", "0L AS n_repeat_words", "1L AS n_lines", "0L AS n_upper")
+    got = {r.stratum: r.asDict() for r in quality_rules.cutoffs(measured, spark.range(31_000).selectExpr(
+        "id AS doc_id", "1 AS quality")).collect()}
+    for stratum in ("xx", "yy"):
+        assert [got[stratum][f"max_{r}"] for r in quality_rules.GRIDS] == [g[0] for g in quality_rules.GRIDS.values()]
+
+
 # ------------------------------------------------------------------ op6
 
 def ascii_case(word):

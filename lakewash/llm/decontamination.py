@@ -3,13 +3,18 @@
 Texts become templates: numbers, names and units turn into typed
 placeholders, so a question asked again with other values keeps its template.
 
-1. Each text gives the hashes of its windows of ``WINDOW`` template tokens.
+1. Each text gives the hashes of its windows of ``WINDOW`` template tokens. A
+   capitalised word that begins a sentence may be a name or not, so a window
+   with such words has a form for each choice.
 2. Document windows are joined to the benchmark's windows by hash. A Bloom
    filter of a fixed size lets through the windows that may match before
    anything is shuffled; the join decides.
-3. For each (document, item) the matched windows must cover a share of the
-   item's windows, and the slot values must be consistent: an item value must
-   map to one document value wherever it occurs in the matched windows.
+3. For each (document, item) the matches are aligned: those whose document
+   place less item place is about the same are one occurrence. The matched
+   windows of an occurrence must cover a share of the item's windows, and its
+   slot values must be consistent: an item value must map to one document
+   value wherever it occurs. One such occurrence is a leak; so is an item
+   whose windows lie apart in the document if they are consistent together.
 """
 
 from __future__ import annotations
@@ -75,16 +80,18 @@ class Templates:
         self.keep = keep
         self.number, self.unit, self.name = (_hash(x) for x in ("<number>", "<unit>", "<name>"))
 
-    def read(self, text: str | None) -> tuple[list[int], list[str]]:
-        """(hashes, slots): the hash of each template token, and the value
-        that a placeholder stands for there ('' for a literal word).
+    def read(self, text: str | None) -> tuple[list[int], list[str], dict[int, str]]:
+        """(hashes, slots, either): the hash of each template token, and the
+        value that a placeholder stands for there ('' for a literal word);
+        ``either`` has the place and value of each literal that may be a name.
 
         A number is a placeholder; so is a unit after a number, and a
         capitalised word that neither begins a sentence nor follows a line
-        break (a name). Other words are lower-cased and lose punctuation at
+        break (a name); one that does is a literal that may be a name. Other
+        words are lower-cased and lose punctuation at
         either end; a word of nothing else is left out.
         """
-        seen, hashes, slots = self.seen, [], []
+        seen, hashes, slots, either = self.seen, [], [], {}
         if len(seen) > self.keep:
             seen.clear()
         after_number = False
@@ -120,62 +127,134 @@ class Templates:
                     slots.append(low)
                     after_number = False
                 begins = ends
-        return hashes, slots
+        return hashes, slots, either
 
 
-def window_hashes(tokens: list[int], size: int) -> np.ndarray:
-    """The hash of each run of ``size`` tokens; fewer tokens are one run."""
+_BASE = 0xD6E8FEB86659FD93
+
+
+def window_forms(tokens: list[int], either: dict[int, str], name: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, mask, hash) of each form of each run of ``size`` tokens; fewer
+    tokens are one run. Bit b of a mask says that the token b places on,
+    which ``either`` has, is taken as a name. The forms of mask 0 come first,
+    by place."""
     h = np.array(tokens, np.uint64)
-    n = max(1, len(h) - size + 1) if len(h) else 0
+    n, long = max(1, len(h) - size + 1) if len(h) else 0, min(size, len(h))
     out = np.zeros(n, np.uint64)
-    for k in range(min(size, len(h))):
-        out = out * np.uint64(0xD6E8FEB86659FD93) + h[k:k + n]
-    return mix(out, min(len(h), size))
+    for k in range(long):
+        out = out * np.uint64(_BASE) + h[k:k + n]
+    place, mask = np.arange(n), np.zeros(n, np.int64)
+    if either:
+        at = np.fromiter(either, np.int64, len(either))
+        open_, more = np.zeros(len(h), bool), np.zeros(len(h), np.uint64)
+        open_[at] = True
+        more[at] = np.uint64(name) - h[at]
+        for b in range(long):  # the hash is a sum over the tokens, so a name adds its difference
+            twice = np.flatnonzero(open_[place + b])
+            factor = np.uint64(pow(_BASE, long - 1 - b, 1 << 64))
+            out = np.concatenate([out, out[twice] + more[place[twice] + b] * factor])
+            mask = np.concatenate([mask, mask[twice] | 1 << b])
+            place = np.concatenate([place, place[twice]])
+    return place, mask, mix(out, long)
 
 
 def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
-    """(id, digest, w, slots) for the windows of each text: slots are the
-    values in the window's placeholders, \\x1f-joined ('' where a literal). A
-    text with fewer tokens is one window of its own length."""
+    """(id, digest, w, slots, place, mask, first) for the forms of the windows
+    of each text: slots are the values in the form's placeholders,
+    \\x1f-joined ('' where a literal), and first is the place of the first
+    window that has the same literal form. A text with fewer tokens is one
+    window of its own length."""
+    names = ["id", "digest", "w", "slots", "place", "mask", "first"]
+
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         bits = None if flags is None else flags.value
         for batch in batches:
-            ids, digests, hashes, slots_ = [], [], [], []
+            out: list[tuple] = []
 
             def flush() -> pa.RecordBatch:
+                ids, digests, hashes, slots, *places = zip(*out)
                 return pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), pa.array(digests, pa.int64()),
-                    pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(slots_, pa.string())],
-                    ["id", "digest", "w", "slots"])
+                    pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(slots, pa.string()),
+                    *[pa.array(x, pa.int32()) for x in places]], names)
 
             for i, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                        (t.as_py() for t in batch.column(2))):
-                tokens, values = templates.read(text)
-                h = window_hashes(tokens, size)
-                at = np.arange(len(h))
-                if bits is not None:
-                    at = np.flatnonzero(may_hold(bits, h))
-                _, first = np.unique(h[at], return_index=True) if bits is None else (None, np.arange(len(at)))
-                for j in at[first].tolist():
-                    ids.append(i)
-                    digests.append(digest)
-                    hashes.append(int(h[j]))
-                    slots_.append("\x1f".join(values[j:j + size]))
-                if len(ids) >= 50_000:
+                tokens, values, either = templates.read(text)
+                place, mask, h = window_forms(tokens, either, templates.name, size)
+                at = np.arange(len(h)) if bits is None else np.flatnonzero(may_hold(bits, h))
+                first: dict[int, int] = {}
+                if bits is None:
+                    for k in np.flatnonzero(mask == 0).tolist():
+                        first.setdefault(int(h[k]), k)
+                for k in at.tolist():
+                    j, m = int(place[k]), int(mask[k])
+                    slots = values[j:j + size]
+                    if m:
+                        slots = [either[j + b] if m >> b & 1 else v for b, v in enumerate(slots)]
+                    out.append((i, digest, int(h[k]), "\x1f".join(slots), j, m, first.get(int(h[j]), j)))
+                if len(out) >= 50_000:
                     yield flush()
-                    ids, digests, hashes, slots_ = [], [], [], []
-            if ids:
+                    out.clear()
+            if out:
                 yield flush()
 
     rows = only(rows, id_, "text").select(F.col(id_).cast("long").alias("id"), F.xxhash64("text").alias("digest"), "text")
-    return rows.mapInArrow(per_batch, "id long, digest long, w long, slots string")
+    return rows.mapInArrow(per_batch, "id long, digest long, w long, slots string, place int, mask int, first int")
+
+
+def _judged(matches: list[dict], need: float) -> tuple[bool, int, bool] | None:
+    """(consistent, matched windows, same values) of some matches, None below
+    ``need`` windows."""
+    matched = len({m["first"] for m in matches})
+    if matched < need:
+        return None
+    same = len({m["first"] for m in matches if m["slots"] == m["doc_slots"]}) >= need
+    pairs = {(a, b) for m in matches for a, b in zip(m["slots"].split("\x1f"), m["doc_slots"].split("\x1f")) if a}
+    # each item value stands for one document value, or enough windows hold the item's own values
+    return same or len({a for a, _ in pairs}) == len(pairs), matched, same
+
+
+def _occurrences(matches: list[dict], need: float, tolerance: int) -> Iterator[list[dict]]:
+    """For each shift of the item in the document, the nearest match of each
+    item window, within ``tolerance`` places; of equally near ones that with
+    fewer words taken as names."""
+    ordered = sorted(matches, key=lambda m: (m["doc_place"] - m["place"], m["mask"].bit_count(), m["place"]))
+    shift = np.array([m["doc_place"] - m["place"] for m in ordered])
+    shifts = np.unique(shift)
+    lows, highs = np.searchsorted(shift, shifts - tolerance), np.searchsorted(shift, shifts + tolerance, "right")
+    for d, lo, hi in zip(shifts.tolist(), lows.tolist(), highs.tolist()):
+        if hi - lo < need:
+            continue
+        nearest: dict[int, tuple] = {}
+        for k in range(lo, hi):
+            m = ordered[k]
+            rank = (abs(int(shift[k]) - d), m["mask"].bit_count(), k)
+            if m["place"] not in nearest or rank < nearest[m["place"]]:
+                nearest[m["place"]] = rank
+        yield [ordered[k] for _, _, k in nearest.values()]
+
+
+def _best(matches: list[dict], windows: int, size: int, coverage: float) -> tuple[bool, int, bool] | None:
+    """The best judgement of the matches of one document and one item, None
+    where no occurrence reaches the coverage."""
+    need, found = coverage * windows, []
+    literal = [m for m in matches if not m["mask"] and not m["doc_mask"]]
+    # the item's windows wherever they are in the document, each by its first place in the item
+    found.append(_judged([m for m in literal if m["place"] == m["first"]], need))
+    # literal words alone too: a changed word that is no name must not spoil the values
+    for some in (literal, matches) if len(literal) < len(matches) else (literal,):
+        # two copies are at least an item apart, and an item has size - 1 more tokens than windows
+        found.extend(_judged(x, need) for x in _occurrences(some, need, max(size - 1, windows // 4)))
+    return max((x for x in found if x is not None), default=None)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, digest, item_id, matched, windows, same_values, consistent) for
     each document and each benchmark item whose template it contains; ``digest``
-    is a hash of the text. Only consistent rows are leaks.
+    is a hash of the text. Only consistent rows are leaks. The figures are
+    those of the best occurrence: consistent before not, then by windows.
 
     Edge cases: a null or empty text, on either side, has no window and never
     matches. A text with fewer than ``size`` tokens is one window, so a short
@@ -188,26 +267,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: f
     items = staged(_windows(benchmark, "item_id", size).withColumn("item", F.xxhash64("id", "digest")), "item-windows")
     flags = spark.sparkContext.broadcast(bloom.build(items, "w", BLOOM_BITS))
     found = _windows(docs, "doc_id", size, flags).select(
-        "id", F.col("digest").alias("doc_digest"), "w", F.col("slots").alias("doc_slots"))
-    total = items.groupBy("item").agg(F.count("*").alias("windows"))
-    joined = found.join(items.select("w", "item", F.col("id").alias("item_id"), "slots"), "w")
-    # one row for each distinct (document, item, window, values)
-    pairs = joined.groupBy("id", "doc_digest", "item", "item_id", "w", "slots", "doc_slots").agg(F.count("*"))
-    values = F.filter(F.arrays_zip(F.split("slots", "\x1f").alias("a"), F.split("doc_slots", "\x1f").alias("b")),
-                      lambda z: z["a"] != "")
-    grouped = pairs.groupBy("id", "doc_digest", "item", "item_id").agg(
-        F.count_distinct("w").alias("matched"),
-        F.count_distinct(F.when(F.col("slots") == F.col("doc_slots"), F.col("w"))).alias("same"),
-        # bounded by the item's windows times the values a document gives them
-        F.array_distinct(F.flatten(F.collect_set(values))).alias("values"))
-    same = F.col("same") >= coverage * F.col("windows")
-    names = F.array_distinct(F.transform("values", lambda z: z["a"]))
-    ok = grouped.join(total, "item").where(F.col("matched") >= coverage * F.col("windows"))
-    return ok.select(
-        F.col("id").alias("doc_id"), F.col("doc_digest").alias("digest"), "item_id", "matched", "windows",
-        same.alias("same_values"),
-        # each item value stands for one document value, or enough windows hold the item's own values
-        (same | (F.size(names) == F.size("values"))).alias("consistent"))
+        "id", F.col("digest").alias("doc_digest"), "w", F.col("slots").alias("doc_slots"),
+        F.col("place").alias("doc_place"), F.col("mask").alias("doc_mask"))
+    total = items.groupBy("item").agg(F.count_distinct("first").alias("windows"))
+    joined = found.join(items.select("w", "item", F.col("id").alias("item_id"), "slots", "place", "mask", "first"), "w")
+    # bounded by the document's windows times the places an item has each of them
+    grouped = joined.groupBy("id", "doc_digest", "item", "item_id").agg(
+        F.collect_set(F.struct("doc_place", "place", "first", "doc_mask", "mask", "slots", "doc_slots")).alias("matches"))
+    near = grouped.join(total, "item").where(
+        F.size(F.array_distinct(F.transform("matches", lambda m: m["first"]))) >= coverage * F.col("windows"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [_best(m, w, size, coverage) for m, w in zip(
+                (x.as_py() for x in batch.column("matches")), batch.column("windows").to_pylist())]
+            kept = batch.select(["doc_id", "digest", "item_id", "windows"]).filter(pa.array([x is not None for x in best], pa.bool_()))
+            consistent, matched, same = zip(*[x for x in best if x is not None]) if kept.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns[:3], pa.array(matched, pa.int64()), kept.column(3), pa.array(same, pa.bool_()),
+                 pa.array(consistent, pa.bool_())],
+                ["doc_id", "digest", "item_id", "matched", "windows", "same_values", "consistent"])
+
+    return near.select(F.col("id").alias("doc_id"), F.col("doc_digest").alias("digest"), "item_id", "windows", "matches").mapInArrow(
+        judge, "doc_id long, digest long, item_id long, matched long, windows long, same_values boolean, consistent boolean")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

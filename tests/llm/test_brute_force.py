@@ -397,6 +397,23 @@ def test_planted_passages_and_changed_values(spark, texts):
     assert not rows[3].consistent and 4 not in rows
 
 
+def leaking(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    return {r.doc_id for r in decontamination.leaks(docs, bench).collect() if r.consistent}
+
+
+def test_each_occurrence_has_its_own_values(spark):
+    item = "A farmer named Anna has 12 cows and sells 5 of the 12 cows to her brother Tom for 300 dollars each."
+    one = item.replace("12", "31").replace("300", "450")
+    two = item.replace("12", "44").replace("300", "620").replace("Anna", "Maria")
+    mixed = one.replace("31 cows to", "99 cows to")
+    filler = "some other words that go on " * 40
+    stray = "the 77 cows to her brother Jim for 9 dollars"  # windows of the item with other values
+    assert leaking(spark, item, [f"{one} {two}", f"{one} {filler} {two}", f"{stray} {filler} {one} {filler} {stray}",
+                                 mixed, f"{mixed} {filler} {mixed}"]) == {0, 1, 2}
+
+
 # ------------------------------------------------------------------ op10
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

@@ -119,6 +119,7 @@ class Templates:
                     slots.append(low)
                     after_number = False
                 elif begins:
+                    either[len(hashes)] = low
                     hashes.append(h)
                     slots.append("")
                     after_number = False

@@ -414,6 +414,33 @@ def test_each_occurrence_has_its_own_values(spark):
                                  mixed, f"{mixed} {filler} {mixed}"]) == {0, 1, 2}
 
 
+def test_names_that_begin_sentences(spark):
+    item = "Anna has 12 cows. Tom buys 5 of them. Eve sells the rest today."
+    renamed = item.replace("Anna", "Maria").replace("Tom", "Luis").replace("Eve", "Ruth")
+    texts = [item, renamed, f"We read: {renamed}", item.replace("\n", " ").lower(), "Maria sees them. Luis buys a book. Ruth sells it today."]
+    assert leaking(spark, item, texts) == {0, 1, 2, 3}
+    # a changed first word that is no name, to two words, is no contradiction
+    item = "The small cow sleeps in the old barn all day long. The small dog runs over the wide field all day long."
+    assert leaking(spark, item, [item.replace("The small cow", "A small cow").replace("The small dog", "One small dog")]) == {0}
+
+
+def test_window_forms_are_those_of_every_choice():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 3, 5, 12):
+        tokens = [int(x) for x in r.integers(0, 1 << 63, n)]
+        either = {i: "x" for i in range(0, n, 2)}
+        got = set(zip(*(x.tolist() for x in decontamination.window_forms(tokens, either, 99, 5))))
+        expected = set()
+        for j in range(max(1, n - 4) if n else 0):
+            part = range(j, min(n, j + 5))
+            for mask in range(32):
+                if all(j + b in either and j + b in part for b in range(5) if mask >> b & 1):
+                    form = [99 if mask >> (i - j) & 1 else tokens[i] for i in part]
+                    place, _, h = decontamination.window_forms(form, {}, 99, 5)
+                    expected.add((j, mask, int(h[0])))
+        assert got == expected
+
+
 # ------------------------------------------------------------------ op10
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

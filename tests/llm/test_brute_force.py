@@ -165,6 +165,19 @@ def test_a_lightly_edited_passage_is_found(spark):
     assert abs(got[1][0] - 300) <= 8 and abs(got[1][1] - 460) <= 8 and abs(got[2][0] - 10) <= 8
 
 
+def test_a_passage_around_a_frequent_phrase_is_found(spark):
+    r = np.random.default_rng(8)
+    rand = lambda n: [f"x{v}" for v in r.integers(0, 10**9, n)]
+    rows, pairs = [], 30
+    for k in range(pairs):  # 55 words in two documents, the 30 in their middle in 25 others too
+        shared = rand(55)
+        rows += [" ".join(rand(100) + shared + rand(100)) for _ in range(2)]
+        rows += [" ".join(rand(100) + shared[12:42] + rand(100)) for _ in range(25)]
+    got = {x.doc_id for x in passages.repeated_passages(
+        spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got == {27 * k + i for k in range(pairs) for i in range(2)}
+
+
 # ------------------------------------------------------------------ op3
 
 def test_url_rules(spark):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewash.llm.common import only, table
+from lakewash.llm.common import only, staged, table
 
 # Fixed values of the result contract.
 KINDS = ("email", "ip", "card", "phone")
@@ -36,9 +36,15 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@+]|\b(?:at|AT)\b(?=[\])}])")
+_TRIGGER = re.compile(r"[0-9@+]|\b(?:at|AT)\b(?=\s?[\])}])")
+#: What an item can go on with: a run of name characters, with a "dot" or a bracketed dot and more of them.
+_TAIL = re.compile(r"[A-Za-z0-9._%+@-]*+(?:\s?[\[({]?\s?(?:\.|dot\b|DOT\b)\s?[\])}]?\s?[A-Za-z0-9-]++)*+")
 
-#: Labelled documents that the model is trained on at most, and its seed.
+#: What a text with a base span matches, for Spark.
+_MAY_HOLD = (r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]|[0-9]\.[0-9]+\.[0-9]+\.[0-9]"
+             r"|[0-9](?:[\x20-]?[0-9]){15}|\+[0-9][\x20().0-9-]+[0-9]")
+
+#: Documents that the model is trained on at most, and its seed.
 TRAIN_DOCS = 400
 SEED = 7
 WINDOW, STRIDE, CONTEXT = 64, 32, 24
@@ -237,13 +243,35 @@ def _lse(x, axis):
 
 # ------------------------------------------------------------------ windows
 
+def _candidate(text: str, start: int, end: int, done: int) -> tuple[int, int]:
+    """The whole run around a trigger that an item can take: the name
+    characters before it, across one opening bracket with white space, and
+    after it the same with any "dot" parts. Nothing before ``done`` is read."""
+    lo = start
+    while lo > done and (text[lo - 1].isspace() or text[lo - 1] in "[({") and start - lo < 3:
+        lo -= 1
+    while lo > done and text[lo - 1] in _LOCAL:
+        lo -= 1
+    hi = end
+    while hi < len(text) and (text[hi].isspace() or text[hi] in "])}") and hi - end < 3:
+        hi += 1
+    return lo, _TAIL.match(text, hi).end()
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Joined character ranges around the triggers, ``CONTEXT`` on each side."""
+    """Joined character ranges around the triggers: the whole run that an item
+    can take, and ``CONTEXT`` characters around the trigger and the run."""
     out: list[list[int]] = []
+    read = 0  # a run is read once, however many triggers it holds
     for m in _TRIGGER.finditer(text):
-        lo, hi = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        if m.start() < read and text[m.start()] not in "aA":
+            a, b = m.start(), m.end()
+        else:
+            a, b = _candidate(text, m.start(), m.end(), out[-1][1] if out else 0)
+            read = b
+        lo, hi = max(0, a - CONTEXT), min(len(text), b + CONTEXT)
         if out and lo <= out[-1][1]:
-            out[-1][1] = hi
+            out[-1][1] = max(hi, out[-1][1])
         else:
             out.append([lo, hi])
     return [tuple(x) for x in out]
@@ -377,17 +405,48 @@ def training_windows(texts: list[str], seed: int = SEED) -> tuple[np.ndarray, np
     return np.stack(codes), np.stack(tags)
 
 
+def _span_texts(rows: DataFrame, each: int, seed: int) -> list[tuple[str, int, str]]:
+    """(kind, hash, text): for each kind the surroundings of the spans in the
+    ``each`` documents of least hash that hold one."""
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, text in zip(batch.column("h").to_pylist(), (t.as_py() for t in batch.column("text"))):
+                spans = base_spans(text)
+                for kind in {k for k, _, _ in spans}:
+                    own = [(s, e) for k, s, e in spans if k == kind and e - s <= 4 * WINDOW][:20]
+                    if own:
+                        out.append((kind, h, " ".join(text[max(0, s - 80):e + 80] for s, e in own)))
+            kinds, hs, texts = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(hs, pa.int64()),
+                                              pa.array(texts, pa.string())], ["kind", "h", "text"])
+
+    held = rows.where(F.col("text").rlike(_MAY_HOLD)).select("text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+    found = held.mapInArrow(per_batch, "kind string, h long, text string")
+    found = staged(found, "pii-samples")
+    return [tuple(r) for kind in KINDS for r in
+            found.where(F.col("kind") == kind).orderBy("h", "text").limit(each).collect()]  # a documented bound
+
+
 def training_texts(docs: DataFrame, limit: int = TRAIN_DOCS, seed: int = SEED) -> list[str]:
-    """A bounded, seeded sample of texts that hold a digit or an ``@``; of a
-    long text only the surroundings of its triggers are needed to train.
-    Rows are drawn by their hash first, fifty for each one wanted, so that
-    what tasks send on does not grow with their number."""
+    """A bounded, seeded sample of texts: half of them hold base spans, as many
+    of each kind, and half any digit or ``@``; of a long text only the
+    surroundings of its spans or triggers are needed to train. Rows are drawn
+    by their hash first, fifty for each one wanted; kinds too rare for that
+    draw are looked for in all documents."""
+    each = limit // (2 * len(KINDS))
     share = min(1.0, 50 * limit / max(1, docs.count()))
     drawn = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    rows = only(docs, "doc_id", "text").where(drawn).where(F.col("text").rlike("[0-9@]"))
+    every = only(docs, "doc_id", "text")
+    rows = every.where(drawn)
+    held = _span_texts(rows, each, seed)
+    if share < 1 and any(sum(k == kind for k, _, _ in held) < each for kind in KINDS):
+        held = _span_texts(every, each, seed)
     around = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"(?s).{0,80}[0-9@+].{0,80}"), F.lit(0)), 1, 20), " ")
-    picked = rows.select(around.alias("text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
-    return [r.text for r in picked.orderBy("h", "text").limit(limit).collect()]  # limit is a documented bound
+    picked = rows.where(F.col("text").rlike("[0-9@]")).select(
+        around.alias("text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+    some = picked.orderBy("h", "text").limit(limit - len(held)).collect()  # limit is a documented bound
+    return [*(t for _, _, t in held), *(r.text for r in some)]
 
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCS, seed: int = SEED) -> Tagger | None:

@@ -510,6 +510,25 @@ def test_tagger_gradients_and_held_out_spans():
     assert hits >= 0.5 * sum(map(len, true)) and hits >= 0.8 * sum(map(len, found))
 
 
+def test_a_stretch_holds_the_whole_candidate():
+    for item in ("first.last (at) physics dot university dot edu", "john [ at ] host dot org",
+                 "a.local.part.of.more.than.twenty.four.characters{at}some dot long dot university dot example dot org"):
+        text = "some words before it " * 3 + item + " and some words after it" * 3
+        at = text.index(item)
+        assert any(lo <= at and at + len(item) <= hi for lo, hi in pii.stretches(text)), item
+        assert pii._formed("email", item)
+
+
+def test_rare_kinds_are_in_the_training_sample(spark):
+    spans = ["write to ann@site.org soon", "from 10.0.0.7 today", "card 4111 1111 1111 1111 used", "call +1 555 010 9999 now"]
+    docs = [f"number {i} in 2024 and no more" for i in range(30_000)]
+    for k, t in enumerate(spans * 3):
+        docs[2_000 * k + 7] = t
+    sample = pii.training_texts(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    kinds = collections.Counter(k for t in sample for k, _, _ in pii.base_spans(t))
+    assert len(sample) <= pii.TRAIN_DOCS and all(kinds[k] >= 3 for k in pii.KINDS)
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_hold(spark):

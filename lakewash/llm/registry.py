@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakewash.llm import (decontamination, html_extract, mixing, passages, pii, quality_classifier, quality_rules,
-                          secret_scan, simhash, url_filter)
+from lakewash.llm import (decontamination, html_extract, merkle, mixing, passages, pii, quality_classifier, quality_rules,
+                          secret_scan, simhash, token_counts, url_filter, whitening)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -16,8 +16,12 @@ QUERIES = {
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
+    "op11_token_counts": token_counts.op11_token_counts,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLES = {
     "op5_quality_rules": quality_rules.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }

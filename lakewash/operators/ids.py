@@ -60,7 +60,8 @@ def _hashable(df: DataFrame, name: str) -> Column:
     return F.to_json(F.array_sort(F.map_entries(col))) if isinstance(df.schema[name].dataType, T.MapType) else col
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -88,12 +89,12 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = df.columns
-    fixed = _staged(df.withColumns({
+    fixed = staged(df.withColumns({
         **{f"_lw_o{i}": _col(c) for i, c in enumerate(order_by)},
         "_lw_h": F.xxhash64(*[_hashable(df, c) for c in names]),
         "_lw_tie": F.monotonically_increasing_id()}), "key-rows")
     order = [F.col(f"_lw_o{i}") for i in range(len(order_by))] + [F.col("_lw_h"), F.col("_lw_tie")]
-    tagged = _staged(fixed.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    tagged = staged(fixed.repartitionByRange(n, *order).sortWithinPartitions(*order)
                      .withColumn("_lw_tag", F.monotonically_increasing_id())
                      .select(*[F.col(f"`{c}`") for c in names], "_lw_tag"), "key-tagged")
     part = F.shiftright("_lw_tag", 33)
@@ -112,27 +113,87 @@ def with_surrogate_key(df: DataFrame, order_by: Sequence[ColumnOrName], name: st
 
 OCCURRENCE = "_occurrence"
 
+# What numbering adds to a row, fixed by staging: the key as text, the digest of
+# the whole row, and a tie-break whose upper bits name the task that wrote it.
+KEY, DIGEST, TIE, CHUNK = "_lw_key", "_lw_digest", "_lw_tie", "_lw_chunk"
+TAGS = (KEY, DIGEST, TIE)
+
+
+def tie_break() -> Column:
+    """A tie-break for staged rows: different for every row, fixed once written."""
+    return F.monotonically_increasing_id().alias(TIE)
+
+
+def tagged(df: DataFrame, key: str, tie: Column | None = None) -> DataFrame:
+    """``df`` with the tags that numbering reads. Stage it before it is
+    numbered, so that the tie-break is fixed, or pass that of a staged frame
+    (a column of ``df`` then, and no part of a row's digest)."""
+    row = key_text(*[_hashable(df, c).cast("string") for c in df.columns if c != TIE])
+    return df.withColumns({KEY: key_text(F.col(f"`{key}`")), DIGEST: F.unhex(F.md5(row)),
+                           TIE: F.monotonically_increasing_id() if tie is None else tie})
+
+
+def chunk_counts(rows: DataFrame, *more: Column) -> DataFrame:
+    """How many equal rows each task wrote, by key, digest and task: copies are
+    reduced to one row a task before they are shuffled. ``more`` aggregates go
+    with them."""
+    return rows.groupBy(KEY, DIGEST, F.shiftright(TIE, 33).alias(CHUNK)).agg(F.count(F.lit(1)).alias("n"), *more)
+
+
+def running_total(counts: DataFrame, order: Sequence[str], n: str, name: str) -> DataFrame:
+    """``counts`` with the sum of ``n`` over the rows before it in ``order``
+    (which begins with the digest) among those of its key.
+
+    A key's rows are cut into 4,096 ranges of the digest. Sums of ranges, at
+    most 4,096 rows for a key, give each range its start; a second running sum
+    stays inside a range, so a key that holds a third of all rows is spread.
+    """
+    cut = counts.withColumn("_lw_range", F.substring(F.hex(DIGEST), 1, 3))
+    starts = (cut.groupBy(KEY, "_lw_range").agg(F.sum(n).alias("_lw_sum"))
+              .withColumn("_lw_before", F.coalesce(F.sum("_lw_sum").over(
+                  Window.partitionBy(KEY).orderBy("_lw_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .drop("_lw_sum"))
+    inside = F.coalesce(F.sum(n).over(Window.partitionBy(KEY, "_lw_range").orderBy(*order)
+                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (cut.join(starts, [KEY, "_lw_range"])
+            .withColumn(name, (inside + F.col("_lw_before")).cast("bigint")).drop("_lw_range", "_lw_before"))
+
+
+def copy_number(start: Column) -> Column:
+    """The place of a row whose task wrote several equal ones: the task's
+    start and the row's own place in the task."""
+    own = F.row_number().over(Window.partitionBy(KEY, DIGEST, CHUNK).orderBy(TIE)) - 1
+    return (start + own).cast("bigint")
+
+
+def repeats(df: DataFrame, key: str) -> bool:
+    """Whether any value of ``key`` occurs more than once (nulls are a value)."""
+    return not df.groupBy(F.col(f"`{key}`")).count().where("count > 1").isEmpty()
+
 
 def with_occurrence(df: DataFrame, key: str, name: str = OCCURRENCE) -> DataFrame:
     """``df`` with the number, from 0, of each row among the rows of its key.
 
     Rows of a key are ordered by an MD5 of the whole row; rows that tie there
     are equal, so each row gets the same number on every run and for every
-    partitioning. Only rows whose key repeats are numbered - with the serial
-    key above, less the first of their key - so a key that a third of all rows
-    hold is spread over ranges like any other.
+    partitioning. ``df`` runs once, into a staging folder. Numbers are worked
+    out on counts of equal rows by key, digest and task, and joined back: only
+    keys that repeat are in that table, so rows of other keys move only if it
+    is too large to broadcast. A key that a third of all rows hold is
+    spread by digest, a row that a third of all rows are copies of by task.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    again = df.groupBy(F.col(f"`{key}`").alias("_lw_k")).count().where("count > 1").select("_lw_k")
-    again = _staged(again, "repeated-keys")
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_lw_k"))
-    once = df.join(again, same, "left_anti").select(*cols, F.lit(0).cast("bigint").alias(name))
-    if again.isEmpty():
-        return once
-    row = F.md5(key_text(*[_hashable(df, c).cast("string") for c in df.columns]))
-    repeated = df.join(again, same, "left_semi")
-    ordered = repeated.withColumn("_lw_row", row)
-    numbered = with_surrogate_key(ordered, [key, "_lw_row"], "_lw_n", start=0).drop("_lw_row")
-    first = _staged(numbered.groupBy(F.col(f"`{key}`").alias("_lw_k")).agg(F.min("_lw_n").alias("_lw_first")), "first-of-key")
-    counted = numbered.join(first, same).select(*cols, (F.col("_lw_n") - F.col("_lw_first")).alias(name))
-    return once.unionByName(counted)
+    columns = df.columns
+    return number_tagged(staged(tagged(df, key), "rows-to-number"), columns, name)
+
+
+def number_tagged(rows: DataFrame, columns: Sequence[str], name: str = OCCURRENCE) -> DataFrame:
+    """:func:`with_occurrence` for rows that are :func:`tagged` and staged."""
+    counts = chunk_counts(rows)
+    again = counts.groupBy(KEY).agg(F.sum("n").alias("rows")).where("rows > 1").select(KEY)
+    placed = staged(running_total(counts.join(again, KEY, "left_semi"), [DIGEST, CHUNK], "n", "_lw_start"), "places")
+    joined = rows.withColumn(CHUNK, F.shiftright(TIE, 33)).join(placed, [KEY, DIGEST, CHUNK], "left")
+    alone = F.coalesce(F.col("n"), F.lit(1)) == 1
+    cols = [F.col(f"`{c}`") for c in columns]
+    once = joined.where(alone).select(*cols, F.coalesce(F.col("_lw_start"), F.lit(0)).cast("bigint").alias(name))
+    copies = joined.where(~alone).select(*cols, copy_number(F.col("_lw_start")).alias(name))
+    return once.unionByName(copies)

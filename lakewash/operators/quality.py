@@ -160,19 +160,42 @@ def cleaning_failure_report(df: DataFrame, pairs: Mapping[str, tuple[str, str]])
                     for name, (raw, clean) in pairs.items()])
 
 
-def quality_report(df: DataFrame, required: Sequence[str] = (), clean_pairs: Mapping[str, tuple[str, str]] | None = None,
-                   rules: Mapping[str, Column] | None = None) -> DataFrame:
-    """Several checks in one aggregate pass, as one row: ``row_count``,
-    ``nulls_<col>`` for each required column, ``failed_<name>`` for each
-    ``(raw, cleaned)`` pair whose raw value did not clean, and
-    ``broken_<rule>`` for each contract rule (null counts as broken)."""
+def _report(required: Sequence[str], clean_pairs: Mapping[str, tuple[str, str]] | None,
+            rules: Mapping[str, Column] | None) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("row_count")]
     aggs += [F.count_if(_q(c).isNull()).alias(f"nulls_{c}") for c in required]
     aggs += [F.count_if(_q(raw).isNotNull() & _q(clean).isNull()).alias(f"failed_{name}")
              for name, (raw, clean) in (clean_pairs or {}).items()]
     aggs += [F.count_if(~F.coalesce(pred, F.lit(False))).alias(f"broken_{name}")
              for name, pred in (rules or {}).items()]
-    return df.agg(*aggs)
+    return aggs
+
+
+def quality_report(df: DataFrame, required: Sequence[str] = (), clean_pairs: Mapping[str, tuple[str, str]] | None = None,
+                   rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """Several checks in one aggregate pass, as one row: ``row_count``,
+    ``nulls_<col>`` for each required column, ``failed_<name>`` for each
+    ``(raw, cleaned)`` pair whose raw value did not clean, and
+    ``broken_<rule>`` for each contract rule (null counts as broken)."""
+    return df.agg(*_report(required, clean_pairs, rules))
+
+
+LEVEL = "level"
+
+
+def quality_rollup(df: DataFrame, by: Sequence[str], required: Sequence[str] = (),
+                   clean_pairs: Mapping[str, tuple[str, str]] | None = None,
+                   rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """:func:`quality_report` for every group of ``by``, every coarser group
+    (``by`` without its last columns) and the whole table, in one pass.
+
+    ``level`` is the grouping id: 0 for the finest groups, 2^n - 1 for the
+    table; it tells a total's null from a null that the data hold. Tasks hand
+    on one row for each group they saw and each of its totals, so a group that
+    holds a third of the rows costs no more than another.
+    """
+    return df.rollup(*[_q(c) for c in by]).agg(F.grouping_id().cast("int").alias(LEVEL),
+                                               *_report(required, clean_pairs, rules))
 
 
 def unparsed_rows(df: DataFrame, raw: str, cleaned: str, marker: str | None = None) -> DataFrame:

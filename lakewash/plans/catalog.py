@@ -883,6 +883,9 @@ def stream_nested_users(spark, sf_dir):
     return spark.read.parquet(f"{out}/users").drop("batch_id")
 
 
+from lakewash.plans import catalog_loads  # noqa: E402,F401  (registers its queries here)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in CATALOG.items()}
 

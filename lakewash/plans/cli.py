@@ -26,14 +26,15 @@ from lakewash.operators.mapping import CONFORM_ERRORS
 from lakewash.operators.quality import split_rejects
 from lakewash.plans import jobs, targets
 from lakewash.sources import sinks
+from lakewash.sources.versions import StagedVersion, VersionedTable
 
-SINKS = ("parquet", "csv", "delta", "jdbc", "staged", "table", "noop")
+SINKS = ("parquet", "csv", "delta", "jdbc", "staged", "versioned", "table", "noop")
 
 
-def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataFrame], None]:
+def _sink(args: argparse.Namespace, table: str | None = None) -> jobs.Sink:
     """A writer for one output; ``table`` names it inside a multi-table run."""
     where = args.output.rstrip("/") + (f"/{table}" if table else "") if args.output else None
-    if args.sink in ("parquet", "csv", "delta", "staged") and not where:
+    if args.sink in ("parquet", "csv", "delta", "staged", "versioned") and not where:
         raise SystemExit(f"--output is needed for the {args.sink} sink")
     if args.sink == "parquet":
         if args.mode == "replace-partitions":  # re-running a run replaces that run's rows
@@ -45,7 +46,9 @@ def _sink(args: argparse.Namespace, table: str | None = None) -> Callable[[DataF
     if args.sink == "delta":
         return lambda df: sinks.write_delta(df, where, args.mode)
     if args.sink == "staged":
-        return lambda df: sinks.staged_refresh(df, where)
+        return sinks.StagedFolder(where)
+    if args.sink == "versioned":  # a new version of the table, whole or not at all, on any store
+        return StagedVersion(VersionedTable(SparkSession.getActiveSession(), where))
     if args.sink == "noop":
         return lambda df: df.write.format("noop").mode("overwrite").save()
     if args.sink == "table":
@@ -70,13 +73,13 @@ SHAPES = {"flat": targets.shape_flat_records, "users": targets.shape_users,
           "telephone_numbers": targets.shape_telephone_numbers, "jobs_history": targets.shape_jobs_history}
 
 
-def _conformed(shape: Callable[[DataFrame], DataFrame], good: Callable, misfits: Callable) -> Callable[[DataFrame], None]:
+def _conformed(shape: Callable[[DataFrame], DataFrame], good: jobs.Sink, misfits: jobs.Sink) -> jobs.Sink:
     """A sink that loads the rows in the target table's shape and sends those
     that do not fit it, with the columns at fault, to a second sink."""
     def load(df: DataFrame) -> None:
         fit, unfit = split_rejects(shape(df), CONFORM_ERRORS)
-        good(fit)
-        misfits(unfit.withColumn(CONFORM_ERRORS, F.array_join(CONFORM_ERRORS, ",")))
+        jobs.load(fit, good, "fit")
+        jobs.load(unfit.withColumn(CONFORM_ERRORS, F.array_join(CONFORM_ERRORS, ",")), misfits, "misfits")
     return load
 
 
@@ -119,6 +122,8 @@ def parser() -> argparse.ArgumentParser:
             j.add_argument("--multiline", default="true", choices=("true", "false"))
             j.add_argument("--unique-check", choices=("exact", "approx", "off"), default="exact")
             j.add_argument("--allow-empty", action="store_true")
+            j.add_argument("--rejects-table", help="folder under --output, or table, for records that do not fit "
+                                                   "the header (default: they are counted only)")
         else:
             j.add_argument("--format", default="json", choices=("json", "parquet"))
             j.add_argument("--rejects-table", default="rejected_lines")
@@ -144,7 +149,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
                               _sink(args, extra))
         res = jobs.flat_record_job(spark, args.input, run_ts, sink=sink, options=options,
                                    allow_empty=args.allow_empty, uuid_mode=args.uuid,
-                                   unique_check=args.unique_check, file_format=args.format)
+                                   unique_check=args.unique_check, file_format=args.format,
+                                   rejects_sink=_sink(args, args.rejects_table) if args.rejects_table else None)
+        res.close()
     else:
         tables = {"users": args.users_table, "telephone_numbers": args.phones_table,
                   "jobs_history": args.jobs_table}

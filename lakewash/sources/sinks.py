@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewash.operators.fingerprint import (
+    ContentMismatch, Fingerprint, fingerprint, require_same_content, write_fingerprinted,
+)
+
 log = logging.getLogger(__name__)
 
 JDBC_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
@@ -196,51 +200,112 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def move_path(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to the place of ``target``, which goes first."""
+    """Move a folder to the place of ``target``. What stands there steps aside
+    under a name that readers of the parent folder pass over, and is deleted
+    once the new folder is in place."""
     fs, src = _fs(spark, source)
     dst = _fs(spark, target)[1]
-    fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"{source} could not be moved to {target}")
+    aside = _fs(spark, f"{dst.getParent()}/_old-{uuid.uuid4().hex}")[1]
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, aside):
+        raise OSError(f"{target} could not be moved aside")
+    try:
+        if not fs.rename(src, dst):
+            raise OSError(f"{source} could not be moved to {target}")
+    except Exception:
+        if had:
+            fs.rename(aside, dst)
+        raise
+    if had:
+        fs.delete(aside, True)
 
 
-def staged_refresh(df: DataFrame, target_path: str, fmt: str = "parquet") -> dict:
+class StagedSink:
+    """A sink in two steps: rows are written and compared first, and only then
+    shown to readers. A job that finds something wrong between the two steps
+    discards them, and the target is as it was."""
+
+    def stage(self, df: DataFrame) -> Fingerprint:
+        raise NotImplementedError
+
+    def publish(self) -> None:
+        raise NotImplementedError
+
+    def discard(self) -> None:
+        raise NotImplementedError
+
+
+# Formats that read back every value as it was written.
+_TYPED = {"parquet", "orc"}
+
+
+class StagedFolder(StagedSink):
     """Full refresh of a file table: all new rows or all old ones.
 
     The rows are written once, in parallel, to a fresh folder beside the
-    target, counted as they go and checked against the file footers. Then two
-    renames on the file system swap the folders: the old rows step aside and
-    the new ones take their place. If the second rename fails, the old rows
-    are moved back; nothing is deleted before the new rows are in place. (An
-    object store renames by copying: point a catalog table at the new folder
-    there instead.)
+    target; their fingerprint is observed as they go and compared with that of
+    the rows in the folder (in formats that store no types, the number of
+    rows). Two renames on the file system then swap the folders: the old rows
+    step aside and the new ones take their place. If the second rename fails,
+    the old rows are moved back; nothing is deleted before the new rows are in
+    place. An object store renames by copying: use a
+    :class:`~lakewash.sources.versions.VersionedTable` there.
     """
-    spark = df.sparkSession
-    base, tag = target_path.rstrip("/"), uuid.uuid4().hex
-    staging, aside = f"{base}.staging-{tag}", f"{base}.old-{tag}"
-    fs, new = _fs(spark, staging)
-    target, old = (_fs(spark, p)[1] for p in (base, aside))
-    try:
-        rows = write_observed(df, lambda d: d.write.mode("errorifexists").format(fmt).save(staging), "stage")
-        found = spark.read.format(fmt).schema(df.schema).load(staging).count()
-        if found != rows:
-            raise AssertionError(f"staging holds {found} rows where {rows} were written; the target is as it was")
-    except Exception:
-        fs.delete(new, True)  # only this call's own folder
-        raise
-    had_rows = fs.exists(target)
-    if had_rows and not fs.rename(target, old):
-        raise OSError(f"{target_path} could not be moved aside; the new rows are in {staging}")
+
+    def __init__(self, target_path: str, fmt: str = "parquet"):
+        self.target, self.fmt = target_path.rstrip("/"), fmt
+        self._spark: SparkSession | None = None
+        self._staging = ""
+
+    def _save(self, df: DataFrame, path: str) -> None:
+        df.write.mode("errorifexists").format(self.fmt).save(path)
+
+    def stage(self, df: DataFrame) -> Fingerprint:
+        self._spark, self._staging = df.sparkSession, f"{self.target}.staging-{uuid.uuid4().hex}"
+        try:
+            source = write_fingerprinted(df, lambda d: self._save(d, self._staging))
+            stored = self._spark.read.format(self.fmt).schema(df.schema).load(self._staging)
+            if self.fmt in _TYPED:
+                require_same_content(source, fingerprint(stored), self.target)
+            elif stored.count() != source.rows:
+                raise ContentMismatch(f"{self.target}: {source.rows} rows were written and another number is stored")
+        except Exception:
+            self.discard()
+            raise
+        return source
+
+    def discard(self) -> None:
+        remove_path(self._spark, self._staging)  # only this sink's own folder
+
+    def publish(self) -> None:
+        swap_folder(self._spark, self._staging, self.target)
+        self._spark.catalog.refreshByPath(self.target)
+
+
+def swap_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one, which steps aside first and
+    goes last; if the new one can't take its place, the old one comes back."""
+    fs, new = _fs(spark, source)
+    final, old = (_fs(spark, p)[1] for p in (target, f"{target}.old-{uuid.uuid4().hex}"))
+    had_rows = fs.exists(final)
+    if had_rows and not fs.rename(final, old):
+        raise OSError(f"{target} could not be moved aside; the new rows are in {source}")
     try:
-        if not _rename(fs, new, target):
-            raise OSError(f"{staging} could not take the place of {target_path}")
+        if not _rename(fs, new, final):
+            raise OSError(f"{source} could not take the place of {target}")
     except Exception:
         if had_rows:
-            fs.rename(old, target)
+            fs.rename(old, final)
         raise
     if had_rows:
         fs.delete(old, True)
-    spark.catalog.refreshByPath(base)
+
+
+def staged_refresh(df: DataFrame, target_path: str, fmt: str = "parquet") -> dict:
+    """Full refresh of a file table in one go, by a :class:`StagedFolder`."""
+    sink = StagedFolder(target_path, fmt)
+    rows = sink.stage(df).rows
+    sink.publish()
     return {"staged_rows": rows, "dest_rows": rows}
 
 

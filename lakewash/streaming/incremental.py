@@ -9,6 +9,11 @@ Each micro-batch goes through ``foreachBatch``: it is written to a folder of its
 own, the required-column null check observed on the way, and moved to
 ``batch_id=<n>`` if it holds (fatal if not, as in the batch job). A batch replayed
 after a failure replaces exactly that folder, so the sink stays exactly-once.
+
+Keys are followed over all batches in a :class:`~lakewash.streaming.keys.KeyTable`
+under ``<checkpoint>/keys``: a row that arrives again keeps its id, another row
+of a known key gets an id of its own, and ``key_table(...).duplicates()`` lists
+the keys that came more than once.
 """
 
 from __future__ import annotations
@@ -22,14 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakewash.operators.ids import OCCURRENCE, with_occurrence
+from lakewash.operators.ids import OCCURRENCE, TIE, tagged
 from lakewash.operators.mapping import apply_mapping, normalize_columns
 from lakewash.plans.jobs import (
     FLAT_REQUIRED, NESTED_SCHEMA, NESTED_TABLES, flat_record_mapping, nested_rejects, protect,
 )
 from lakewash.session import pin_utc, scratch_path
-from lakewash.sources.readers import CORRUPT_RECORD, CSV_DIALECT, read_csv
+from lakewash.sources.readers import CORRUPT_RECORD, read_csv
+from lakewash.sources.records import RAW, REASON, rejected_records, stream_csv_records
 from lakewash.sources.sinks import move_path, remove_path
+from lakewash.streaming.keys import KeyTable
 
 BATCH_COLUMN = "batch_id"
 
@@ -69,10 +76,9 @@ def _publish(df: DataFrame, output_dir: str, batch_id: int, required: Sequence[s
     move_path(spark, staging, final)
 
 
-def _batch_key(df: DataFrame, batch_id: int) -> DataFrame:
-    """Occurrence numbers of a later batch start in a range of its own, so a
-    row that comes again in another file has another id."""
-    return df.withColumn(OCCURRENCE, F.col(OCCURRENCE) + F.shiftleft(F.lit(batch_id).cast("bigint"), 40))
+def key_table(spark: SparkSession, checkpoint_dir: str) -> KeyTable:
+    """The keys that a load has brought so far, kept beside its checkpoint."""
+    return KeyTable(spark, f"{checkpoint_dir.rstrip('/')}/keys")
 
 
 def _trigger(writer, available_now: bool, processing_time: str | None):
@@ -84,37 +90,45 @@ def flat_record_source(spark: SparkSession, input_dir: str, schema: T.StructType
                        options: Mapping[str, object] | None = None,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of the raw flat records in CSV files landing in
-    ``input_dir``; a file with another header than ``schema`` fails its batch."""
+    ``input_dir``, malformed ones marked (see
+    :mod:`lakewash.sources.records`). In the multi-line dialect a file with
+    another header than ``schema`` fails its batch."""
     pin_utc(spark)
-    reader = spark.readStream.format("csv").options(**{**CSV_DIALECT, **{k: str(v) for k, v in (options or {}).items()}})
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.schema(schema).load(input_dir)
+    return stream_csv_records(spark, input_dir, schema.names, options, max_files_per_trigger)
 
 
 def start_flat_record_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
                            run_ts: datetime | str | None = None, schema: T.StructType | None = None,
                            available_now: bool = True, processing_time: str | None = None,
                            options: Mapping[str, object] | None = None, uuid_mode: str = "stable",
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
+                           max_files_per_trigger: int | None = None,
+                           rejects_dir: str | None = None) -> StreamingQuery:
     """Start the incremental load; ``available_now`` processes what has
     arrived, ``max_files_per_trigger`` files to a batch, and stops; otherwise
     it runs every ``processing_time``. Without ``run_ts`` each batch carries
-    its own load time."""
+    its own load time. Records that do not fit the header go to
+    ``rejects_dir`` (default: ``<output_dir>-rejects``)."""
     schema = schema or text_schema_from_header(spark, input_dir, options)
     raw = flat_record_source(spark, input_dir, schema, options, max_files_per_trigger)
 
+    rejects_dir = rejects_dir or f"{output_dir.rstrip('/')}-rejects"
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        session, when = batch.sparkSession, _batch_time(run_ts)
-        named = normalize_columns(batch)
-        if uuid_mode != "stable":
-            _publish(apply_mapping(named, flat_record_mapping(when, uuid_mode)), output_dir, batch_id, FLAT_REQUIRED)
-            return
-        staging = scratch_path(session, "flat-batch")  # repeated ids are looked up in it, so the files are parsed once
+        session, when = spark, _batch_time(run_ts)  # the batch's own session has adaptive execution off
+        names = normalize_columns(batch.drop(RAW, REASON)).columns
+        named = batch.toDF(*names, RAW, REASON)
+        staging = scratch_path(session, "flat-batch")  # rejects and keys are looked up in it: the files are parsed once
         try:
-            named.write.parquet(staging)
-            rows = with_occurrence(session.read.schema(named.schema).parquet(staging), FLAT_REQUIRED[0])
-            _publish(apply_mapping(_batch_key(rows, batch_id), flat_record_mapping(when, uuid_mode, F.col(OCCURRENCE))),
+            named.withColumn(TIE, F.monotonically_increasing_id()).write.parquet(staging)
+            staged = session.read.parquet(staging)
+            good = staged.where(F.col(REASON).isNull()).drop(RAW, REASON)
+            occurrence = None
+            if uuid_mode == "stable":
+                good = key_table(session, checkpoint_dir).number(
+                    tagged(good, FLAT_REQUIRED[0], F.col(TIE)), names, FLAT_REQUIRED[0], batch_id)
+                occurrence = F.col(OCCURRENCE)
+            _publish(rejected_records(staged), rejects_dir, batch_id)
+            _publish(apply_mapping(good, flat_record_mapping(when, uuid_mode, occurrence)),
                      output_dir, batch_id, FLAT_REQUIRED)
         finally:
             remove_path(session, staging)
@@ -154,15 +168,16 @@ def start_nested_record_load(spark: SparkSession, input_dir: str, output_dir: st
     stream = reader.json(input_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        session, when = batch.sparkSession, _batch_time(run_ts)
+        session, when = spark, _batch_time(run_ts)  # the batch's own session has adaptive execution off
         staging = scratch_path(session, "nested-batch")
         safe = protect(batch)
+        tags = tagged(safe, "user_id")
         try:
-            safe.write.parquet(staging)
-            records = session.read.schema(safe.schema).parquet(staging)
+            tags.write.parquet(staging)
+            records = session.read.schema(tags.schema).parquet(staging)
             good = records.where(F.col(CORRUPT_RECORD).isNull())
             if uuid_mode == "stable":
-                good = _batch_key(with_occurrence(good, "user_id"), batch_id)
+                good = key_table(session, checkpoint_dir).number(good, safe.columns, "user_id", batch_id)
             tables = {name: build(good, when, uuid_mode) for name, build in NESTED_TABLES.items()}
             tables["rejects"] = nested_rejects(records)
             for name, table in tables.items():

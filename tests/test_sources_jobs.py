@@ -220,6 +220,10 @@ def test_library_never_collects_datasets():
     allowed = {
         ("quality.py", "not_null_violations(df, cols).collect()"),   # one row per listed column
         ("quality.py", "df.agg(*aggs).first()"),                      # the one-row profile
+        ("fingerprint.py", "df.agg(*fingerprint_columns(df, columns, as_text)).first()"),  # one row
+        ("temporal.py", "F.percentile_approx(\"t\", at, 1000).alias(\"cuts\")).first()"),  # one row of 63 cuts
+        ("versions.py", "stored.groupBy(PART).count().collect()"),    # one row for each part of a table
+        ("versions.py", "F.max(null_key.cast(\"int\")).alias(\"nulls\")).collect()"),  # the same
     }
     found = set()
     for dirpath, _, files in os.walk(root):

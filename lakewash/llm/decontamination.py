@@ -20,7 +20,7 @@ placeholders, so a question asked again with other values keeps its template.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lakewash.llm import bloom
 from lakewash.llm.bloom import may_hold
 from lakewash.llm.common import Apart, only, staged, table
-from lakewash.llm.words import mix
+from lakewash.llm.words import mix, slices
 
 WINDOW = 5
 #: Share of an item's distinct windows that a leaking document has.
@@ -71,19 +71,78 @@ def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode())
 
 
+class _Known(dict):
+    """The place of each different word in columns of what is known of it."""
+
+    def __init__(self):
+        super().__init__()
+        self.low: list[str] = []
+        self._new: list[tuple[int, bool, bool, int]] = []
+        self._columns = [np.zeros(0, t) for t in (np.int8, bool, bool, np.uint64)]
+
+    def __missing__(self, raw: str) -> int:
+        kind, low, unit, ends = _classify(raw)
+        self.low.append(low)
+        self._new.append((kind, unit, ends, _hash(low)))
+        self[raw] = len(self.low) - 1
+        return len(self.low) - 1
+
+    def columns(self) -> list[np.ndarray]:
+        """kind, unit, ends and hash of the known words; only those that came
+        since the last call are put into arrays."""
+        if self._new:
+            more = zip(*self._new)
+            at, size = len(self.low) - len(self._new), len(self.low)
+            for i, values in enumerate(more):
+                if len(self._columns[i]) < size:
+                    grown = np.zeros(2 * size, self._columns[i].dtype)
+                    grown[:at] = self._columns[i][:at]
+                    self._columns[i] = grown
+                self._columns[i][at:size] = values
+            self._new = []
+        return self._columns
+
+
+class Tokens:
+    """The template tokens of some texts: ``hash`` of each, the ``value`` it
+    has as a placeholder ('' for a literal), whether it ``may`` be a name
+    instead; those of text i are ``first[i]`` to ``first[i + 1]``."""
+
+    def __init__(self, known: _Known, word: np.ndarray, hash_: np.ndarray, slot: np.ndarray, may: np.ndarray, first: np.ndarray):
+        self.known, self.word, self.hash, self.slot, self.may, self.first = known, word, hash_, slot, may, first
+
+    def low(self, at: int) -> str:
+        return self.known.low[self.word[at]]
+
+    def value(self, at: int) -> str:
+        return self.low(at) if self.slot[at] else ""
+
+
 class Templates:
-    """Templates of texts. What a word is and its hash are kept between texts,
-    for up to ``keep`` different words, so a common word costs one look-up."""
+    """Templates of texts. What a word is and its hash are worked out once for
+    each different word (up to about ``keep`` of them are kept between calls);
+    what depends on neighbours is worked out on arrays over all words."""
 
     def __init__(self, keep: int = 300_000):
-        self.seen: dict[str, tuple[int, str, bool, bool, int]] = {}
-        self.keep = keep
+        self.known, self.keep = _Known(), keep
         self.number, self.unit, self.name = (_hash(x) for x in ("<number>", "<unit>", "<name>"))
 
-    def read(self, text: str | None) -> tuple[list[int], list[str], dict[int, str]]:
-        """(hashes, slots, either): the hash of each template token, and the
-        value that a placeholder stands for there ('' for a literal word);
-        ``either`` has the place and value of each literal that may be a name.
+    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, list[int], list[int]]:
+        """(known word of each word, first words of lines, ends of texts)."""
+        found, words, lines, ends, n = [], [], [], [], 0
+        for text in texts:
+            for line in (text or "").split("\n"):
+                lines.append(n + len(words))
+                words += line.split()
+                if len(words) >= 1 << 17:  # words of a long text are let go on the way
+                    found.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+                    n, words = n + len(words), []
+            ends.append(n + len(words))
+        found.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+        return np.concatenate(found), lines, ends
+
+    def read(self, texts: list[str | None]) -> Tokens:
+        """The template tokens of each text.
 
         A number is a placeholder; so is a unit after a number, and a
         capitalised word that neither begins a sentence nor follows a line
@@ -91,61 +150,50 @@ class Templates:
         words are lower-cased and lose punctuation at
         either end; a word of nothing else is left out.
         """
-        seen, hashes, slots, either = self.seen, [], [], {}
-        if len(seen) > self.keep:
-            seen.clear()
-        after_number = False
-        for line in (text or "").split("\n"):
-            begins = True
-            for raw in line.split():
-                known = seen.get(raw)
-                if known is None:
-                    kind, low, unit, ends = _classify(raw)
-                    known = seen[raw] = (kind, low, unit, ends, _hash(low))
-                kind, low, unit, ends, h = known
-                if kind == _EMPTY:
-                    begins = begins or ends
-                    continue
-                if kind == _LITERAL and not (unit and after_number):
-                    hashes.append(h)
-                    slots.append("")
-                    after_number = False
-                elif kind == _NUMERIC:
-                    hashes.append(self.number)
-                    slots.append(low)
-                    after_number = True
-                elif unit and after_number:
-                    hashes.append(self.unit)
-                    slots.append(low)
-                    after_number = False
-                elif begins:
-                    either[len(hashes)] = low
-                    hashes.append(h)
-                    slots.append("")
-                    after_number = False
-                else:
-                    hashes.append(self.name)
-                    slots.append(low)
-                    after_number = False
-                begins = ends
-        return hashes, slots, either
+        if len(self.known) > self.keep:
+            self.known = _Known()
+        word, lines, text_ends = self._words(texts)
+        n = len(word)
+        kinds, units, all_ends, hashes = self.known.columns()
+        kind, ends = kinds[word], all_ends[word]
+        full = np.flatnonzero(kind != _EMPTY)
+        before = np.concatenate([full[:1], full[:-1]])  # the token before each one
+        text = np.searchsorted(text_ends, full, "right")
+        opens = np.ones(len(full), bool)  # first token of its text
+        opens[1:] = text[1:] != text[:-1]
+        line = np.zeros(n + 1, np.int64)
+        line[lines] = 1
+        line = np.cumsum(line)
+        stops = np.concatenate([[0], np.cumsum(ends)])
+        # a sentence begins where a line does, or where one ended at the token before or at punctuation since
+        begins = opens | (line[full] > line[before]) | (stops[full] > stops[before])
+        of, word = kind[full], word[full]
+        number = of == _NUMERIC
+        unit = units[word] & ~opens & (kind[before] == _NUMERIC) & ~number
+        may = (of == _CAPITAL) & ~unit & begins
+        name = (of == _CAPITAL) & ~unit & ~begins
+        out = hashes[word]
+        for which, mark in ((number, self.number), (unit, self.unit), (name, self.name)):
+            out[which] = mark
+        return Tokens(self.known, word, out, number | unit | name, may, np.searchsorted(text, np.arange(len(texts) + 1)))
 
 
 _BASE = 0xD6E8FEB86659FD93
 
 
-def window_forms(tokens: list[int], either: dict[int, str], name: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_forms(tokens: Sequence[int], either: Collection[int], name: int,
+                 size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, mask, hash) of each form of each run of ``size`` tokens; fewer
-    tokens are one run. Bit b of a mask says that the token b places on,
-    which ``either`` has, is taken as a name. The forms of mask 0 come first,
-    by place."""
-    h = np.array(tokens, np.uint64)
+    tokens are one run. Bit b of a mask says that the token b places on, which
+    is one of the places ``either``, is taken as a name. The forms of mask 0
+    come first, by place."""
+    h = np.asarray(tokens, np.uint64)
     n, long = max(1, len(h) - size + 1) if len(h) else 0, min(size, len(h))
     out = np.zeros(n, np.uint64)
     for k in range(long):
         out = out * np.uint64(_BASE) + h[k:k + n]
     place, mask = np.arange(n), np.zeros(n, np.int64)
-    if either:
+    if len(either):
         at = np.fromiter(either, np.int64, len(either))
         open_, more = np.zeros(len(h), bool), np.zeros(len(h), np.uint64)
         open_[at] = True
@@ -180,24 +228,24 @@ def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
                     pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(slots, pa.string()),
                     *[pa.array(x, pa.int32()) for x in places]], names)
 
-            for i, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                       (t.as_py() for t in batch.column(2))):
-                tokens, values, either = templates.read(text)
-                place, mask, h = window_forms(tokens, either, templates.name, size)
-                at = np.arange(len(h)) if bits is None else np.flatnonzero(may_hold(bits, h))
-                first: dict[int, int] = {}
-                if bits is None:
-                    for k in np.flatnonzero(mask == 0).tolist():
-                        first.setdefault(int(h[k]), k)
-                for k in at.tolist():
-                    j, m = int(place[k]), int(mask[k])
-                    slots = values[j:j + size]
-                    if m:
-                        slots = [either[j + b] if m >> b & 1 else v for b, v in enumerate(slots)]
-                    out.append((i, digest, int(h[k]), "\x1f".join(slots), j, m, first.get(int(h[j]), j)))
-                if len(out) >= 50_000:
-                    yield flush()
-                    out.clear()
+            ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi in slices(batch.column(2)):
+                tokens = templates.read(batch.column(2).slice(lo, hi - lo).to_pylist())
+                for i, digest, a, b in zip(ids[lo:hi], digests[lo:hi], tokens.first[:-1].tolist(), tokens.first[1:].tolist()):
+                    place, mask, h = window_forms(tokens.hash[a:b], np.flatnonzero(tokens.may[a:b]), templates.name, size)
+                    at = np.arange(len(h)) if bits is None else np.flatnonzero(may_hold(bits, h))
+                    first: dict[int, int] = {}
+                    if bits is None:
+                        for k in np.flatnonzero(mask == 0).tolist():
+                            first.setdefault(int(h[k]), k)
+                    for k in at.tolist():
+                        j, m = int(place[k]), int(mask[k])
+                        slots = [tokens.low(a + j + x) if m >> x & 1 else tokens.value(a + j + x)
+                                 for x in range(min(size, b - a - j))]
+                        out.append((i, digest, int(h[k]), "\x1f".join(slots), j, m, first.get(int(h[j]), j)))
+                    if len(out) >= 50_000:
+                        yield flush()
+                        out.clear()
             if out:
                 yield flush()
 

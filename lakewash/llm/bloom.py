@@ -49,13 +49,20 @@ def may_hold(flags: bytes, h: np.ndarray) -> np.ndarray:
     return hit
 
 
-def prefilter(df: DataFrame, column: str, flags: bytes) -> DataFrame:
-    """The rows of ``df`` whose hash may be in the filter."""
+def prefilter(df: DataFrame, column: str, flags: bytes, may: bool = True) -> DataFrame:
+    """The rows of ``df`` whose hash may be in the filter, or, with ``may``
+    false, the others: those that are surely not in it."""
     shared = df.sparkSession.sparkContext.broadcast(flags)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(may_hold(shared.value, h)))
+            yield batch.filter(pa.array(may_hold(shared.value, h) == may))
 
     return df.mapInArrow(keep, df.schema)
+
+
+def bits_for(rows: int, most: int = 1 << 28) -> int:
+    """Bits of a filter of so many hashes: 16 for each, up to 2^28 (32 MB).
+    Beyond that it lets through more rows that do not match."""
+    return min(most, 1 << max(16, (16 * rows).bit_length()))

@@ -221,7 +221,8 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
             (F.col("_words") / F.col("size")).cast("long").alias("_copies")), "mix-shares")
     own = Apart(docs)
     key = F.xxhash64(F.lit(seed), own["doc_id"], F.xxhash64(own["text"]))
-    joined = own.rows.join(shares, own["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_pick")))
+    # a row for each document grows with the corpus: joined by a shuffle at every size, never broadcast
+    joined = own.rows.join(shares.hint("merge"), own["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_pick")))
     out = joined.where("_rows = 1").withColumn(OCCURRENCE, F.lit(0).cast("long"))
     if not shares.where("_rows > 1").isEmpty():
         equal = staged(joined.where("_rows > 1").withColumn("_key", F.concat_ws(":", "_id", "_pick")), "equal-documents")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewash.llm import graph
+from lakewash.llm import bloom, graph
 from lakewash.llm.common import Apart, only, staged, table
 
 SEED = 42
@@ -291,7 +291,17 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     own = Apart(docs)
     doc_id = own["doc_id"].cast("long")
     same = doc_id == F.col("kept_id")
-    out = own.rows.join(kept.where("n = 1"), same, "left_semi")
+    # A verdict for each document grows with the corpus, and joining it would
+    # move every text. Most documents stay: those whose id is surely none of
+    # the ids that go (a Bloom filter) stay where they are, and only the others
+    # are joined, for the exact answer.
+    alone = kept.where("n = 1")
+    going = staged(rows.where("doc_id is not null").join(alone, F.col("doc_id") == F.col("kept_id"), "left_anti")
+                   .select(F.xxhash64("doc_id").alias("h")), "going")
+    flags = bloom.build(going, "h", bloom.bits_for(going.count()))
+    hashed = own.rows.where(doc_id.isNotNull()).withColumn("_h", F.xxhash64(doc_id))
+    stay = bloom.prefilter(hashed, "_h", flags, may=False).drop("_h")
+    out = stay.unionByName(bloom.prefilter(hashed, "_h", flags).drop("_h").join(alone.hint("merge"), same, "left_semi"))
     # the least row by content, found with a partial aggregation
     everything = F.struct(*own.name.values())
     least = F.min_by(everything, F.struct(F.xxhash64(own["text"]), F.to_json(everything))).alias("_row")

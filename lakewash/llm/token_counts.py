@@ -42,8 +42,6 @@ TOKEN_LIMIT = 4096
 PIECE_CHARS = 1 << 16
 #: A model that is sent to the tasks may have this many bytes.
 MODEL_BYTES = 256 << 20
-#: Bits of the misses' Bloom filter for each miss, and its greatest size (32 MB).
-BITS_A_MISS, MOST_BITS = 16, 1 << 28
 
 CACHE_SCHEMA = "content binary, n_tokens long"
 
@@ -133,8 +131,7 @@ def stored_counts(spark: SparkSession, cache: str, tokenizer: Tokenizer) -> Data
 def _texts_of(texts: DataFrame, misses: DataFrame, n_misses: int, all_missing: bool) -> DataFrame:
     """One text for each missing digest."""
     if not all_missing:
-        bits = 1 << max(16, min(MOST_BITS, BITS_A_MISS * n_misses).bit_length())
-        flags = bloom.build(misses.select(F.xxhash64("content").alias("h")), "h", min(bits, MOST_BITS))
+        flags = bloom.build(misses.select(F.xxhash64("content").alias("h")), "h", bloom.bits_for(n_misses))
         texts = bloom.prefilter(texts.withColumn("h", F.xxhash64("content")), "h", flags).drop("h")
     one = texts.groupBy("content").agg(F.first("text").alias("text"))
     # the texts are dealt by digest already; only the misses move for the join

@@ -445,7 +445,8 @@ def test_stream_takes_a_bounded_number_of_files(spark):
     run_flat_record_load(spark, src, out, ckpt, max_files_per_trigger=1)
     back = spark.read.parquet(out)
     assert back.select("batch_id").distinct().count() == 3
-    assert back.select("uuid").distinct().count() == back.count() == 6
+    # the same two rows arrive in each file: they keep their ids over the batches
+    assert back.count() == 6 and back.select("uuid").distinct().count() == 2
 
 
 def test_row_ids_do_not_depend_on_the_layout(spark):

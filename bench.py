@@ -116,7 +116,7 @@ def main():
     user_rows = FX.table(spark, SF_DIR, "customer").count()
 
     def flat():
-        jobs.flat_record_job(spark, csv_path, catalog.RUN_TS, sink=noop)
+        jobs.flat_record_job(spark, csv_path, catalog.RUN_TS, sink=noop).close()
 
     def nested():
         jobs.nested_record_job(spark, json_path, catalog.RUN_TS,
@@ -141,7 +141,7 @@ def main():
         big_path = scratch_path(spark, "bench-scale-up")
         (big.repartition(CPUS * 2).write.option("header", "true").option("quote", '"').option("escape", '"')
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(big_path))
-        t_big = timed(lambda: jobs.flat_record_job(spark, big_path, catalog.RUN_TS, sink=noop), repeats=3)
+        t_big = timed(lambda: jobs.flat_record_job(spark, big_path, catalog.RUN_TS, sink=noop).close(), repeats=3)
         out["scale_up"] = {"factor": SCALE_UP, "flat_rows": flat_rows * SCALE_UP, "flat_sec": round(t_big, 3),
                            "rows_per_sec": round(flat_rows * SCALE_UP / t_big),
                            "time_growth": round(t_big / t_flat, 2)}

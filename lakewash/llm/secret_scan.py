@@ -26,11 +26,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakewash.llm.common import Apart, let, only, staged, table
-from lakewash.llm.spans import SPAN, digest, pattern_spans
+from lakewash.llm.spans import SPAN, digest, pattern_spans, running
 
 # Fixed values of the result contract.
 KINDS = ("assign", "access", "hex")
@@ -173,9 +173,9 @@ def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY, usual: Data
     scored = staged(tested.join(F.broadcast(plain), "band").withColumn("step", step), "scored")  # one row a band
     found = (scored.select("band", "step", "tok", "tests").distinct()
              .groupBy("band", "step").agg(F.count("*").alias("c"), F.first("tests").alias("tests")))
-    least = (found.alias("a").join(found.alias("b"), (F.col("a.band") == F.col("b.band"))
-                                   & (F.col("b.step") >= F.col("a.step")))
-             .groupBy("a.band", "a.step").agg(F.sum("b.c").alias("at_least"), F.first("a.tests").alias("tests"))
+    # a row for each step of a band: their number grows with the longest token, not with the corpus
+    down = Window.partitionBy("band").orderBy(F.col("step").desc())
+    least = (found.withColumn("at_least", F.sum("c").over(down))
              # Benjamini-Hochberg: the weakest p-value p with p <= level * discoveries / tests
              .where(F.pow(F.lit(10.0), -F.col("step") / STEPS) <= level * F.col("at_least") / F.col("tests"))
              .groupBy("band").agg(F.min("step").alias("least_step")))
@@ -222,7 +222,8 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
     Edge cases: a null or empty text has no span. Each row gives one row,
     repeated rows too; a null doc_id is kept. An empty table gives no rows;
-    extra columns are ignored.
+    extra columns are ignored. A very long text is scanned whole, in time n log n
+    for n matches in it.
     """
     cells = _cells(docs)
     return (cells.drop("toks").join(_added(cells, docs), _same(F.col("doc_id"), F.col("digest")), "left")
@@ -238,6 +239,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.sort_array(F.concat("base", "added"))).alias("spans"))
 
 
+#: Characters of a block that a text is cut into before spans are taken out.
+BLOCK = 4096
+
+
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every base or added span replaced by ``[SECRET]``
     (overlapping spans by one) and n_chars set to the new length.
@@ -250,13 +255,23 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     joined = own.rows.join(_added(_cells(docs), docs), _same(own["doc_id"], F.xxhash64(text)), "left")
 
     def cut(spans: Column) -> Column:
-        walk = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-                           lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
-                               x["end"].alias("at"),
-                               F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], F.array(
-                                   F.substring(text, s["at"] + 1, x["start"] - s["at"]),
-                                   F.lit(REPLACEMENT)))).alias("out"))))
-        return let(walk, lambda w: F.concat(F.array_join(w["out"], ""), F.substring(text, w["at"] + 1, F.length(text))))
+        def pieces(ends: Column, blocks: Column) -> Column:
+            def between(begin: Column, end: Column) -> Column:
+                # a substring walks its text from the first character: here from that of a block
+                block = F.floor(begin / BLOCK).cast("int")
+                near = F.array_join(F.slice(blocks, block + 1, F.floor(end / BLOCK).cast("int") - block + 1), "")
+                return F.substring(near, begin - block * BLOCK + 1, end - begin)
+
+            # a span that starts before the furthest end so far belongs to the region before it
+            first = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (
+                F.get(spans, i)["start"] >= F.get(ends, i - 1)))
+            return let(first, lambda at: F.concat(
+                F.array_join(F.transform(at, lambda i: let(
+                    F.when(i == 0, 0).otherwise(F.get(ends, i - 1)), lambda begin: F.concat(
+                        between(begin, F.get(spans, i)["start"]), F.lit(REPLACEMENT)))), ""),
+                between(F.element_at(ends, -1), F.length(text))))
+        return let(running(F.transform(spans, lambda s: s["end"]), F.greatest), lambda ends: let(
+            F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda blocks: pieces(ends, blocks)))
 
     spans = F.sort_array(F.concat(_by_start(base_spans(text)), F.coalesce("added", F.array().cast(_ADDED))))
     out = joined.withColumn("_clean", let(spans, lambda all_: F.when(F.size(all_) > 0, cut(all_))))

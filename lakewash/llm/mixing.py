@@ -19,6 +19,8 @@ or a length that very many documents share, is never one window.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,8 +32,10 @@ from lakewash.operators.ids import OCCURRENCE, with_occurrence
 SEED = 20240601
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
-#: The dynamic programme's table has this many bits at most.
+#: Words that the dynamic programme decides, or more where documents are longer.
 DP_BUDGET = 1 << 16
+#: Cells of its table at most (12 bytes each).
+MAX_CELLS = 1 << 22
 #: Documents of one length are picked within hash buckets of about this size.
 BUCKET_ROWS = 2_000
 
@@ -83,10 +87,40 @@ def targets(source_sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
 
 # ------------------------------------------------------------- budget fitting
 
+def closest_subset(weights: list[int], goal: int, cells: int = MAX_CELLS) -> list[int]:
+    """Places of those ``weights`` whose sum comes nearest to ``goal`` from below.
+
+    Sums are counted in the weights' common divisor. Each cell of the table
+    holds the first sum found in it and the weight that reached it, which is
+    all that the way back needs. Up to ``cells`` units a cell is one sum and the
+    result exact; above, a cell is a range of goal / cells units.
+    """
+    unit = math.gcd(*weights) if weights else 1
+    goal //= unit
+    grid = goal // cells + 1
+    value = np.full(goal // grid + 1, -1, np.int64)
+    choice = np.full(len(value), -1, np.int32)
+    value[0] = 0
+    for k, weight in enumerate(w // unit for w in weights):
+        sums = value[value >= 0] + weight
+        sums = sums[sums <= goal]
+        sums = sums[value[sums // grid] < 0]
+        value[sums // grid], choice[sums // grid] = sums, k
+        if value[-1] == goal:
+            break
+    left, used = int(value.max()), []
+    while left:  # a sum's own weight came after those of the sum before it
+        used.append(int(choice[left // grid]))
+        left -= weights[used[-1]] // unit
+    return used
+
+
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED,
                dp_budget: int = DP_BUDGET) -> np.ndarray:
     """How many documents of each length to take so that the words come as
-    near to ``budget`` from below as the dynamic programme finds."""
+    near to ``budget`` from below as the dynamic programme finds. It decides
+    ``dp_budget`` words or four times the longest document, whichever is more;
+    while that leaves a gap, four times as many, up to the whole budget or ``MAX_CELLS``."""
     take = np.zeros(len(lengths), np.int64)
     use = lengths > 0
     total = int((lengths[use] * counts[use]).sum())
@@ -99,41 +133,41 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
     share = budget / total
     take[use] = np.minimum(counts[use], np.floor(counts[use] * share + rng.random(int(use.sum())))).astype(np.int64)
     order = rng.permutation(np.flatnonzero(use))
+    room, unit = max(dp_budget, 4 * int(lengths[use].max())), int(np.gcd.reduce(lengths[use]))
+    while True:
+        fitted = _fitted(lengths, counts, take, budget, order, room)
+        missed = (budget - int((lengths * fitted).sum())) // unit
+        if not missed or room >= min(budget, MAX_CELLS):
+            return fitted
+        room *= 4
+
+
+def _fitted(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int, order: np.ndarray, room: int) -> np.ndarray:
+    """``take`` changed so that about ``room`` words of the budget are chosen by the programme."""
+    take = take.copy()
     gap = budget - int((lengths * take).sum())
-    for i in order:  # rounding took too much: give back, in seeded order
-        if gap >= 0:
+    for i in order:  # documents taken go back, in seeded order, until the programme has room
+        if gap >= room:
             break
-        back = min(int(take[i]), -(gap // int(lengths[i])))
+        back = min(int(take[i]), -((gap - room) // int(lengths[i])))
         take[i] -= back
         gap += back * int(lengths[i])
-    for i in order:  # far below: take whole documents until the gap fits the table
-        if gap <= dp_budget:
+    for i in order:  # far below: whole documents are taken until the gap fits
+        if gap <= room:
             break
-        more = min(int(counts[i] - take[i]), (gap - dp_budget) // int(lengths[i]) + 1, gap // int(lengths[i]))
+        more = min(int(counts[i] - take[i]), (gap - room) // int(lengths[i]))
         take[i] += more
         gap -= more * int(lengths[i])
-    for i in order:  # make room: some of the documents taken go back to be chosen anew
-        back = min(int(take[i]), max(0, dp_budget // 4 - gap) // int(lengths[i]))
-        take[i] -= back
-        gap += back * int(lengths[i])
-    # bounded knapsack: bit s of ``reach`` is set if s words can be added
-    gap_left = min(gap, dp_budget)
-    reach, mask, steps = 1, (1 << (gap_left + 1)) - 1, []
+    parts = []  # what is left of a length, in powers of two
     for i in order:
         left, part = int(counts[i] - take[i]), 1
-        while left > 0 and part * int(lengths[i]) <= gap_left:
+        while left > 0 and part * int(lengths[i]) <= gap:
             part = min(part, left)
-            steps.append((i, part, reach))
-            reach |= reach << part * int(lengths[i]) & mask
+            parts.append((i, part))
             left -= part
             part *= 2
-        if reach >> gap_left & 1:
-            break
-    goal = reach.bit_length() - 1
-    for i, part, before in reversed(steps):
-        if not before >> goal & 1:
-            take[i] += part
-            goal -= part * int(lengths[i])
+    for k in closest_subset([part * int(lengths[i]) for i, part in parts], gap):
+        take[parts[k][0]] += parts[k][1]
     return take
 
 

@@ -338,20 +338,23 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Cla
     toxic = fit_label_model(_unpattern(t, len(TOXIC_VOTERS)), n, share=0.1, rare_vote=1)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, batch in _each(batches):
+        for part, batch in _each(batches):
             x = statistics(batch, *words.value)
             qv, tv = votes(batch, x)
             row, feature, count = _count_vectors(batch)
             cut = np.searchsorted(row, np.arange(len(batch.count) + 1))
             make = lambda x: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_pattern(qv)), pa.array(_pattern(tv)), pa.array(batch.count.astype(np.int64)), make(feature),
-                 make(count), pa.array(_buckets(x).tolist(), pa.list_(pa.int32()))], ["q", "t", "n", "f", "c", "b"])
+                [part.column("h"), pa.array(_pattern(qv)), pa.array(_pattern(tv)), pa.array(batch.count.astype(np.int64)),
+                 make(feature), make(count), pa.array(_buckets(x).tolist(), pa.list_(pa.int32()))],
+                ["h", "q", "t", "n", "f", "c", "b"])
 
     share = min(1.0, 1.2 * train_docs / max(1, int(n.sum())))
-    pick = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    rows = texts.where(pick).select("text").mapInArrow(
-        vectors, "q long, t long, n long, f array<int>, c array<int>, b array<int>").limit(train_docs).collect()
+    order = F.xxhash64(F.lit(SEED), "doc_id", "text")
+    pick = F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000) + 1
+    # the least hashes, so that the sample does not hang on the layout of files; rows that tie are equal
+    rows = texts.where(pick).select("text", order.alias("h")).mapInArrow(
+        vectors, "h long, q long, t long, n long, f array<int>, c array<int>, b array<int>").orderBy("h").limit(train_docs).collect()
     x = np.zeros((max(1, len(rows)), WIDTH), np.float32)
     for i, r in enumerate(rows):
         x[i, r.f] = np.array(r.c, np.float32) / np.sqrt(max(1, r.n))

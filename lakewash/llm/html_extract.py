@@ -43,15 +43,23 @@ MARKS = frozenset(
     "disclaimer disqus footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo "
     "related respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+# Elements that another one of a kind ends, up to the element around them.
+_CELL, _ROW = ("td", "th"), ("tr",)
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": _CELL + _ROW, "td": _CELL, "th": _CELL,
+        "option": ("option",), "optgroup": ("option", "optgroup")}
+AROUND = frozenset("ul ol menu dl table select".split())
 _PART = re.compile(r"[^a-z0-9]+")
 SIGMA = 1.0
+#: Characters of a block that make a page whose text is all marked one with an article.
+PROSE = 140
 
 
 class _Blocks(HTMLParser):
     """Collects (text, inline tags, container number) of each block."""
 
-    def __init__(self):
+    def __init__(self, marks: bool = True):
         super().__init__(convert_charrefs=True)
+        self.marks = marks  # whether forms and names in class and id put an element out
         self.blocks: list[tuple[str, int, int]] = []
         self.open: list[tuple[str, bool, int]] = []  # tag, out, container
         self.parts: list[str] = []
@@ -70,7 +78,22 @@ class _Blocks(HTMLParser):
             self.parts = []
         self.tags = 0
 
+    def imply_ends(self, tag) -> None:
+        """Ends what ``tag`` ends without an end tag: a paragraph by any block,
+        an item, a cell or an option by the next one of its list or table."""
+        if tag in BLOCKS and self.open and self.open[-1][0] == "p":
+            self.handle_endtag("p")
+        for i in range(len(self.open) - 1, -1, -1) if tag in ENDS else ():
+            name = self.open[i][0]
+            if name in AROUND:
+                break
+            if name in ENDS[tag]:
+                self.handle_endtag(name)
+                if name != "td" and name != "th":
+                    break
+
     def handle_starttag(self, tag, attrs):
+        self.imply_ends(tag)
         if tag in BLOCKS:
             self.cut()
         elif tag == "br":
@@ -80,11 +103,11 @@ class _Blocks(HTMLParser):
             return
         out, inside = self._state()
         if not out:
-            out = tag in SKIPPED or (tag == "header" and not inside)
+            out = tag in SKIPPED and (self.marks or tag != "form") or (tag == "header" and not inside)
             for name, value in attrs if not out else ():
                 value = (value or "").lower()
                 if name in ("class", "id"):
-                    out = out or tag not in ("html", "body") and not MARKS.isdisjoint(_PART.split(value))
+                    out = out or self.marks and tag not in ("html", "body") and not MARKS.isdisjoint(_PART.split(value))
                 elif name == "role":
                     out = out or value in ROLES
                 elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -143,9 +166,14 @@ def main_text(html: str | None) -> str:
     """The page's main text: blocks joined by two line breaks."""
     if not html:
         return ""
-    parser = _Blocks()
-    parser.feed(html)
-    blocks = parser.finish()
+    blocks: list[tuple[str, int, int]] = []
+    for marks in (True, False):
+        if not blocks:
+            parser = _Blocks(marks)
+            parser.feed(html)
+            blocks = parser.finish()
+            if not marks and max((len(text) for text, _, _ in blocks), default=0) < PROSE:
+                blocks = []  # an advert or a notice alone
     if not blocks:
         return ""
     ratios = _smoothed([len(text) / max(1, tags) for text, tags, _ in blocks])
@@ -167,7 +195,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Edge cases: a null or empty html, or one without a content line, has an
     empty text of 0 characters. Unclosed and unmatched tags are read as
-    browsers do for blocks: an open element ends with the one around it.
+    browsers do for blocks: an open element ends with the one around it, a
+    paragraph with the next block, an item, cell or option with the next one.
+    Where forms and names in class and id put out all text of a page, and a block
+    of it has ``PROSE`` characters, they are its layout, and the elements alone decide. A very long page is read whole.
     Null ids and urls are kept; repeated rows are repeated; an empty table
     gives no rows; extra columns are ignored.
     """

@@ -129,8 +129,7 @@ def epoch_text_to_timestamp(c: ColumnOrName) -> Column:
     """Epoch seconds written as an integer -> timestamp; padding, a sign and
     leading zeros are read. Fractions and values past the year 9999 give null."""
     col = _text(c)
-    return F.when(col.rlike(EPOCH_TEXT_SHAPE), epoch_to_timestamp(F.trim(
-        F.regexp_replace(col, WHITESPACE_RUN, " ")).try_cast("bigint")))
+    return F.when(col.rlike(EPOCH_TEXT_SHAPE), epoch_to_timestamp(col.try_cast("bigint")))  # the cast trims
 
 
 def epoch_to_timestamp(c: ColumnOrName) -> Column:

@@ -3,10 +3,11 @@ keys, and source-file lineage."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,6 +118,9 @@ OCCURRENCE = "_occurrence"
 # the whole row, and a tie-break whose upper bits name the task that wrote it.
 KEY, DIGEST, TIE, CHUNK = "_lw_key", "_lw_digest", "_lw_tie", "_lw_chunk"
 TAGS = (KEY, DIGEST, TIE)
+#: Rows that one key's window may hold, and bytes of a list of keys that may be broadcast.
+HEAVY_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
 def tie_break() -> Column:
@@ -171,29 +175,63 @@ def repeats(df: DataFrame, key: str) -> bool:
     return not df.groupBy(F.col(f"`{key}`")).count().where("count > 1").isEmpty()
 
 
-def with_occurrence(df: DataFrame, key: str, name: str = OCCURRENCE) -> DataFrame:
+def with_occurrence(df: DataFrame, key: str, name: str = OCCURRENCE, heavy: int = HEAVY_ROWS) -> DataFrame:
     """``df`` with the number, from 0, of each row among the rows of its key.
 
     Rows of a key are ordered by an MD5 of the whole row; rows that tie there
     are equal, so each row gets the same number on every run and for every
-    partitioning. ``df`` runs once, into a staging folder. Numbers are worked
-    out on counts of equal rows by key, digest and task, and joined back: only
-    keys that repeat are in that table, so rows of other keys move only if it
-    is too large to broadcast. A key that a third of all rows hold is
-    spread by digest, a row that a third of all rows are copies of by task.
+    partitioning. ``df`` runs once, into a staging folder; see
+    :func:`number_tagged` for the rest.
     """
     columns = df.columns
-    return number_tagged(staged(tagged(df, key), "rows-to-number"), columns, name)
+    return number_tagged(staged(tagged(df, key), "rows-to-number"), columns, name, heavy)
 
 
-def number_tagged(rows: DataFrame, columns: Sequence[str], name: str = OCCURRENCE) -> DataFrame:
-    """:func:`with_occurrence` for rows that are :func:`tagged` and staged."""
-    counts = chunk_counts(rows)
-    again = counts.groupBy(KEY).agg(F.sum("n").alias("rows")).where("rows > 1").select(KEY)
-    placed = staged(running_total(counts.join(again, KEY, "left_semi"), [DIGEST, CHUNK], "n", "_lw_start"), "places")
-    joined = rows.withColumn(CHUNK, F.shiftright(TIE, 33)).join(placed, [KEY, DIGEST, CHUNK], "left")
-    alone = F.coalesce(F.col("n"), F.lit(1)) == 1
+def number_tagged(rows: DataFrame, columns: Sequence[str], name: str = OCCURRENCE,
+                  heavy: int = HEAVY_ROWS) -> DataFrame:
+    """:func:`with_occurrence` for rows that are :func:`tagged` and staged.
+
+    Keys that repeat are counted once and staged. While at most half of the rows
+    have such a key, the others stay where they are (their number is 0);
+    otherwise all rows move, once, to the rows of their key. A key of up to
+    ``heavy`` rows is numbered by a window. Rows of a heavier one are numbered
+    from counts of equal rows by digest and task: it is spread by digest, a
+    row that a third of all rows are copies of by task. Lists of keys are
+    broadcast up to ``BROADCAST_BYTES`` of key text.
+    """
+    seen = Observation(f"repeats-{uuid.uuid4().hex[:8]}")
+    bytes_ = F.octet_length(KEY).cast("long") + 16
+    again = staged(rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).observe(
+        seen, F.sum("n").alias("rows"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"),
+        F.sum(F.when(F.col("n") > 1, bytes_)).alias("again_bytes"),
+        F.count(F.when(F.col("n") > heavy, True)).alias("heavy"),
+        F.sum(F.when(F.col("n") > heavy, bytes_)).alias("heavy_bytes")).where("n > 1"), "repeated-keys")
+    found = {k: int(v or 0) for k, v in seen.get.items()}
     cols = [F.col(f"`{c}`") for c in columns]
-    once = joined.where(alone).select(*cols, F.coalesce(F.col("_lw_start"), F.lit(0)).cast("bigint").alias(name))
-    copies = joined.where(~alone).select(*cols, copy_number(F.col("_lw_start")).alias(name))
+
+    def keys(of: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(of.select(KEY)) if size <= BROADCAST_BYTES else of.select(KEY)
+
+    parts, moved = [], rows
+    if found["repeated"] * 2 <= found["rows"]:
+        listed = keys(again, found["again_bytes"])
+        parts.append(rows.join(listed, KEY, "left_anti").select(*cols, F.lit(0).cast("bigint").alias(name)))
+        moved = rows.join(listed, KEY, "left_semi")
+    if found["heavy"]:
+        listed = keys(again.where(F.col("n") > heavy), found["heavy_bytes"])
+        parts.append(_number_heavy(moved.join(listed, KEY, "left_semi"), cols, name))
+        moved = moved.join(listed, KEY, "left_anti")
+    own = F.row_number().over(Window.partitionBy(KEY).orderBy(DIGEST, TIE)) - 1
+    out = moved.select(*cols, own.cast("bigint").alias(name))
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def _number_heavy(rows: DataFrame, cols: Sequence[Column], name: str) -> DataFrame:
+    """Numbers of tagged rows whose keys are too heavy for a window each."""
+    placed = staged(running_total(chunk_counts(rows), [DIGEST, CHUNK], "n", "_lw_start"), "places")
+    joined = rows.withColumn(CHUNK, F.shiftright(TIE, 33)).join(placed, [KEY, DIGEST, CHUNK])
+    once = joined.where("n = 1").select(*cols, F.col("_lw_start").alias(name))
+    copies = joined.where("n > 1").select(*cols, copy_number(F.col("_lw_start")).alias(name))
     return once.unionByName(copies)

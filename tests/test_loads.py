@@ -244,6 +244,33 @@ def test_occurrence_numbers_against_a_dict(spark):
     assert all(sorted(ns) == list(range(len(ns))) for ns in per_key.values())
 
 
+@pytest.mark.parametrize("singles", [0, 2000])  # all rows move, or only those of repeated keys
+def test_heavy_keys_are_numbered_like_light_ones(spark, singles):
+    rows = ([("hot", str(i % 90)) for i in range(300)] + [("same", "x")] * 200 + [("a", "x"), ("a", "y"), (None, None), (None, "z")]
+            + [(f"s{i}", "x") for i in range(singles)])
+    df = spark.createDataFrame(rows, "id string, v string")
+
+    def numbered(heavy, n):
+        found = ids.with_occurrence(df.repartition(n), "id", heavy=heavy).collect()
+        return sorted((r.id or "", r.v or "", r._occurrence) for r in found)
+    light = numbered(1000, 4)
+    assert numbered(100, 4) == numbered(1, 7) == light and len(light) == len(rows)
+    per_key = {}
+    for key, _, n in light:
+        per_key.setdefault(key, []).append(n)
+    assert all(sorted(ns) == list(range(len(ns))) for ns in per_key.values())
+
+
+@pytest.mark.parametrize("singles", [0, 500])
+def test_key_lists_too_large_to_broadcast(spark, singles, monkeypatch):
+    monkeypatch.setattr(ids, "BROADCAST_BYTES", 0)
+    rows = [("hot", str(i)) for i in range(60)] + [("a", "x"), ("a", "x")] + [(f"s{i}", "x") for i in range(singles)]
+    got = ids.with_occurrence(spark.createDataFrame(rows, "id string, v string").repartition(3), "id", heavy=10).collect()
+    assert sorted(r._occurrence for r in got if r.id == "hot") == list(range(60)) and len(got) == len(rows)
+    assert sorted(r._occurrence for r in got if r.id == "a") == [0, 1]
+    assert {r._occurrence for r in got if r.id.startswith("s")} <= {0}
+
+
 def tagged_batch(spark, rows):
     df = spark.createDataFrame(rows, "id string, v string").repartition(3)
     return ids.staged(ids.tagged(df, "id"), "t-batch")

@@ -6,16 +6,20 @@ rules say about like urls of the same host:
 1. paths are counted per host once (a hot host is pre-aggregated), and cut
    into segments; a segment made of digits becomes ``<n>`` (its extension
    stays), one of hex digits or a date ``<id>``;
-2. level by level a tree grows per host. Where a node has more than
+2. a tree grows per host. A node takes all segments that its paths have in
+   common at once, then branches. Where a node has more than
    ``MANY_CHILDREN`` children, those with a small share each are one variable
    segment ``<*>``; of the rest, branches whose labelled shares do not differ
-   significantly (two-proportion test, both with evidence) are merged;
-3. a template (a path from the root) is rejected if its labelled purity, the
-   smoothed share of blocked urls, reaches ``REJECT_PURITY``.
-
-Levels are joins and partial aggregations over (host, prefix); the only thing
-gathered for one node is its at most ``MANY_CHILDREN + 1 / SMALL_SHARE``
-remaining children.
+   significantly (two-proportion test, both with evidence) are merged. A node
+   without a labelled url grows no further;
+3. a template (a path from the root) has the smoothed share of blocked urls of
+   the nearest node on it that has labelled urls, itself first. It is rejected
+   if that purity reaches ``REJECT_PURITY``.
+
+Levels are joins and partial aggregations over (host, prefix). There are as
+many as labelled paths of one host branch below each other, whatever their
+depth; the only thing gathered for one node is its at most
+``MANY_CHILDREN + 1 / SMALL_SHARE`` remaining children with evidence.
 """
 
 from __future__ import annotations
@@ -39,8 +43,8 @@ SIGNIFICANT_Z = 1.96
 #: Weight of the neutral prior (a half) in a template's purity, and where it rejects.
 PRIOR_WEIGHT = 4.0
 REJECT_PURITY = 0.9
-#: Segments from here on are one wildcard tail ``<tail>`` of the template.
-MAX_LEVELS = 16
+#: Where a path ends: a segment that no url has, before all others.
+END = "\x00"
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -99,35 +103,81 @@ def _merge_branches(children: list) -> dict[str, str]:
     return names
 
 
-_merge = F.udf(_merge_branches, T.MapType(T.StringType(), T.StringType()), useArrow=False)  # one call for each node, not each url
+# one call for each node that has two branches with evidence, not for each url
+_merge = F.udf(_merge_branches, T.MapType(T.StringType(), T.StringType()), useArrow=False)
+
+
+def _purity(bad: Column, labelled: Column) -> Column:
+    return (bad + PRIOR_WEIGHT / 2) / (labelled + PRIOR_WEIGHT)
+
+
+def _in_common(low: Column, high: Column) -> Column:
+    """How many segments all lists share that lie between two in order."""
+    size = F.least(F.size(low), F.size(high))
+    differs = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
+                       lambda i: ~F.get(low, i).eqNullSafe(F.get(high, i)))
+    return F.when(size == 0, 0).otherwise(F.coalesce(F.get(differs, F.lit(0)), size))
+
+
+def _take_common(rows: DataFrame) -> DataFrame:
+    """``rows`` after each node took the segments that all its paths begin
+    with, or all that is left where nothing in the node is labelled, and its
+    purity where something is."""
+    node = rows.groupBy("host", "prefix").agg(
+        F.sum("bad").alias("_bad"), F.sum("labelled").alias("_labelled"),
+        F.min("rest").alias("_low"), F.max("rest").alias("_high")).select(
+            "host", "prefix", (F.col("_labelled") > 0).alias("_evidence"),
+            _purity(F.col("_bad"), F.col("_labelled")).alias("_own"),
+            _in_common(F.col("_low"), F.col("_high")).alias("_common"))
+    count = F.when(F.col("_evidence"), F.col("_common")).otherwise(F.size("rest"))
+    taken = F.filter(F.slice("rest", F.lit(1), count), lambda x: x != END)
+    return rows.join(node, ["host", "prefix"]).select(
+        "host", "path", "n", "bad", "labelled",
+        F.slice("rest", count + 1, F.size("rest")).alias("rest"),
+        F.concat("prefix", F.array_join(F.transform(taken, lambda x: F.concat(F.lit("/"), x)), "")).alias("prefix"),
+        F.when(F.col("_evidence"), F.col("_own")).otherwise(F.col("purity")).alias("purity"))
+
+
+def _branch(rows: DataFrame) -> DataFrame:
+    """``rows`` one segment further, each in the branch its segment falls in."""
+    seg = F.get("rest", F.lit(0)).alias("seg")
+    child = staged(rows.groupBy("host", "prefix", seg).agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")), "tree-children")
+    node = child.groupBy("host", "prefix").agg(F.count("*").alias("children"), F.sum("n").alias("all"))
+    variable = ((F.col("children") > MANY_CHILDREN) & (F.col("n") < SMALL_SHARE * F.col("all"))
+                & ~F.col("seg").startswith("<") & (F.col("seg") != END))
+    child = child.join(node, ["host", "prefix"]).withColumn("variable", variable)
+    ready = child.where(~F.col("variable") & (F.col("labelled") >= EVIDENCE) & (F.col("seg") != END))
+    merged = (ready.groupBy("host", "prefix").agg(F.collect_list(F.struct("seg", "bad", "labelled")).alias("kids"))
+              .where(F.size("kids") > 1).select("host", "prefix", F.explode(_merge("kids")).alias("seg", "merged")))
+    names = staged(child.join(merged, ["host", "prefix", "seg"], "left").select(
+        "host", "prefix", "seg", F.when(F.col("variable"), F.lit("<*>")).otherwise(F.coalesce("merged", "seg")).alias("name")),
+        "tree-names")
+    return rows.withColumn("seg", seg).join(names, ["host", "prefix", "seg"]).select(
+        "host", "path", "n", "bad", "labelled", F.slice("rest", F.lit(2), F.size("rest")).alias("rest"),
+        F.when(F.col("seg") == END, F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "name")).alias("prefix"),
+        "purity")
 
 
 def templates(paths: DataFrame) -> DataFrame:
     """``paths`` (host, path, n, bad, labelled; host and path unique) with the
-    template each path falls under."""
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    tail = F.concat(F.slice(segments, 1, MAX_LEVELS), F.array(F.lit("<tail>")))
-    leaf = staged(paths.withColumn("segs", F.transform(
-        F.when(F.size(segments) > MAX_LEVELS, tail).otherwise(segments), _typed)).withColumn("prefix", F.lit("")), "tree")
-    depth = leaf.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(depth):
-        rows = leaf.where(F.size("segs") > level).withColumn("seg", F.col("segs")[level])
-        child = staged(rows.groupBy("host", "prefix", "seg").agg(
-            F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")), "tree-children")
-        node = child.groupBy("host", "prefix").agg(F.count("*").alias("children"), F.sum("n").alias("all"))
-        plain = child.join(node, ["host", "prefix"])
-        variable = ((F.col("children") > MANY_CHILDREN) & (F.col("n") < SMALL_SHARE * F.col("all"))
-                    & ~F.col("seg").startswith("<"))
-        kept = plain.where(~variable).groupBy("host", "prefix").agg(
-            F.collect_list(F.struct("seg", "bad", "labelled")).alias("kids"))
-        names = kept.select("host", "prefix", F.explode(_merge("kids")).alias("seg", "name")).unionByName(
-            plain.where(variable).select("host", "prefix", "seg", F.lit("<*>").alias("name")))
-        names = staged(names, "tree-names")
-        moved = leaf.withColumn("seg", F.get("segs", F.lit(level))).join(names, ["host", "prefix", "seg"], "left")
-        leaf = staged(moved.withColumn("prefix", F.when(
-            F.col("name").isNotNull(), F.concat("prefix", F.lit("/"), "name")).otherwise(F.col("prefix"))).drop(
-                "seg", "name"), "tree")
-    return leaf.drop("segs").withColumnRenamed("prefix", "template")
+    template each path falls under and its purity."""
+    segments = F.transform(F.split(F.regexp_replace("path", "^/", ""), "/"), _typed)
+    growing = staged(paths.select(
+        "host", "path", "n", "bad", "labelled", F.concat(segments, F.array(F.lit(END))).alias("rest"),
+        F.lit("").alias("prefix"), F.lit(0.5).alias("purity")), "tree")
+    done = []
+    while True:
+        moved = staged(_take_common(growing), "tree")
+        done.append(moved.where(F.size("rest") == 0))
+        growing = moved.where(F.size("rest") > 0)
+        if growing.isEmpty():
+            break
+        growing = staged(_branch(growing), "tree")
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    return found.drop("rest").withColumnRenamed("prefix", "template")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -135,8 +185,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     ``pages``.
 
     Edge cases: a null url, or one without ``://``, has an empty host and path
-    and the verdict allow unless its template is impure. A template without
-    labelled urls has the neutral purity and is allowed. A null page_id keeps
+    and the verdict allow unless its template is impure. A template of a
+    host without labelled urls has the neutral purity and is allowed. A path
+    of any depth is judged by all its segments. A null page_id keeps
     its row; repeated rows are counted and judged alike; an empty table gives
     no rows; extra columns are ignored.
     """
@@ -147,11 +198,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     paths = split.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("ruled") == "block", True)).alias("bad"),
         F.count("ruled").alias("labelled"))
-    tree = templates(paths)
-    purity = (F.col("bad") + PRIOR_WEIGHT / 2) / (F.col("labelled") + PRIOR_WEIGHT)
-    judged = tree.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).select(
-        F.col("host").alias("_host"), F.col("template").alias("_template"), purity.alias("purity"))
-    known = staged(tree.join(judged, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_template"))).select(
+    known = staged(templates(paths).select(
         F.col("host").alias("_host"), F.col("path").alias("_path"), "template", "purity"), "judged-paths")
     return split.join(known, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path"))).select(
         "page_id", "host", "path", "rule",

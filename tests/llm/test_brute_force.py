@@ -207,6 +207,28 @@ def test_an_impure_template_is_rejected(spark):
     assert {got[i].template for i in range(200, 260)} == {"/<*>/p"} and got[1].template == "/spam/<n>/<n>"
 
 
+def test_urls_are_told_apart_at_any_depth(spark):
+    deep = "/".join("abcdefghijklmnopqrstuvw")
+    rules = (("h.example", f"/{deep}/good/", "allow"), ("h.example", f"/{deep}/bad/", "block"))
+    urls = [(i, f"http://h.example/{deep}/{'good' if i % 2 else 'bad'}/page{i}") for i in range(60)]
+    urls += [(100, f"http://h.example/{deep}/bad"), (101, "http://h.example/"), (102, "http://other.example/x")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()}
+    assert {got[i].verdict for i in range(0, 60, 2)} == {"block"} and {got[i].verdict for i in range(1, 60, 2)} == {"allow"}
+    assert got[0].template.startswith(f"/{deep}/bad/") and got[1].template.startswith(f"/{deep}/good/")
+    # the path that ends at the blocked branch has its purity; the host's root has a mixed one, another host none
+    assert (got[100].verdict, got[101].verdict, got[102].purity) == ("block", "allow", 0.5)
+
+
+def test_templates_without_labels_take_the_nearest_labelled_purity(spark):
+    rules = (("h.example", "/s/bad", "block"), ("h.example", "/t/", "allow"))
+    urls = [(i, f"http://h.example/s/bad{i}x/p") for i in range(30)] + [(50 + i, f"http://h.example/t/ok{i}x/p") for i in range(30)]
+    urls += [(100, "http://h.example/s/other/p"), (101, "http://h.example/t/other/p"), (102, "http://h.example/u/other/p")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()}
+    assert [got[i].rule for i in (100, 102)] == [None, None]
+    assert [got[i].verdict for i in (100, 101, 102)] == ["block", "allow", "allow"]
+    assert abs(got[100].purity - 32 / 34) < 1e-9 and abs(got[102].purity - 32 / 65) < 1e-9
+
+
 # ------------------------------------------------------------------ op4
 
 def test_mix_targets_and_budgets(spark, texts):

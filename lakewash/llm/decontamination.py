@@ -5,7 +5,8 @@ placeholders, so a question asked again with other values keeps its template.
 
 1. Each text gives the hashes of its windows of ``WINDOW`` template tokens. A
    capitalised word that begins a sentence may be a name or not, so a window
-   with such words has a form for each choice.
+   with such words has a form for each choice. A window of placeholders alone
+   (a row of numbers) says nothing as a template: it is hashed by its values.
 2. Document windows are joined to the benchmark's windows by hash. A Bloom
    filter of a fixed size lets through the windows that may match before
    anything is shuffled; the join decides.
@@ -114,6 +115,10 @@ class Tokens:
     def low(self, at: int) -> str:
         return self.known.low[self.word[at]]
 
+    def literal(self, a: int, b: int) -> np.ndarray:
+        """Hashes of the words from a to b themselves."""
+        return self.known.columns()[3][self.word[a:b]]
+
     def value(self, at: int) -> str:
         return self.low(at) if self.slot[at] else ""
 
@@ -207,6 +212,20 @@ def window_forms(tokens: Sequence[int], either: Collection[int], name: int,
     return place, mask, mix(out, long)
 
 
+def values_for_placeholders(tokens: Tokens, a: int, b: int, place: np.ndarray, mask: np.ndarray, h: np.ndarray,
+                            size: int) -> None:
+    """Give each form of :func:`window_forms` that has only placeholders the
+    hash of its values, in place."""
+    long = min(size, b - a)
+    slots = np.concatenate([[0], np.cumsum(tokens.slot[a:b])])
+    if not long or slots[-1] + np.count_nonzero(tokens.may[a:b]) < long:
+        return
+    full = np.flatnonzero(slots[place + long] - slots[place] + np.bitwise_count(mask) == long)
+    if len(full):
+        values = window_forms(tokens.literal(a, b), (), 0, size)[2]
+        h[full] = values[place[full]] ^ np.uint64(_BASE)  # apart from the windows of literals
+
+
 def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
     """(id, digest, w, slots, place, mask, first) for the forms of the windows
     of each text: slots are the values in the form's placeholders,
@@ -233,6 +252,7 @@ def _windows(rows: DataFrame, id_: str, size: int, flags=None) -> DataFrame:
                 tokens = templates.read(batch.column(2).slice(lo, hi - lo).to_pylist())
                 for i, digest, a, b in zip(ids[lo:hi], digests[lo:hi], tokens.first[:-1].tolist(), tokens.first[1:].tolist()):
                     place, mask, h = window_forms(tokens.hash[a:b], np.flatnonzero(tokens.may[a:b]), templates.name, size)
+                    values_for_placeholders(tokens, a, b, place, mask, h, size)
                     at = np.arange(len(h)) if bits is None else np.flatnonzero(may_hold(bits, h))
                     first: dict[int, int] = {}
                     if bits is None:
@@ -307,7 +327,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: f
 
     Edge cases: a null or empty text, on either side, has no window and never
     matches. A text with fewer than ``size`` tokens is one window, so a short
-    item only leaks into a text of the very same template. A null item_id or
+    item only leaks into a text of the very same template. An item of numbers
+    alone only leaks with its own values. A null item_id or
     doc_id is matched and reported as null. Equal rows are reported once. Ties
     do not arise: every item that reaches the coverage is reported. Empty
     tables give no rows; extra columns are ignored.

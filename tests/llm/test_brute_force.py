@@ -349,6 +349,16 @@ def test_random_tokens_are_told_from_words(spark):
     assert len(got & set(random_)) >= 55 and not got & set(plain)
 
 
+def test_fisher_joins_p_values(spark):
+    r = np.random.default_rng(8)
+    p = r.uniform(size=(2000, 3))
+    df = spark.createDataFrame([tuple(map(float, x)) for x in p], "a double, b double, c double")
+    got = np.exp([x[0] for x in df.select(secret_scan._log_fisher("a", "b", "c")).collect()])
+    t = -np.log(p).sum(axis=1)
+    assert np.allclose(got, np.exp(-t) * (1 + t + t * t / 2))
+    assert abs(np.mean(got < 0.05) - 0.05) < 0.02 and abs(np.mean(got < 0.5) - 0.5) < 0.05  # uniform under the null
+
+
 def test_keys_are_found_where_they_are_most_long_tokens(spark):
     r = np.random.default_rng(6)
     alphabet = np.array(list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
@@ -449,6 +459,19 @@ def test_each_occurrence_has_its_own_values(spark):
                                  mixed, f"{mixed} {filler} {mixed}"]) == {0, 1, 2}
 
 
+def test_rows_of_numbers_are_judged_by_their_values(spark):
+    numbers = [str(7 * i % 101 + 100) for i in range(12)]
+    bench = spark.createDataFrame([(1, " ".join(numbers)), (2, "Tom has 12 cows and buys 5 more of them at the fair .")],
+                                  "item_id long, text string")
+    other = " ".join(str(13 * i % 97 + 300) for i in range(400))
+    docs = [(1, "prices " + other), (2, "table " + " ".join(numbers) + " end"), (3, " ".join(reversed(numbers))),
+            (4, " ".join(numbers[:5]) + " " + other),  # five of its numbers are too few
+            (5, "Ann has 31 cows and buys 8 more of them at the fair .")]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).where("consistent").collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(2, 1), (5, 2)]
+    assert [r.windows for r in found if r.item_id == 1] == [8]
+
+
 def test_names_that_begin_sentences(spark):
     item = "Anna has 12 cows. Tom buys 5 of them. Eve sells the rest today."
     renamed = item.replace("Anna", "Maria").replace("Tom", "Luis").replace("Eve", "Ruth")

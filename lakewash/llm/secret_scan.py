@@ -16,8 +16,11 @@ corpus's ordinary text:
   that length changes between digits, lower and upper case as often as this
   one does, at the rate of the corpus's median word. Words are shorter than
   any tested token, so keys have no part in that rate however many there are.
-  Long tokens give more evidence, so the level a token has to reach depends on
-  its length: the Benjamini-Hochberg step-up runs over all tested tokens of a
+  It is divided by the battery's own p-value, the three joined by Fisher's
+  method: a token that fits a random key less well needs more evidence, and
+  the quotient never understates the chance;
+* long tokens give more evidence, so the level a token has to reach depends on
+  its length: the Benjamini-Hochberg step-up runs over these quotients of all tested tokens of a
   length band, with as many tests as the band has different tokens in the
   whole corpus. Copies of a token are one test and one discovery.
 """
@@ -132,6 +135,17 @@ def battery(tokens: DataFrame) -> DataFrame:
             .withColumn("digits", digits).drop("alphabet", "places", "mean", "body", "chi2"))
 
 
+def _log_fisher(*p_values: str) -> Column:
+    """Logarithm of the p-value that Fisher's method joins these to: the tail
+    of chi-squared with twice as many degrees of freedom, in closed form."""
+    t = -sum(F.log(F.greatest(F.col(p), F.lit(1e-300))) for p in p_values)
+    terms, term = F.lit(1.0), F.lit(1.0)
+    for k in range(1, len(p_values)):
+        term = term * t / k
+        terms = terms + term
+    return F.log(terms) - t
+
+
 def _changes(token: Column) -> Column:
     return (F.length(F.regexp_replace(token, CLASS_CHANGE, " ")) - F.length(token)).cast("double")
 
@@ -169,6 +183,7 @@ def random_tokens(tokens: DataFrame, level: float = FALSE_DISCOVERY, usual: Data
     # Poisson tail P(X >= changes) by Chernoff's bound, which never understates it
     x = F.col("_changes")
     log_p = F.when(x > mean, x - mean - x * F.log(x / mean)).otherwise(F.lit(0.0))
+    log_p = F.least(log_p - _log_fisher("p_uniform", "p_runs", "p_serial"), F.lit(0.0))
     step = F.floor(-log_p / math.log(10) * STEPS).cast("int")  # rounded towards the larger p-value
     scored = staged(tested.join(F.broadcast(plain), "band").withColumn("step", step), "scored")  # one row a band
     found = (scored.select("band", "step", "tok", "tests").distinct()

@@ -3,31 +3,41 @@
 Every document is the sequence of its five-word shingles. Under a min-hash
 function, the Cartesian tree of the shingles' hashes groups all subsequences
 that share a signature: a tree node (l, c, r) stands for every subsequence
-that lies in [l, r] and holds c, since c is the least there. Only nodes at
-least as wide as the shortest passage are kept; they are the least elements
-of sliding windows, so the tree is built over a few places per document.
-
-Two documents that share a passage share the node of its least shingle. The
-node's surroundings verify that: the hashes of ``SIDE`` shingles to the left
-and to the right of c, inside [l, r], are the keys of the interval join. An
-exact run of 50 words has one such side for every hash function whatever its
-place, and so has each run of 40 words between two changed words. Keys that
-two documents share mark the interval as repeated. Each shared key then gets
-the hashes of the runs of one to ``BLOCKS`` blocks of ``BLOCK`` shingles beyond
-either end, which a document looks up where its repeated intervals end: a run that any two documents have beside the same key lengthens
-the interval, however many others hold the key alone. Intervals of all hash functions
-are joined per document over gaps of a few words, and a passage is reported
-if it has ``MIN_WORDS`` words, less the block that either end may lack, of
-which ``SIMILARITY`` or more lie in repeated intervals.
-
-Keys and runs are aggregated to a least and a greatest document before anything
+that lies in [l, r] and holds c, since c is the least there. Only nodes of
+``2 * SIDE - 1`` shingles or more are kept; they are the least elements of
+sliding windows, so the tree is built over a few places per document.
+
+Two documents that share a run of that many shingles share the node of its
+least shingle c, and ``SIDE`` shingles to the left or to the right of c lie in
+the run: their hashes, where they lie in [l, r], are the keys of the interval
+join. Two passages of ``MIN_WORDS`` words that follow one another with a shingle
+similarity of ``SIMILARITY`` share such a run: a changed, added or missing
+word breaks four or five shingles, so one break leaves a run of 21 of the least
+passage's 46, and a passage with more breaks is longer and leaves a longer one.
+The key intervals of a run touch, and lack fewer than ``SIDE`` shingles at either end.
+
+What lies beyond is compared in two rounds, beside the keys where a document's
+shared intervals end. First the intervals are lengthened to the ends of their runs:
+every second of the next ``SIDE - 1`` shingles gives a code of its hash, the key's and
+the distance, and one that two documents have proves the words up to it. Then, for runs
+that are long enough for a passage but in none yet, each shingle for a passage's length
+gives a code of its hash and the key's: one that two documents have is a shared shingle
+beside a shared key, at whatever distance, across the changed words.
+
+A passage is a stretch of a document with c shared of n shingles that a passage
+of m shingles or more (m: those of ``MIN_WORDS`` words) can match with the asked Jaccard
+similarity t, c >= t (n + m) / (1 + t), n counting as m at least, and c >= t n.
+
+Keys and codes are aggregated to a least and a greatest document before anything
 is joined, so a passage that a third of all documents hold is one row per task,
 and no pair of documents is ever written out.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -43,13 +53,17 @@ from lakewash.llm.words import Words, _powers, lowered, mix, shingles, slices, t
 SHINGLE = 5
 MIN_WORDS = 50
 SIMILARITY = 0.8
-HASHES = 2
-#: Shingles of one side of a node: 18 shingles are 22 words.
-SIDE = 18
-#: Runs of up to so many blocks of so many shingles beyond both ends.
-BLOCK, BLOCKS = 6, 3
-#: Bits of the filter that spares the join keys of one document alone (4 MB).
+HASHES = 1
+#: Shingles of one side of a node: 11 shingles are 15 words.
+SIDE = 11
+#: Words between two shared stretches of one passage.
+GAP = 16
+#: Bits of the filters that spare the join keys of one document alone (4 MB).
 BLOOM_BITS = 1 << 25
+#: Shingles that one code of a run's end stands for.
+STEP = 2
+#: Tells the right of a key from its left in the filter of keys to compare beside.
+_RIGHT = 0x38495AB5E6546B64
 _BASE = 0xC2B2AE3D27D4EB4F | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -94,11 +108,11 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
 
 
-def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, width: int, flags: bytes | None):
-    """Arrays (sig, rid) of every node's sides; with a Bloom filter, arrays
-    (sig, rid, start, runs...) of those that it may hold: start is a word's
-    place, a run is a hash that stands for the key as well, 0 where the text
-    ends before."""
+def _nodes(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int):
+    """For each slice of the texts: the shingles' hashes, and of every node's
+    sides the arrays sig, rid, place of the first shingle in its text, place
+    of the text's first shingle, number of the text's shingles. Texts of fewer
+    than ``fewest`` shingles hold no passage."""
     for lo, hi in slices(texts):
         data, offsets = text_buffer(texts.slice(lo, hi - lo))
         words = Words(lowered(data), offsets)
@@ -109,11 +123,11 @@ def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, wi
         salts, begins, owner, firsts, sizes = [], [], [], [], []
         for k in range(hi - lo):
             first, n = words.first[k], words.first[k + 1] - words.first[k] - SHINGLE + 1
-            if n < width:
+            if n < fewest:
                 continue
             own = sh[first:first + n]
             for i in range(hashes):
-                left, at, right = compact_windows(_distinct(mix(own, 11 + i)), width)
+                left, at, right = compact_windows(_distinct(mix(own, 11 + i)), 2 * side - 1)
                 for begin, ok, salt in ((at - side + 1, at - side + 1 >= left, 2 * i),
                                         (at, at + side - 1 <= right, 2 * i + 1)):
                     begin = begin[ok]
@@ -123,46 +137,67 @@ def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, wi
         if not begins:
             continue
         begin, salt, first, n = (np.concatenate(x) for x in (begins, salts, firsts, sizes))
-
-        def run(start: np.ndarray, length: int) -> np.ndarray:
-            return (total[start + length] - total[start]) * back[start]
-
-        sig = mix(run(begin + first, side) ^ mix(salt.astype(np.uint64), 101))
-        owner = np.concatenate(owner)
-        if flags is None:
-            yield sig.view(np.int64), owner
-            continue
-        held = may_hold(flags, sig)
-        sig, owner, begin, first, n = (x[held] for x in (sig, owner, begin, first, n))
-        runs = []
-        for j in range(2 * BLOCKS):
-            long = BLOCK * (j % BLOCKS + 1)
-            start = begin - long if j < BLOCKS else begin + side
-            ok = (start >= 0) & (start + long <= n)
-            code = np.zeros(len(begin), np.uint64)
-            code[ok] = mix(run(start[ok] + first[ok], long) ^ mix(sig[ok], 103 + j))
-            runs.append(code.view(np.int64))
-        yield sig.view(np.int64), owner, begin.astype(np.int32), *runs
-
-
-def window_keys(docs: DataFrame, hashes: int = HASHES, side: int = SIDE, min_words: int = MIN_WORDS,
-                flags: bytes | None = None) -> DataFrame:
-    """(sig, rid): an interval of side + SHINGLE - 1 words has the signature
-    ``sig``; rid is a hash of doc_id and text. With a Bloom filter only the
-    signatures that it may hold, with the interval's first word ``start`` and
-    the hashes of the runs beyond its left (``run0`` on) and right end."""
-    names = ["sig", "rid", *([] if flags is None else ["start", *[f"run{j}" for j in range(2 * BLOCKS)]])]
-    shared = None if flags is None else docs.sparkSession.sparkContext.broadcast(flags)
+        at = begin + first
+        run = (total[at + side] - total[at]) * back[at]
+        yield sh, mix(run ^ mix(salt.astype(np.uint64), 101)), np.concatenate(owner), begin, first, n
+
+
+def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int):
+    """Arrays (sig, rid, start) of every node's sides: start is a word's place."""
+    for _, sig, owner, begin, _, _ in _nodes(texts, rids, hashes, side, fewest):
+        yield sig.view(np.int64), owner, begin.astype(np.int32)
+
+
+def _codes_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int, flags: bytes, far: bool):
+    """Arrays (code, rid, place) beside the keys that the Bloom filter may hold,
+    place being a shingle's in its text. To the end of a run, a code is of the key,
+    the distance and the shingle there and stands for ``STEP`` shingles from place
+    on; ``far``, it is of the key, the direction and the shingle at place."""
+    for sh, sig, owner, begin, first, n in _nodes(texts, rids, hashes, side, fewest):
+        for right in (False, True):
+            held = may_hold(flags, sig ^ np.uint64(_RIGHT if right else 0))
+            key, rid, at, text = sig[held], owner[held], begin[held], first[held]
+            room = np.minimum(n[held] - at - side if right else at, fewest - SHINGLE if far else side - 1)
+            steps = room if far else room // STEP
+            of = np.repeat(np.arange(len(key)), steps)
+            away = (np.arange(len(of)) - np.repeat(np.cumsum(steps) - steps, steps) + 1) * (1 if far else STEP)
+            shingle = sh[text[of] + (at[of] + side - 1 + away if right else at[of] - away)]
+            salt = mix(key, 103 + right)[of] if far else mix(key, 105 + right)[of] + away.astype(np.uint64)
+            place = at[of] + side + away - (1 if far else STEP) if right else at[of] - away
+            yield mix(shingle ^ salt).view(np.int64), rid[of], place.astype(np.int32)
+
+
+def _of_texts(docs: DataFrame, schema: str, arrays) -> DataFrame:
+    """Rows of the arrays that ``arrays`` gives for batches of texts; rid is a
+    hash of doc_id and text."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None if shared is None else shared.value
         for batch in batches:
-            rids = batch.column("rid").to_numpy(zero_copy_only=False)
-            for arrays in _keys_of_batch(batch.column("text"), rids, hashes, side, min_words - SHINGLE + 1, held):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
+            for found in arrays(batch.column("text"), batch.column("rid").to_numpy(zero_copy_only=False)):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names)
+
+    return only(docs, "doc_id", "text").select(_rid().alias("rid"), "text").mapInArrow(per_batch, schema)
+
+
+def window_keys(docs: DataFrame, hashes: int = HASHES, side: int = SIDE, min_words: int = MIN_WORDS) -> DataFrame:
+    """(sig, rid, start): the interval of side + SHINGLE - 1 words from ``start``
+    on has the signature ``sig``; rid is a hash of doc_id and text."""
+    return _of_texts(docs, "sig long, rid long, start int",
+                     lambda texts, rids: _keys_of_batch(texts, rids, hashes, side, min_words - SHINGLE + 1))
+
 
-    rows = only(docs, "doc_id", "text").select(_rid().alias("rid"), "text")
-    return rows.mapInArrow(per_batch, ", ".join(f"{x} {'int' if x == 'start' else 'long'}" for x in names))
+def shared_beside(docs: DataFrame, asked: DataFrame, far: bool, hashes: int = HASHES, side: int = SIDE,
+                  min_words: int = MIN_WORDS) -> DataFrame:
+    """(rid, s, e, other): shingles s up to e that another document has too
+    beside a key of ``asked`` (its column ``kind``). Every document's codes
+    are counted, as one may end where another goes on."""
+    flags = docs.sparkSession.sparkContext.broadcast(bloom.build(asked, "kind", BLOOM_BITS))
+    codes = staged(_of_texts(docs, "code long, rid long, place int", lambda texts, rids: _codes_of_batch(
+        texts, rids, hashes, side, min_words - SHINGLE + 1, flags.value, far)), "shingle-codes")
+    both = staged(_of_two(codes, "code"), "shared-codes")
+    return codes.join(both, F.col("code") == F.col("shared_code")).select(
+        "rid", F.col("place").alias("s"), (F.col("place") + (1 if far else STEP)).alias("e"), _other())
 
 
 def _of_two(rows: DataFrame, key: str) -> DataFrame:
@@ -172,46 +207,171 @@ def _of_two(rows: DataFrame, key: str) -> DataFrame:
         F.min("rid").alias("low"), F.max("rid").alias("high")).where("low <> high")
 
 
+def _other():
+    """One of the other documents of a shared key."""
+    return F.when(F.col("rid") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other")
+
+
 def _at_ends(hits: DataFrame, side: int) -> DataFrame:
-    """``hits`` with one of the other documents, and whether words that the
-    longest run to the left (``open_left``) or right reaches lie in no shared
-    interval of the document. Only there can a run lengthen a passage, so the
-    hits inside one look no run up.
+    """``hits`` and whether shingles that a run may add on the ``left`` or ``right``
+    lie in no shared interval of the document. Inside an island of intervals
+    all are shared already. ``before`` and ``after`` tell the next key of the
+    island on either side and its distance.
 
     Intervals are equally long, so those that touch form islands, whose first
     and last one tell what they cover. The windows hold one document's nodes.
     """
-    width, reach = side + SHINGLE - 1, BLOCK * BLOCKS
-    in_text = Window.partitionBy("rid").orderBy("start")
+    in_text = Window.partitionBy("rid").orderBy("start", "sig")
     island = Window.partitionBy("rid", "_island")
-    other = F.when(F.col("rid") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-    return (hits.select("rid", "start", other.alias("other"), *[f"run{j}" for j in range(2 * BLOCKS)])
-            .withColumn("_first", F.coalesce(F.lag("start").over(in_text) + width < F.col("start"), F.lit(True)).cast("int"))
-            .withColumn("_island", F.sum("_first").over(in_text))
-            .withColumn("open_left", F.min("start").over(island) > F.col("start") - reach)
-            .withColumn("open_right", F.max("start").over(island) < F.col("start") + reach)
-            .drop("_first", "_island"))
+    ahead = F.lead("start").over(in_text) - F.col("start")
+    behind = F.col("start") - F.lag("start").over(in_text)
+    return (hits.withColumns({
+        "before": F.when(behind <= side, F.xxhash64(F.lag("sig").over(in_text), behind)),
+        "after": F.when(ahead <= side, F.xxhash64(F.lead("sig").over(in_text), ahead))})
+        .withColumn("_island", F.sum(F.col("before").isNull().cast("int")).over(in_text))
+        .withColumns({"left": F.min("start").over(island) > F.col("start") - side + 1,
+                      "right": F.max("start").over(island) < F.col("start") + side - 1}).drop("_island"))
+
+
+def _parting(hits: DataFrame) -> DataFrame:
+    """(sig, left, right, left_open, right_open): the sides on which a key must
+    be compared, and whether a document asks for it. A key that the same key follows
+    at the same distance in every document leaves that side to the next key."""
+    alone = lambda step: (F.min(step) < F.max(step)) | (F.count(step) < F.count(F.lit(1)))
+    return hits.groupBy("sig").agg(
+        F.coalesce(alone("before"), F.lit(True)).alias("left"), F.coalesce(alone("after"), F.lit(True)).alias("right"),
+        F.bool_or("left").alias("left_open"), F.bool_or("right").alias("right_open")).where("left OR right")
+
+
+def _kinds(keys: DataFrame, left: str, right: str) -> DataFrame:
+    """(kind): the keys with the sides to compare, as the filter holds them."""
+    return keys.select(F.explode(F.array(
+        F.when(F.expr(left), F.col("sig")), F.when(F.expr(right), F.col("sig").bitwiseXOR(F.lit(_RIGHT))))).alias("kind")).where(
+        "kind IS NOT NULL")
 
 
 def _rid():
     return F.xxhash64("doc_id", "text")
 
 
-def _passages(min_words: int, similarity: float, gap: int):
-    """Joins a document's repeated intervals to passages."""
+def _enough(n: int, fewest: int, similarity: float) -> float:
+    """Shingles that a stretch of n must share to be similar to one of
+    ``fewest`` shingles or more."""
+    return similarity * (max(n, fewest) + fewest) / (1 + similarity) - 1e-6
+
+
+def _segments(runs: list[tuple[int, int]], weight: float) -> list[list[tuple[int, int]]]:
+    """The maximal scoring stretches of runs of shared shingles (Ruzzo and
+    Tompa): a shared shingle scores 1 - ``weight``, any other -``weight``."""
+    found, total = [], 0.0
+    for i, (s, e) in enumerate(runs):
+        total -= weight * (s - runs[i - 1][1]) if i else 0
+        mine = [i, total, total + (1 - weight) * (e - s)]  # first run, score before it and up to the last
+        total = mine[2]
+        while True:
+            j = len(found) - 1
+            while j >= 0 and found[j][1] >= mine[1]:
+                j -= 1
+            if j < 0 or found[j][2] >= mine[2]:
+                break
+            mine[:2] = found[j][:2]
+            del found[j:]
+        found.append([*mine, i])
+    return [runs[x[0]:x[3] + 1] for x in found]
+
+
+def _short(runs: list[tuple[int, int]], fewest: int, similarity: float) -> Iterator[tuple[int, int]]:
+    """Ranges of up to 2 * ``fewest`` shingles that share enough. A segment may leave
+    out a short run beyond a changed word that its passage needs."""
+    for i, (begin, _) in enumerate(runs):
+        shared, best = 0, None
+        for s, e in runs[i:]:
+            if e - begin > 2 * fewest:
+                break
+            shared += e - s
+            if shared >= max(_enough(e - begin, fewest, similarity), similarity * (e - begin)):
+                best = begin, e
+        if best:
+            yield best
+
+
+def _stretches(runs: list[tuple[int, int]], fewest: int, similarity: float, gap: int) -> list[tuple[int, int]]:
+    """Passages, as ranges of shingles, among disjoint runs of shared ones."""
+    tail = SHINGLE - 1  # a run's last shingle ends so many words later
+    cut = [i for i in range(1, len(runs)) if runs[i][0] - runs[i - 1][1] - tail > gap]
+    todo, found = [runs[a:b] for a, b in zip([0, *cut], [*cut, len(runs)])], []
+    for near in todo:
+        found += _short(near, fewest, similarity)
+    while todo:
+        for part in _segments(todo.pop(), similarity / (1 + similarity)):
+            begin, end = part[0][0], part[-1][1]
+            shared = sum(e - s for s, e in part)
+            if shared < _enough(end - begin, fewest, similarity):
+                continue
+            holes = [b[0] - a[1] for a, b in zip(part, part[1:])]
+            if shared >= similarity * (end - begin):
+                found.append((begin, end))
+            else:
+                at = holes.index(max(holes)) + 1
+                todo += [part[:at], part[at:]]
+    # stretches that overlap are one passage as long as enough of it is shared
+    starts, ends, upto = [x[0] for x in runs], [x[1] for x in runs], [0, *accumulate(e - s for s, e in runs)]
+    out = []
+    for begin, end in sorted(found, key=lambda x: (x[0], -x[1])):
+        if out and end <= out[-1][1]:
+            continue
+        if out and begin < out[-1][1]:
+            whole = out[-1][0], end
+            if upto[bisect_right(ends, end)] - upto[bisect_left(starts, whole[0])] >= similarity * (end - whole[0]):
+                out[-1] = whole
+                continue
+        out.append((begin, end))
+    return out
+
+
+def _runs(marks: list[tuple]) -> list[tuple[int, int]]:
+    """Disjoint runs of sorted marks (start, end, ...)."""
+    runs = []
+    for s, e, *_ in marks:
+        if runs and s <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(e, runs[-1][1]))
+        else:
+            runs.append((s, e))
+    return runs
+
+
+def _unplaced(fewest: int, similarity: float, gap: int, least: int):
+    """Keys of the runs of ``least`` shingles or more that are in no passage."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = set()
+            for spans in pdf["spans"]:
+                marks = sorted((x["s"], x["e"], x["sig"]) for x in spans)
+                runs = _runs(marks)
+                found = _stretches(runs, fewest, similarity, gap)
+                ends = [e for _, e in found]
+                starts = [s for s, _, _ in marks]
+                for s, e in runs:
+                    at = bisect_left(ends, e)
+                    if e - s >= least and not (at < len(found) and found[at][0] <= s):
+                        out.update(x[2] for x in marks[bisect_left(starts, s):bisect_left(starts, e)])
+            yield pd.DataFrame({"sig": np.array([x for x in out if x], np.int64)})
+    return run
+
+
+def _passages(fewest: int, similarity: float, gap: int):
+    """Joins a document's shared shingles to passages."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for rid, spans in zip(pdf["rid"], pdf["spans"]):
-                begin = end = covered = other = None
-                for s, e, o in [*sorted((x["s"], x["e"], x["other"]) for x in spans), (None, None, None)]:
-                    if begin is None or s is None or s > end + gap:
-                        if begin is not None and end - begin >= min_words and covered >= similarity * (end - begin):
-                            out.append((rid, begin, end, other))
-                        begin, end, covered, other = s, e, (e - s if s is not None else 0), o
-                    else:
-                        covered += max(0, e - max(end, s))
-                        end = max(end, e)
+                marks = sorted((x["s"], x["e"], x["other"]) for x in spans)
+                starts = [x[0] for x in marks]
+                for begin, end in _stretches(_runs(marks), fewest, similarity, gap):
+                    share = {}
+                    for s, e, o in marks[bisect_left(starts, begin):bisect_left(starts, end)]:
+                        share[o] = share.get(o, 0) + e - s
+                    out.append((rid, begin, end + SHINGLE - 1, min(share, key=lambda o: (-share[o], o))))
             yield pd.DataFrame(out, columns=["rid", "start_word", "end_word", "other"]).astype("int64")
     return run
 
@@ -229,27 +389,24 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     other. A null doc_id is reported as null. Of equal shingles in a text the
     first is the least. An empty table gives no rows; extra columns are ignored.
     """
-    # the keys are made twice, so that runs are made and written for the shared ones alone
-    shared = staged(_of_two(window_keys(docs, hashes, side, min_words), "sig"), "shared-keys")
-    flags = bloom.build(shared, "shared_sig", BLOOM_BITS)
-    hits = staged(_at_ends(window_keys(docs, hashes, side, min_words, flags).join(shared, F.col("sig") == F.col("shared_sig")), side),
-                  "shared-windows")
-    end = F.col("start") + side + SHINGLE - 1
-    # a run that two documents share reaches BLOCK words further for each of its blocks
-    runs = hits.select("rid", "start", F.explode(F.array(*[
-        F.struct(F.col(f"run{j}").alias("run"), F.lit(BLOCK * (j % BLOCKS + 1) * (1 if j >= BLOCKS else -1)).alias("reach"),
-                 F.col("open_left" if j < BLOCKS else "open_right").alias("open")) for j in range(2 * BLOCKS)])).alias("r")).select(
-        "rid", "start", "r.*").where("run <> 0")
-    # every document's runs are counted, as one may end where another goes on
-    both = staged(_of_two(runs, "run").select("shared_run"), "shared-runs")
-    longer = runs.where("open").join(both, F.col("run") == F.col("shared_run")).select(
-        "rid", "start", F.lit(None).cast("long").alias("other"),
-        (F.col("start") + F.least("reach", F.lit(0))).alias("s"), (end + F.greatest("reach", F.lit(0))).alias("e"))
-    spans = hits.select("rid", "start", "other", F.col("start").alias("s"), end.alias("e")).unionByName(longer)
-    # bounded by the document's own nodes
-    own = spans.groupBy("rid", "start").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min("other").alias("other")).groupBy(
-        "rid").agg(F.collect_list(F.struct("s", "e", "other")).alias("spans"))
-    found = staged(own.mapInPandas(_passages(min_words - BLOCK, similarity, gap=2 * SHINGLE),
+    fewest = min_words - SHINGLE + 1
+    how = hashes, side, min_words
+    keys = staged(window_keys(docs, *how), "window-keys")
+    shared = staged(_of_two(keys, "sig"), "shared-keys")
+    hits = bloom.prefilter(keys, "sig", bloom.build(shared, "shared_sig", BLOOM_BITS)).join(
+        shared, F.col("sig") == F.col("shared_sig")).select("sig", "rid", "start", _other())
+    hits = staged(_at_ends(hits, side), "shared-windows")
+    parting = staged(_parting(hits), "parting-keys")
+    near = shared_beside(docs, _kinds(parting, "left AND left_open", "right AND right_open"), False, *how)
+    # bounded by the document's own shingles: one mark each
+    marks = staged(hits.select("rid", F.col("start").alias("s"), (F.col("start") + side).alias("e"), "other", "sig").unionByName(
+        near.withColumn("sig", F.lit(0).cast("long"))).groupBy("rid", "s", "e", "sig").agg(F.min("other").alias("other")), "marks")
+    spans = lambda rows, *c: rows.groupBy("rid").agg(F.collect_list(F.struct("s", "e", *c)).alias("spans"))
+    # a run may lack STEP - 1 shingles at either end
+    unplaced = spans(marks, "sig").mapInPandas(_unplaced(fewest, similarity, GAP, 2 * (side - STEP) + 1), "sig long").distinct()
+    far = shared_beside(docs, _kinds(parting.join(staged(unplaced, "unplaced-keys"), "sig"), "left", "right"), True, *how)
+    own = spans(marks.drop("sig").unionByName(far.groupBy("rid", "s", "e").agg(F.min("other").alias("other"))), "other")
+    found = staged(own.mapInPandas(_passages(fewest, similarity, GAP),
                                    "rid long, start_word long, end_word long, other long"), "passages")
     ids = staged(only(docs, "doc_id", "text").select(_rid().alias("id_rid"), F.col("doc_id").cast("long").alias("id"))
                  .groupBy("id_rid").agg(F.first("id").alias("id")), "passage-ids")

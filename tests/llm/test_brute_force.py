@@ -178,6 +178,33 @@ def test_a_passage_around_a_frequent_phrase_is_found(spark):
     assert got == {27 * k + i for k in range(pairs) for i in range(2)}
 
 
+def test_near_repeats_at_the_threshold_are_all_found(spark):
+    r = np.random.default_rng(21)
+    rand = lambda n: [f"x{v}" for v in r.integers(0, 10**9, n)]
+    pairs = [(rand(43), None)] * 3  # too short
+    for n in (50, 60, 70):
+        for at in range(n):
+            a = rand(n)
+            pairs += [(a, [*a[:at], "changed", *a[at + 1:]]), (a, [*a[:at], "more", *a[at:]])]
+    for _ in range(30):  # 100 words with two changes
+        a = rand(100)
+        b = list(a)
+        for at in r.choice(100, 2, replace=False):
+            b[at] = "changed"
+        pairs.append((a, b))
+    rows, need, none = [], set(), set()
+    for a, b in pairs:
+        b = b or a
+        s, t = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+        group = need if len(a) >= 50 and len(s & t) >= 0.8 * len(s | t) else none
+        for x in (a, b):
+            group.add(len(rows))
+            rows.append(" ".join(rand(int(r.integers(0, 60))) + x + rand(int(r.integers(0, 60)))))
+    got = {x.doc_id for x in passages.repeated_passages(
+        spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert len(need) > 700 and need <= got and not got & set(range(6)) and len(none) == 6
+
+
 # ------------------------------------------------------------------ op3
 
 def test_url_rules(spark):

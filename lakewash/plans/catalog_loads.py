@@ -33,25 +33,23 @@ def _loads_sql() -> str:
             f"SELECT *, ({_LOADS} + 1) % 3 AS load FROM ({rows}) WHERE o_orderkey % 9 = 0")
 
 
-def _write_loads(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "three-loads")
+def _load(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
     src = FX.derive(t(spark, sf_dir, "orders"), list(zip(FX.FLAT_COLUMNS, [x for _, x in FX.FLAT_SOURCE])),
                     keep=["o_orderkey", "o_custkey"]).withColumn("id", F.col("o_custkey").cast("string"))
     load = F.expr(_LOADS)
     again = src.where("o_orderkey % 9 = 0").withColumn("load", (load + 1) % 3)
     both = src.withColumn("load", load).unionByName(again).select("load", "id", *_LOADED)
-    for i in range(3):  # a file for each load
-        sinks.write_csv(both.where(F.col("load") == i).drop("load").repartition(1), path, mode="append",
-                        options={"nullValue": ""})
-    return path
+    return both.where(F.col("load") == i).drop("load")
 
 
 def _run_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     from lakewash.streaming import run_flat_record_load
 
-    source = C._write_once(spark, sf_dir, "three-loads", lambda: _write_loads(spark, sf_dir))
-    out, ckpt = scratch_path(spark, "loads-out"), scratch_path(spark, "loads-ckpt")
-    run_flat_record_load(spark, source, out, ckpt, C.RUN_TS, max_files_per_trigger=1)
+    source, out, ckpt = (scratch_path(spark, x) for x in ("three-loads", "loads-out", "loads-ckpt"))
+    parts = spark.sparkContext.defaultParallelism
+    for i in range(3):  # a load is many files, since a multi-line file is one task; what has landed is one batch
+        sinks.write_csv(_load(spark, sf_dir, i).repartition(parts), source, mode="append", options={"nullValue": ""})
+        run_flat_record_load(spark, source, out, ckpt, C.RUN_TS)
     return out, ckpt
 
 

@@ -430,3 +430,20 @@ def test_rollup_tells_totals_from_nulls(spark):
     got = {(r.f, r.c, r.level): (r.row_count, r.nulls_v) for r in quality.quality_rollup(df, ["f", "c"], ["v"]).collect()}
     assert got == {("a", None, 0): (1, 0), ("a", "x", 0): (1, 1), (None, None, 0): (1, 0), ("a", None, 1): (2, 1),
                    (None, None, 1): (1, 0), (None, None, 3): (3, 1)}
+
+
+def test_a_load_lands_as_many_files_and_is_one_batch(spark, monkeypatch):
+    import lakewash.streaming as streaming
+    from lakewash.plans import catalog_loads
+
+    run, landed = streaming.run_flat_record_load, []
+
+    def spy(session, source, *args, **kwargs):
+        landed.append(len([f for f in os.listdir(source) if f.endswith(".csv")]))
+        return run(session, source, *args, **kwargs)
+
+    monkeypatch.setattr(streaming, "run_flat_record_load", spy)
+    out, _ = catalog_loads._run_loads(spark, SF_SMALL)
+    assert sorted(f for f in os.listdir(out) if f.startswith("batch_id=")) == [f"batch_id={i}" for i in range(3)]
+    assert min(b - a for a, b in zip([0, *landed], landed)) > 1
+    assert spark.read.parquet(out).where("batch_id = 0").count() > 0

@@ -68,6 +68,16 @@ _BASE = 0xC2B2AE3D27D4EB4F | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def _sliding(values: np.ndarray, width: int, op) -> np.ndarray:
+    """``op`` (least or greatest) of every window of ``width`` elements, by doubling."""
+    span = 1
+    while 2 * span <= width:
+        values = op(values[:-span], values[span:])
+        span *= 2
+    rest = width - span
+    return op(values[:-rest], values[rest:]) if rest else values
+
+
 def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of the Cartesian tree's nodes with r - l + 1 >= ``width``,
     for distinct ``values`` (the least is the root).
@@ -80,17 +90,10 @@ def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndar
     empty = np.zeros(0, np.int64)
     if n < width:
         return empty, empty, empty
-    least, span = values, 1
-    while 2 * span <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    rest = width - span
-    least = np.minimum(least[:len(least) - rest], least[rest:]) if rest else least
-    runs = least[np.r_[True, least[1:] != least[:-1]]]
-    picked = np.unique(runs)
-    order = np.argsort(values) if n else empty
-    at = order[np.searchsorted(values, picked, sorter=order)]
-    at.sort()
+    least = _sliding(values, width, np.minimum)
+    beyond = np.full(width - 1, values.min())
+    # the greatest least of the windows around a place is its value only if it is one of them
+    at = np.flatnonzero(_sliding(np.concatenate((beyond, least, beyond)), width, np.maximum) == values)
     left, right, stack = np.zeros(len(at), np.int64), np.full(len(at), n - 1), []
     vals, places = values[at].tolist(), at.tolist()
     for k, v in enumerate(vals):
@@ -101,45 +104,46 @@ def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndar
     return left, at, right
 
 
-def _distinct(values: np.ndarray) -> np.ndarray:
+def _distinct(values: np.ndarray, apart: np.ndarray) -> np.ndarray:
     """The hashes with their low bits replaced by the place, so that equal
-    shingles are told apart and the first of them is the least."""
-    bits = np.uint64(max(1, int(len(values) - 1).bit_length()) if len(values) else 1)
-    return (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+    shingles are told apart and the first of them is the least. The places
+    ``apart`` are less than all others, so that no node reaches across one."""
+    at = np.arange(len(values), dtype=np.uint64)
+    bits = np.uint64(len(values).bit_length())
+    return np.where(apart, at, (values >> np.uint64(1) | np.uint64(1 << 63)) >> bits << bits | at)
 
 
 def _nodes(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int):
     """For each slice of the texts: the shingles' hashes, and of every node's
     sides the arrays sig, rid, place of the first shingle in its text, place
     of the text's first shingle, number of the text's shingles. Texts of fewer
-    than ``fewest`` shingles hold no passage."""
+    than ``fewest`` shingles hold no passage. The texts of a slice are one row of
+    values; a text's end parts its nodes from the next one's."""
     for lo, hi in slices(texts):
         data, offsets = text_buffer(texts.slice(lo, hi - lo))
         words = Words(lowered(data), offsets)
         sh = shingles(words.hashes(), SHINGLE)
+        sizes = np.diff(words.first) - SHINGLE + 1
+        text = words.text[:len(sh)]
+        apart = (np.arange(len(sh)) - words.first[text] >= sizes[text]) | (sizes[text] < fewest)
+        if apart.all():
+            continue
         total = np.zeros(len(sh) + 1, np.uint64)
         np.cumsum(sh * _powers(_BASE, len(sh)), out=total[1:])
         back = _powers(_INVERSE, len(sh) + 1)
-        salts, begins, owner, firsts, sizes = [], [], [], [], []
-        for k in range(hi - lo):
-            first, n = words.first[k], words.first[k + 1] - words.first[k] - SHINGLE + 1
-            if n < fewest:
-                continue
-            own = sh[first:first + n]
-            for i in range(hashes):
-                left, at, right = compact_windows(_distinct(mix(own, 11 + i)), 2 * side - 1)
-                for begin, ok, salt in ((at - side + 1, at - side + 1 >= left, 2 * i),
-                                        (at, at + side - 1 <= right, 2 * i + 1)):
-                    begin = begin[ok]
-                    begins.append(begin)
-                    for out, value in ((salts, salt), (owner, rids[lo + k]), (firsts, first), (sizes, n)):
-                        out.append(np.full(len(begin), value))
-        if not begins:
-            continue
-        begin, salt, first, n = (np.concatenate(x) for x in (begins, salts, firsts, sizes))
-        at = begin + first
+        salts, begins, leasts = [], [], []
+        for i in range(hashes):
+            left, at, right = compact_windows(_distinct(mix(sh, 11 + i), apart), 2 * side - 1)
+            inside = ~apart[at]
+            for begin, ok, salt in ((at - side + 1, at - side + 1 >= left, 2 * i),
+                                    (at, at + side - 1 <= right, 2 * i + 1)):
+                begins.append(begin[ok & inside])
+                leasts.append(at[ok & inside])
+                salts.append(np.full(len(begins[-1]), salt, np.uint64))
+        at, salt, own = np.concatenate(begins), np.concatenate(salts), text[np.concatenate(leasts)]
         run = (total[at + side] - total[at]) * back[at]
-        yield sh, mix(run ^ mix(salt.astype(np.uint64), 101)), np.concatenate(owner), begin, first, n
+        first = words.first[own]
+        yield sh, mix(run ^ mix(salt, 101)), rids[lo + own], at - first, first, sizes[own]
 
 
 def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int):
@@ -149,8 +153,9 @@ def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fe
 
 
 def _codes_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int, flags: bytes, far: bool):
-    """Arrays (code, rid, place) beside the keys that the Bloom filter may hold,
-    place being a shingle's in its text. To the end of a run, a code is of the key,
+    """Arrays (code, rid, places) beside the keys that the Bloom filter may hold,
+    places being a shingle's in its text. A text that repeats itself, or holds a key
+    often, gives a code at many places, and a row once for all of them. To the end of a run, a code is of the key,
     the distance and the shingle there and stands for ``STEP`` shingles from place
     on; ``far``, it is of the key, the direction and the shingle at place."""
     for sh, sig, owner, begin, first, n in _nodes(texts, rids, hashes, side, fewest):
@@ -164,18 +169,30 @@ def _codes_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, f
             shingle = sh[text[of] + (at[of] + side - 1 + away if right else at[of] - away)]
             salt = mix(key, 103 + right)[of] if far else mix(key, 105 + right)[of] + away.astype(np.uint64)
             place = at[of] + side + away - (1 if far else STEP) if right else at[of] - away
-            yield mix(shingle ^ salt).view(np.int64), rid[of], place.astype(np.int32)
+            yield _placed(mix(shingle ^ salt), rid[of], place.astype(np.int32))
+
+
+def _placed(code: np.ndarray, rid: np.ndarray, place: np.ndarray):
+    """The places joined to lists, one for each code and text."""
+    order = np.argsort(code + mix(rid.view(np.uint64)))
+    code, rid = code[order], rid[order]
+    begin = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (rid[1:] != rid[:-1])][:len(code)])
+    places = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(code)], pa.int32()), pa.array(place[order]))
+    return code[begin].view(np.int64), rid[begin], places
 
 
-def _of_texts(docs: DataFrame, schema: str, arrays) -> DataFrame:
+def _of_texts(docs: DataFrame, schema: str, arrays, held=None) -> DataFrame:
     """Rows of the arrays that ``arrays`` gives for batches of texts; rid is a
-    hash of doc_id and text."""
+    hash of doc_id and text. ``held``: a broadcast filter of the rids to read."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if held is not None:
+                rids = batch.column("rid").to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(may_hold(held.value, rids.view(np.uint64))))
             for found in arrays(batch.column("text"), batch.column("rid").to_numpy(zero_copy_only=False)):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names)
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in found], names)
 
     return only(docs, "doc_id", "text").select(_rid().alias("rid"), "text").mapInArrow(per_batch, schema)
 
@@ -187,17 +204,30 @@ def window_keys(docs: DataFrame, hashes: int = HASHES, side: int = SIDE, min_wor
                      lambda texts, rids: _keys_of_batch(texts, rids, hashes, side, min_words - SHINGLE + 1))
 
 
-def shared_beside(docs: DataFrame, asked: DataFrame, far: bool, hashes: int = HASHES, side: int = SIDE,
+def shared_beside(docs: DataFrame, hits: DataFrame, asked: DataFrame, far: bool, hashes: int = HASHES, side: int = SIDE,
                   min_words: int = MIN_WORDS) -> DataFrame:
     """(rid, s, e, other): shingles s up to e that another document has too
     beside a key of ``asked`` (its column ``kind``). Every document's codes
-    are counted, as one may end where another goes on."""
+    are counted, as one may end where another goes on; ``hits`` tells which
+    documents hold a key, and the others are not read again."""
     flags = docs.sparkSession.sparkContext.broadcast(bloom.build(asked, "kind", BLOOM_BITS))
-    codes = staged(_of_texts(docs, "code long, rid long, place int", lambda texts, rids: _codes_of_batch(
-        texts, rids, hashes, side, min_words - SHINGLE + 1, flags.value, far)), "shingle-codes")
+    held = docs.sparkSession.sparkContext.broadcast(bloom.build(_holders(hits, flags), "rid", BLOOM_BITS))
+    codes = staged(_of_texts(docs, "code long, rid long, places array<int>", lambda texts, rids: _codes_of_batch(
+        texts, rids, hashes, side, min_words - SHINGLE + 1, flags.value, far), held), "shingle-codes")
     both = staged(_of_two(codes, "code"), "shared-codes")
     return codes.join(both, F.col("code") == F.col("shared_code")).select(
-        "rid", F.col("place").alias("s"), (F.col("place") + (1 if far else STEP)).alias("e"), _other())
+        "rid", F.explode("places").alias("s"), _other()).withColumn("e", F.col("s") + (1 if far else STEP))
+
+
+def _holders(hits: DataFrame, flags) -> DataFrame:
+    """(rid): the documents with a key that the filter may hold on either side."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = batch.column("sig").to_numpy(zero_copy_only=False).view(np.uint64)
+            held = may_hold(flags.value, sig) | may_hold(flags.value, sig ^ np.uint64(_RIGHT))
+            yield batch.select(["rid"]).filter(pa.array(held))
+
+    return hits.select("sig", "rid").mapInArrow(keep, "rid long")
 
 
 def _of_two(rows: DataFrame, key: str) -> DataFrame:
@@ -397,14 +427,14 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
         shared, F.col("sig") == F.col("shared_sig")).select("sig", "rid", "start", _other())
     hits = staged(_at_ends(hits, side), "shared-windows")
     parting = staged(_parting(hits), "parting-keys")
-    near = shared_beside(docs, _kinds(parting, "left AND left_open", "right AND right_open"), False, *how)
+    near = shared_beside(docs, hits, _kinds(parting, "left AND left_open", "right AND right_open"), False, *how)
     # bounded by the document's own shingles: one mark each
     marks = staged(hits.select("rid", F.col("start").alias("s"), (F.col("start") + side).alias("e"), "other", "sig").unionByName(
         near.withColumn("sig", F.lit(0).cast("long"))).groupBy("rid", "s", "e", "sig").agg(F.min("other").alias("other")), "marks")
     spans = lambda rows, *c: rows.groupBy("rid").agg(F.collect_list(F.struct("s", "e", *c)).alias("spans"))
     # a run may lack STEP - 1 shingles at either end
     unplaced = spans(marks, "sig").mapInPandas(_unplaced(fewest, similarity, GAP, 2 * (side - STEP) + 1), "sig long").distinct()
-    far = shared_beside(docs, _kinds(parting.join(staged(unplaced, "unplaced-keys"), "sig"), "left", "right"), True, *how)
+    far = shared_beside(docs, hits, _kinds(parting.join(staged(unplaced, "unplaced-keys"), "sig"), "left", "right"), True, *how)
     own = spans(marks.drop("sig").unionByName(far.groupBy("rid", "s", "e").agg(F.min("other").alias("other"))), "other")
     found = staged(own.mapInPandas(_passages(fewest, similarity, GAP),
                                    "rid long, start_word long, end_word long, other long"), "passages")

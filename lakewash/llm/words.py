@@ -8,6 +8,7 @@ word is a few array steps instead of Python objects.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: Powers kept for each base (16 MB): a slice of texts has 2,000,000 bytes.
+_KEPT = 1 << 21
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -29,12 +32,26 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
+    """The powers 0 to n - 1; those that a slice of texts needs are kept."""
+    if n <= _KEPT:
+        return _kept_powers(base)[:n]
+    return _made_powers(base, n)
+
+
+def _made_powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base & ((1 << 64) - 1), np.uint64)
     if n:
         out[0] = 1
     return np.multiply.accumulate(out)
 
 
+@lru_cache(maxsize=4)
+def _kept_powers(base: int) -> np.ndarray:
+    out = _made_powers(base, _KEPT)
+    out.flags.writeable = False
+    return out
+
+
 def slices(column: pa.Array, budget: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of the column with about ``budget`` bytes of text each; one
     longer text is a range of its own."""

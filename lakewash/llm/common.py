@@ -25,6 +25,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstaged(*tables: DataFrame) -> None:
+    """Delete the files of ``staged`` tables that nothing reads any more, so that
+    a job of many steps holds the tables of a few."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named input columns and nothing else, so that extra columns of the
     caller's table can never clash with an operator's own. A column that the

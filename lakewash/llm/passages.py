@@ -42,12 +42,13 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakewash.llm import bloom
 from lakewash.llm.bloom import may_hold
-from lakewash.llm.common import only, staged, table
+from lakewash.llm.common import only, staged, table, unstaged
 from lakewash.llm.words import Words, _powers, lowered, mix, shingles, slices, text_buffer
 
 SHINGLE = 5
@@ -62,6 +63,10 @@ GAP = 16
 BLOOM_BITS = 1 << 25
 #: Shingles that one code of a run's end stands for.
 STEP = 2
+#: Bytes of the texts whose words are in memory at once.
+SLICE = 500_000
+#: Bytes of the texts that look for their shared codes at once.
+LOT = 4_000_000
 #: Tells the right of a key from its left in the filter of keys to compare beside.
 _RIGHT = 0x38495AB5E6546B64
 _BASE = 0xC2B2AE3D27D4EB4F | 1
@@ -119,7 +124,7 @@ def _nodes(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: in
     of the text's first shingle, number of the text's shingles. Texts of fewer
     than ``fewest`` shingles hold no passage. The texts of a slice are one row of
     values; a text's end parts its nodes from the next one's."""
-    for lo, hi in slices(texts):
+    for lo, hi in slices(texts, SLICE):
         data, offsets = text_buffer(texts.slice(lo, hi - lo))
         words = Words(lowered(data), offsets)
         sh = shingles(words.hashes(), SHINGLE)
@@ -153,9 +158,8 @@ def _keys_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fe
 
 
 def _codes_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, fewest: int, flags: bytes, far: bool):
-    """Arrays (code, rid, places) beside the keys that the Bloom filter may hold,
-    places being a shingle's in its text. A text that repeats itself, or holds a key
-    often, gives a code at many places, and a row once for all of them. To the end of a run, a code is of the key,
+    """Arrays (code, rid, place) beside the keys that the Bloom filter may hold,
+    place being a shingle's in its text. To the end of a run, a code is of the key,
     the distance and the shingle there and stands for ``STEP`` shingles from place
     on; ``far``, it is of the key, the direction and the shingle at place."""
     for sh, sig, owner, begin, first, n in _nodes(texts, rids, hashes, side, fewest):
@@ -169,30 +173,57 @@ def _codes_of_batch(texts: pa.Array, rids: np.ndarray, hashes: int, side: int, f
             shingle = sh[text[of] + (at[of] + side - 1 + away if right else at[of] - away)]
             salt = mix(key, 103 + right)[of] if far else mix(key, 105 + right)[of] + away.astype(np.uint64)
             place = at[of] + side + away - (1 if far else STEP) if right else at[of] - away
-            yield _placed(mix(shingle ^ salt), rid[of], place.astype(np.int32))
-
-
-def _placed(code: np.ndarray, rid: np.ndarray, place: np.ndarray):
-    """The places joined to lists, one for each code and text."""
-    order = np.argsort(code + mix(rid.view(np.uint64)))
-    code, rid = code[order], rid[order]
-    begin = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (rid[1:] != rid[:-1])][:len(code)])
-    places = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(code)], pa.int32()), pa.array(place[order]))
-    return code[begin].view(np.int64), rid[begin], places
-
-
-def _of_texts(docs: DataFrame, schema: str, arrays, held=None) -> DataFrame:
+            yield mix(shingle ^ salt).view(np.int64), rid[of], place.astype(np.int32)
+
+
+def _first_of(*columns: np.ndarray) -> np.ndarray:
+    """Where the rows of sorted columns differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+    return np.flatnonzero(new)
+
+
+def _ranges_of_codes(found) -> Iterator[tuple]:
+    """(code, low, high): the least and the greatest text of each code."""
+    for code, rid, _ in found:
+        if len(code):
+            order = np.argsort(code)
+            code, rid = code[order], rid[order]
+            at = _first_of(code)
+            yield code[at], np.minimum.reduceat(rid, at), np.maximum.reduceat(rid, at)
+
+
+def _marks_of_codes(found, shared: np.ndarray, low: np.ndarray, high: np.ndarray, step: int) -> Iterator[tuple]:
+    """(rid, s, e, other): the places of the shared codes (sorted), with the least of the
+    other texts; those that follow one another with the same one are one mark."""
+    def least(rid, place, other):
+        order = np.lexsort((other, place, rid))
+        at = order[_first_of(rid[order], place[order])]
+        return rid[at], place[at], other[at]
+
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))]
+    for code, rid, place in found:
+        at = np.minimum(np.searchsorted(shared, code), len(shared) - 1)
+        held = shared[at] == code
+        rid, at = rid[held], at[held]
+        parts.append(least(rid, place[held], np.where(rid == low[at], high[at], low[at])))
+    rid, place, other = least(*(np.concatenate(x) for x in zip(*parts)))
+    order = np.lexsort((place, place % step, other, rid))
+    rid, place, other = rid[order], place[order], other[order]
+    begin = _first_of(rid, other, place - step * np.arange(len(place)))
+    end = place[np.r_[begin[1:], len(place)][:len(begin)] - 1] + step
+    yield rid[begin], place[begin], end.astype(np.int32), other[begin]
+
+
+def _of_texts(docs: DataFrame, schema: str, arrays) -> DataFrame:
     """Rows of the arrays that ``arrays`` gives for batches of texts; rid is a
-    hash of doc_id and text. ``held``: a broadcast filter of the rids to read."""
+    hash of doc_id and text."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if held is not None:
-                rids = batch.column("rid").to_numpy(zero_copy_only=False)
-                batch = batch.filter(pa.array(may_hold(held.value, rids.view(np.uint64))))
             for found in arrays(batch.column("text"), batch.column("rid").to_numpy(zero_copy_only=False)):
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in found], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names)
 
     return only(docs, "doc_id", "text").select(_rid().alias("rid"), "text").mapInArrow(per_batch, schema)
 
@@ -205,18 +236,67 @@ def window_keys(docs: DataFrame, hashes: int = HASHES, side: int = SIDE, min_wor
 
 
 def shared_beside(docs: DataFrame, hits: DataFrame, asked: DataFrame, far: bool, hashes: int = HASHES, side: int = SIDE,
-                  min_words: int = MIN_WORDS) -> DataFrame:
+                  min_words: int = MIN_WORDS) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(rid, s, e, other): shingles s up to e that another document has too
     beside a key of ``asked`` (its column ``kind``). Every document's codes
     are counted, as one may end where another goes on; ``hits`` tells which
-    documents hold a key, and the others are not read again."""
+    documents hold a key, and the others are not read again.
+
+    A text has far more codes than shared places, and near texts have the same ones. So the
+    texts are dealt into lots of ``LOT`` bytes; of a lot's codes each one moves once,
+    with the least and the greatest text, and those that two texts have come back to the lot,
+    whose texts then give their places. Second come the staged tables that the rows are read from.
+    """
     flags = docs.sparkSession.sparkContext.broadcast(bloom.build(asked, "kind", BLOOM_BITS))
-    held = docs.sparkSession.sparkContext.broadcast(bloom.build(_holders(hits, flags), "rid", BLOOM_BITS))
-    codes = staged(_of_texts(docs, "code long, rid long, places array<int>", lambda texts, rids: _codes_of_batch(
-        texts, rids, hashes, side, min_words - SHINGLE + 1, flags.value, far), held), "shingle-codes")
-    both = staged(_of_two(codes, "code"), "shared-codes")
-    return codes.join(both, F.col("code") == F.col("shared_code")).select(
-        "rid", F.explode("places").alias("s"), _other()).withColumn("e", F.col("s") + (1 if far else STEP))
+    texts = staged(_lots(docs, bloom.build(_holders(hits, flags), "rid", BLOOM_BITS)), "lots")
+    step = 1 if far else STEP
+
+    def codes(column: pa.Array, rids: np.ndarray):
+        return _codes_of_batch(column, rids, hashes, side, min_words - SHINGLE + 1, flags.value, far)
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lots = batch.column("lot").to_numpy(zero_copy_only=False)
+            bounds = [*_first_of(lots).tolist(), len(lots)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                part = batch.slice(lo, hi - lo)
+                for code, low, high in _ranges_of_codes(codes(part.column("text"), part.column("rid").to_numpy(zero_copy_only=False))):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), lots[lo])), *map(pa.array, (code, low, high))],
+                                                     ["lot", "code", "low", "high"])
+
+    def places(own: pa.Table, shared: pa.Table) -> pa.Table:
+        names = ["rid", "s", "e", "other"]
+        if not len(own) or not len(shared):
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64())], names)
+        shared = shared.sort_by("code")
+        found = codes(own.column("text").combine_chunks(), own.column("rid").to_numpy())
+        marks = _marks_of_codes(found, *(shared.column(x).to_numpy() for x in ("code", "low", "high")), step)
+        return pa.table([pa.array(x) for x in next(marks)], names)
+
+    in_lots = staged(texts.mapInArrow(ranges, "lot long, code long, low long, high long"), "lot-codes")
+    both = staged(_of_two(in_lots.select("code", F.explode(F.array("low", "high")).alias("rid")), "code"), "shared-codes")
+    back = in_lots.select("lot", "code").join(both, F.col("code") == F.col("shared_code")).select(
+        "lot", "code", both["low"], both["high"]).distinct()
+    return texts.groupBy("lot").cogroup(back.groupBy("lot")).applyInArrow(
+        places, "rid long, s int, e int, other long"), (texts, in_lots, both)
+
+
+def _lots(docs: DataFrame, rids: bytes) -> DataFrame:
+    """(lot, rid, text): the texts whose rid the filter may hold, in lots of ``LOT`` bytes;
+    a longer text is a lot of its own."""
+    held = docs.sparkSession.sparkContext.broadcast(rids)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, lot = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            own = batch.column("rid").to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(may_hold(held.value, own)))
+            for lo, hi in slices(batch.column("text"), LOT):
+                of = np.full(hi - lo, task << 32 | lot)
+                lot += 1
+                yield pa.RecordBatch.from_arrays([pa.array(of), *batch.slice(lo, hi - lo).columns], ["lot", "rid", "text"])
+
+    return only(docs, "doc_id", "text").select(_rid().alias("rid"), "text").mapInArrow(deal, "lot long, rid long, text string")
 
 
 def _holders(hits: DataFrame, flags) -> DataFrame:
@@ -426,15 +506,18 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     hits = bloom.prefilter(keys, "sig", bloom.build(shared, "shared_sig", BLOOM_BITS)).join(
         shared, F.col("sig") == F.col("shared_sig")).select("sig", "rid", "start", _other())
     hits = staged(_at_ends(hits, side), "shared-windows")
+    unstaged(keys, shared)
     parting = staged(_parting(hits), "parting-keys")
-    near = shared_beside(docs, hits, _kinds(parting, "left AND left_open", "right AND right_open"), False, *how)
+    near, near_from = shared_beside(docs, hits, _kinds(parting, "left AND left_open", "right AND right_open"), False, *how)
     # bounded by the document's own shingles: one mark each
     marks = staged(hits.select("rid", F.col("start").alias("s"), (F.col("start") + side).alias("e"), "other", "sig").unionByName(
         near.withColumn("sig", F.lit(0).cast("long"))).groupBy("rid", "s", "e", "sig").agg(F.min("other").alias("other")), "marks")
+    unstaged(*near_from)
     spans = lambda rows, *c: rows.groupBy("rid").agg(F.collect_list(F.struct("s", "e", *c)).alias("spans"))
     # a run may lack STEP - 1 shingles at either end
     unplaced = spans(marks, "sig").mapInPandas(_unplaced(fewest, similarity, GAP, 2 * (side - STEP) + 1), "sig long").distinct()
-    far = shared_beside(docs, hits, _kinds(parting.join(staged(unplaced, "unplaced-keys"), "sig"), "left", "right"), True, *how)
+    far, _ = shared_beside(docs, hits, _kinds(parting.join(staged(unplaced, "unplaced-keys"), "sig"), "left", "right"), True, *how)
+    unstaged(hits)
     own = spans(marks.drop("sig").unionByName(far.groupBy("rid", "s", "e").agg(F.min("other").alias("other"))), "other")
     found = staged(own.mapInPandas(_passages(fewest, similarity, GAP),
                                    "rid long, start_word long, end_word long, other long"), "passages")

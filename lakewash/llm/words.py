@@ -19,8 +19,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Powers kept for each base (16 MB): a slice of texts has 2,000,000 bytes.
-_KEPT = 1 << 21
+#: Powers kept for each base (4 MB).
+_KEPT = 1 << 19
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -32,7 +32,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """The powers 0 to n - 1; those that a slice of texts needs are kept."""
+    """The powers 0 to n - 1; those that a small slice of texts needs are kept."""
     if n <= _KEPT:
         return _kept_powers(base)[:n]
     return _made_powers(base, n)

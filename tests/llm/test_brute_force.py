@@ -10,6 +10,7 @@ import sys
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -178,6 +179,36 @@ def test_a_passage_around_a_frequent_phrase_is_found(spark):
     assert got == {27 * k + i for k in range(pairs) for i in range(2)}
 
 
+def test_nodes_of_a_slice_are_those_of_its_texts():
+    r = np.random.default_rng(4)
+    texts = ["", "a b c", " ".join(["same"] * 90), None] + [
+        " ".join(f"x{v}" for v in r.integers(0, 400, n)) for n in (49, 50, 51, 20, 3000, 120)]
+    rows = lambda col, rids: {(s, o, int(b), int(n)) for _, sig, own, begin, _, size in passages._nodes(
+        pa.array(col, pa.string()), np.array(rids), 2, 11, 46) for s, o, b, n in zip(sig.tolist(), own.tolist(), begin, size)}
+    alone = set().union(*(rows([x], [k]) for k, x in enumerate(texts)))
+    assert {o for _, o, _, _ in alone} == {2, 5, 6, 8, 9}
+    assert rows(texts, range(len(texts))) == alone
+
+
+def test_a_text_that_repeats_itself_moves_its_codes_once(spark, monkeypatch):
+    r = np.random.default_rng(14)
+    rand = lambda n: [f"x{v}" for v in r.integers(0, 10**9, n)]
+    phrase, rows = rand(30), []
+    for k in range(40):  # a run too short for a passage, six times in each document
+        rows.append((k, " ".join((phrase + rand(18)) * 6)))
+    rows += [(100 + k, " ".join(rand(250))) for k in range(40)]
+    counts, staged = {}, passages.staged
+    def counted(df, label):
+        out = staged(df, label)
+        counts.setdefault(label, []).append(out.count())
+        return out
+    monkeypatch.setattr(passages, "staged", counted)
+    assert passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+    assert sum(counts["shared-keys"]) > 0
+    assert max(map(max, counts.values())) < sum(len(x.split()) for _, x in rows)
+    assert max(counts["lots"]) == 40  # the others hold no key
+
+
 def test_near_repeats_at_the_threshold_are_all_found(spark):
     r = np.random.default_rng(21)
     rand = lambda n: [f"x{v}" for v in r.integers(0, 10**9, n)]
